@@ -6,13 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stridelake.llm import exact_dedup, simhash, url_filter
+from stridelake.llm import decontaminate, exact_dedup, piece_bpe, simhash, token_files, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Name to a callable of (spark, sf_dir)."""
     return {
+        "op1_token_files": token_files.op1_token_files,
         "op2_simhash": simhash.op2_simhash,
+        "op4_decontaminate": decontaminate.op4_decontaminate,
+        "op5_sentencepiece": piece_bpe.op5_sentencepiece,
         "op8_url_filter": url_filter.op8_url_filter,
         "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     }
@@ -20,4 +23,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """Name to DuckDB SQL, for the queries that SQL can express."""
-    return {"op8_url_filter": url_filter.SQL, "op9_exact_dedup": exact_dedup.SQL}
+    return {
+        "op4_decontaminate": decontaminate.SQL,
+        "op8_url_filter": url_filter.SQL,
+        "op9_exact_dedup": exact_dedup.SQL,
+    }
