@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stridelake.llm import decontaminate, exact_dedup, piece_bpe, simhash, token_files, url_filter
+from stridelake.llm import decontaminate, exact_dedup, language, piece_bpe, quality, simhash, token_files, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,6 +16,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_simhash": simhash.op2_simhash,
         "op4_decontaminate": decontaminate.op4_decontaminate,
         "op5_sentencepiece": piece_bpe.op5_sentencepiece,
+        "op6_quality": quality.op6_quality,
+        "op7_language": language.op7_language,
         "op8_url_filter": url_filter.op8_url_filter,
         "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     }
