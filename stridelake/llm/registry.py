@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stridelake.llm import decontaminate, exact_dedup, language, piece_bpe, quality, simhash, token_files, url_filter
+from stridelake.llm import decontaminate, exact_dedup, language, piece_bpe, quality, sentence_spans, simhash, token_files, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -20,6 +20,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_language": language.op7_language,
         "op8_url_filter": url_filter.op8_url_filter,
         "op9_exact_dedup": exact_dedup.op9_exact_dedup,
+        "op10_sentence_spans": sentence_spans.op10_sentence_spans,
     }
 
 
@@ -29,4 +30,5 @@ def oracle_sql() -> dict[str, str]:
         "op4_decontaminate": decontaminate.SQL,
         "op8_url_filter": url_filter.SQL,
         "op9_exact_dedup": exact_dedup.SQL,
+        "op10_sentence_spans": sentence_spans.SQL,
     }
