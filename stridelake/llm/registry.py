@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stridelake.llm import decontaminate, exact_dedup, language, piece_bpe, quality, sentence_spans, simhash, token_files, url_filter
+from stridelake.llm import decontaminate, exact_dedup, language, piece_bpe, quality, sentence_spans, simhash, token_files, url_filter, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_files": token_files.op1_token_files,
         "op2_simhash": simhash.op2_simhash,
+        "op3_warc": warc.op3_warc,
         "op4_decontaminate": decontaminate.op4_decontaminate,
         "op5_sentencepiece": piece_bpe.op5_sentencepiece,
         "op6_quality": quality.op6_quality,
