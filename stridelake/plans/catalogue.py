@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-GROUPS: list = []
+from stridelake.plans import q_joins, q_shape, q_windows
+
+GROUPS: list = [q_shape, q_joins, q_windows]
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
