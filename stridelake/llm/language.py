@@ -23,7 +23,7 @@ from stridelake.llm.text_features import WordRows, is_held_out
 #: Rows a model is fitted on at most, and the words and n-grams that it keeps at most, the most frequent.
 FIT_ROWS, MOST_WORDS, MOST_GRAMS = 20_000, 60_000, 60_000
 LONGEST, SMOOTHING = 5, 0.5
-WORDS = 150_000
+WORDS = 300_000
 UNKNOWN = "und"
 
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -115,16 +115,15 @@ def _predict(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         width = len(model.languages)
-        seen = WordRows(model.vote, width, WORDS)
+        seen = WordRows(lambda words: np.array([*map(model.vote, words)]), width, WORDS)
         for batch in batches:
             preds, scores = [], []
-            for text in batch.column("text").to_pylist():
-                words = words_of(text)
+            every = [words_of(t) for t in batch.column("text").to_pylist()]
+            for words, votes in zip(every, seen.totals(every), strict=True):
                 if not width or not any(any(map(str.isalpha, w)) for w in words):
                     preds.append(UNKNOWN)
                     scores.append(0.0)
                     continue
-                votes = seen.total(words)
                 best = int(votes.argmax())
                 preds.append(model.languages[best])
                 scores.append(float(1 / np.exp(votes - votes[best]).sum()))

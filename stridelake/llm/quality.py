@@ -8,10 +8,10 @@ gradient descent on a bounded sample of the labelled rows.
 
 from __future__ import annotations
 
-import math
+import re
 from collections import Counter
 from collections.abc import Iterator
-from itertools import islice
+from itertools import chain, islice
 from operator import eq
 
 import numpy as np
@@ -21,25 +21,27 @@ from pyspark.sql import functions as F
 
 from stridelake.llm.common import table
 from stridelake.llm.remembered import Remembered
-from stridelake.llm.text_features import WordRows, is_held_out, word_features
+from stridelake.llm.text_features import WordRows, bucket_of, grams_of, is_held_out
 
 #: Table size, vector length, n-gram lengths.
-BUCKETS, WIDTH, LEAST, MOST = 1 << 14, 8, 2, 4
+BUCKETS, WIDTH, LEAST, MOST = 1 << 14, 8, 3, 3
 #: Labelled rows that a model is fitted on at most, taken by the lowest hash of their ids.
 FIT_ROWS = 4000
 EPOCHS, RATE, SEED, THRESHOLD = 8, 1.0, 7, 0.7
 #: Words whose features or vectors a Python worker remembers.
-WORDS = 150_000
+WORDS, GRAMS = 300_000, 200_000
 
 
 #: Stands for the pair of a word and itself again, the one word bigram that all vocabularies share.
 AGAIN = "\x00again"
+_WORD = re.compile(r"\w+|[^\w\s]+")
 
 
 def words_of(text: str | None) -> list[str]:
-    """Words of a whole text, and a mark for each that repeats the one before it."""
-    words = (text or "").split()
-    return words + [AGAIN] * sum(map(eq, words, islice(words, 1, None)))
+    """Words and runs of marks of a whole text, and a sign for each that repeats one of the two before it."""
+    words = _WORD.findall(text or "")
+    again = sum(map(eq, words, islice(words, 1, None))) + sum(map(eq, words, islice(words, 2, None)))
+    return words + [AGAIN] * again
 
 
 def document_features(text: str | None, of_word: Remembered) -> tuple[np.ndarray, np.ndarray]:
@@ -119,7 +121,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", fit_rows: in
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    of_word = Remembered(lambda w: word_features(w, BUCKETS, LEAST, MOST), WORDS // 4)
+    of_gram = Remembered(lambda g: bucket_of(g, BUCKETS), GRAMS)
+    of_word = Remembered(lambda w: np.array([of_gram[g] for g in grams_of(w, LEAST, MOST)]), WORDS // 8)
     for batch in batches:
         found = [document_features(t, of_word) for t in batch.column("text").to_pylist()]
         columns = [batch.column("doc_id"), batch.column("y"), pa.array([i.astype(np.uint16).tobytes() for i, _ in found], pa.binary()), pa.array([a.astype(np.float32).tobytes() for _, a in found], pa.binary())]
@@ -133,10 +136,18 @@ def _score(shared):
         vectors, weights, bias = shared.value
         model = Model(vectors.astype(np.float64), weights, bias)
         width = vectors.shape[1]
-        seen = WordRows(lambda w: model.vectors[word_features(w, BUCKETS, LEAST, MOST)].mean(axis=0), width, WORDS)
+        of_gram = Remembered(lambda g: bucket_of(g, BUCKETS), GRAMS)
+
+        def of_words(words: list[str]) -> np.ndarray:
+            grams = [grams_of(w, LEAST, MOST) for w in words]
+            sizes = np.fromiter(map(len, grams), np.int64, len(grams))
+            flat = np.fromiter(map(of_gram.__getitem__, chain.from_iterable(grams)), np.int64, sizes.sum())
+            return np.add.reduceat(model.vectors[flat], np.cumsum(sizes) - sizes) / sizes[:, None]
+
+        seen = WordRows(of_words, width, WORDS)
         for batch in batches:
             every = [words_of(t) for t in batch.column("text").to_pylist()]
-            documents = np.array([seen.total(w) / max(1, len(w)) for w in every]).reshape(-1, width)
+            documents = seen.totals(every) / np.maximum(1, np.fromiter(map(len, every), np.int64, len(every)))[:, None]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(model.scores(documents))], names=["doc_id", "score"])
 
     return run

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import re
 import zlib
+from collections.abc import Callable
 
 import numpy as np
 
-_SPACE = re.compile(r"\s+")
-
 
 def is_held_out(doc_id, parts: int, rest: int):
     """Spark column: whether crc32 of the id as text leaves ``rest`` by ``parts``."""
@@ -17,41 +15,64 @@ def is_held_out(doc_id, parts: int, rest: int):
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(parts)) == rest
 
 
-def word_features(word: str, buckets: int, least: int, most: int) -> np.ndarray:
-    """Bucket numbers of a word: the word itself and its n-grams with borders marked."""
+def grams_of(word: str, least: int, most: int) -> list[str]:
+    """A word with its borders marked, and its character n-grams."""
     raw = f"<{word}>"
-    grams = [raw]
+    out = [raw]
     for n in range(least, most + 1):
-        grams += [raw[i : i + n] for i in range(len(raw) - n + 1)]
-    return np.array([zlib.crc32(g.encode("utf-8", "surrogatepass")) % buckets for g in grams], dtype=np.int64)
+        out += [raw[i : i + n] for i in range(len(raw) - n + 1)]
+    return out
+
+
+def bucket_of(gram: str, buckets: int) -> int:
+    """Bucket number of a word or n-gram."""
+    return zlib.crc32(gram.encode("utf-8", "surrogatepass")) % buckets
 
 
 class WordRows:
-    """Sums of word vectors; the vectors of words seen lately are remembered."""
+    """Sums of word vectors; the vectors of words seen lately are remembered.
 
-    def __init__(self, make, width: int, most: int):
-        self.make, self.most = make, most
+    ``make`` turns a list of words into a matrix of their vectors, so the work on
+    new words is done for many at once. When the memory is full, it starts afresh
+    with the words at hand.
+    """
+
+    def __init__(self, make: Callable[[list[str]], np.ndarray], width: int, most: int):
+        self.make, self.most, self.width = make, most, width
         self.place: dict[str, int] = {}
         self.rows = np.zeros((most, width))
 
-    def total(self, words: list[str]) -> np.ndarray:
-        """Sum of the vectors of the words, repeats included."""
-        got = [*map(self.place.get, words)]
-        extra = 0.0
-        if None in got:
-            if len(self.place) >= self.most:
+    def totals(self, documents: list[list[str]], at_once: int = 100_000) -> np.ndarray:
+        """Per document the sum of its words' vectors, repeats included."""
+        out = np.zeros((len(documents), self.width))
+        start = 0
+        while start < len(documents):
+            end, size = start, 0
+            while end < len(documents) and (end == start or size + len(documents[end]) <= at_once):
+                size += len(documents[end])
+                end += 1
+            self._some(documents[start:end], out[start:end])
+            start = end
+        return out
+
+    def _some(self, documents: list[list[str]], out: np.ndarray) -> None:
+        get = self.place.get
+        got = [[*map(get, words)] for words in documents]
+        fresh = {w for words, g in zip(documents, got, strict=True) if None in g for w, p in zip(words, g, strict=True) if p is None}
+        if fresh:
+            if len(self.place) + len(fresh) > self.most:
                 self.place.clear()
-                got = [None] * len(words)
-            for k, (w, g) in enumerate(zip(words, got, strict=True)):
-                if g is None:
-                    at = self.place.get(w)
-                    if at is None:
-                        vector = self.make(w)
-                        if len(self.place) >= self.most:
-                            extra = extra + vector
-                            continue
-                        at = self.place[w] = len(self.place)
-                        self.rows[at] = vector
-                    got[k] = at
-            got = [g for g in got if g is not None]
-        return self.rows[got].sum(axis=0) + extra
+                fresh = {w for words in documents for w in words}
+            new = [*fresh]
+            if len(new) > self.most:  # one text with more words than the memory holds
+                for k, words in enumerate(documents):
+                    for i in range(0, len(words), self.most):
+                        out[k] += self.make(words[i : i + self.most]).sum(axis=0)
+                return
+            first = len(self.place)
+            self.place.update(zip(new, range(first, first + len(new)), strict=True))
+            self.rows[first : first + len(new)] = self.make(new)
+            got = [[*map(get, words)] for words in documents]
+        for k, g in enumerate(got):
+            if g:
+                out[k] = self.rows[g].sum(axis=0)
