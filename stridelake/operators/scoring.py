@@ -69,12 +69,12 @@ def time_to_reach(df: DataFrame, keys: Sequence[str], ts: str, speed: str, thres
     return timed.groupBy(*keys).agg(*(F.min(F.when(F.col(speed) >= t, F.col("__t"))).alias(f"t_{t:g}".replace(".", "_")) for t in thresholds))
 
 
-def run_out(df: DataFrame, keys: Sequence[str], ts: str, speed: str, progress: str, seconds: float = 2.0, line: float = 1.0) -> DataFrame:
+def run_out(df: DataFrame, keys: Sequence[str], ts: str, speed: str, progress: str, within: float = 2.0, line: float = 1.0) -> DataFrame:
     """Mean speed in the seconds after the line is first reached."""
     at = seconds(ts)
     first = F.min(F.when(F.col(progress) <= line, at)).over(Window.partitionBy(*keys))
     after = df.withColumn("__d", at - first)
-    return after.groupBy(*keys).agg(F.avg(F.when((F.col("__d") >= 0) & (F.col("__d") <= seconds), F.col(speed))).alias("run_out_speed"))
+    return after.groupBy(*keys).agg(F.avg(F.when((F.col("__d") >= 0) & (F.col("__d") <= within), F.col(speed))).alias("run_out_speed"))
 
 
 def peak(df: DataFrame, keys: Sequence[str], speed: str, stride: str, position: str, order: Sequence[str]) -> DataFrame:
@@ -118,14 +118,18 @@ def fit_temperature(df: DataFrame, race: Sequence[str], score: str, win: str, lo
     for _ in range(rounds):
         grid = [lo * (hi / lo) ** (k / (steps - 1)) for k in range(steps)]
         sums = per_race.agg(*(F.sum(F.exp(F.col("__s") / t)).alias(f"e{k}") for k, t in enumerate(grid)), F.collect_list(F.when(F.col("__y") == 1, F.col("__s"))).alias("__w"))
-        loss = [F.sum(F.aggregate("__w", F.lit(0.0), lambda a, s, t=t, k=k: a - F.log(F.exp(s / t) / (F.col(f"e{k}") + eps) + eps))).alias(f"l{k}") for k, t in enumerate(grid)]
-        got = sums.agg(*loss).head()
+        got = sums.agg(*(F.sum(_winner_loss(F.col(f"e{k}"), t, eps)).alias(f"l{k}") for k, t in enumerate(grid))).head()
         k = min(range(steps), key=lambda i: (got[f"l{i}"] if got[f"l{i}"] is not None else 0.0, i))
         best = (grid[k], got[f"l{k}"])
         lo, hi = grid[max(0, k - 1)], grid[min(steps - 1, k + 1)]
     return df.sparkSession.createDataFrame([best], "temperature double, nll double")
 
 
+def _winner_loss(total: Column, temperature: float, eps: float) -> Column:
+    """Negative log likelihood of a race's winners, whose scores are in ``__w``."""
+    return F.aggregate("__w", F.lit(0.0), lambda a, s: a - F.log(F.exp(s / temperature) / (total + eps) + eps))
+
+
 def calibrate(df: DataFrame, race: Sequence[str], score: str, temperature: float) -> DataFrame:
     """Calibrated probability and its logit."""
     out = softmax(df, race, score, temperature, "calibrated_prob")

@@ -113,10 +113,15 @@ def multi_leg(wagers: DataFrame, races: DataFrame, card: Sequence[str], number:
         out = out.join(side, [*card, number])
     combos = F.transform(F.col("__c0"), lambda x: F.array(x))
     for k in range(1, n_legs):
-        combos = F.flatten(F.transform(combos, lambda done, k=k: F.transform(F.col(f"__c{k}"), lambda x: F.concat(done, F.array(x)))))
+        combos = _with_leg(combos, F.col(f"__c{k}"))
     return out.withColumn("ticket", F.explode(combos)).drop(*(f"__c{k}" for k in range(n_legs)))
 
 
+def _with_leg(combos: Column, choices: Column) -> Column:
+    """Every combination so far with every choice of one more leg."""
+    return F.flatten(F.transform(combos, lambda done: F.transform(choices, lambda x: F.concat(done, F.array(x)))))
+
+
 def settle(bets: DataFrame, results: DataFrame, on: Sequence[str], stake: str = "stake", winners: str = "winners", payoff: str = "posted_payoff", base: str = "posted_base") -> DataFrame:
     """Hit and payoff of tickets: each place must be among that leg's (tied) winners; paid by stake over base."""
     joined = bets.join(results, list(on), "left")

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stridelake.plans import q_aggs, q_clean, q_joins, q_shape, q_windows
+from stridelake.plans import q_aggs, q_clean, q_joins, q_scoring, q_shape, q_sources, q_streaming, q_wager, q_windows
 
-GROUPS: list = [q_shape, q_joins, q_windows, q_aggs, q_clean]
+GROUPS: list = [q_shape, q_joins, q_windows, q_aggs, q_clean, q_scoring, q_wager, q_sources, q_streaming]
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
