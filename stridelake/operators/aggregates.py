@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from stridelake.functions.geometry import haversine
 from stridelake.functions.numeric import rate
+from stridelake.operators.cleaning import with_group
 
 
 def ntile_pivot(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int, aggs: Mapping[str, Column]) -> DataFrame:
@@ -93,7 +94,7 @@ def net_sentiment(df: DataFrame, key: str, text: str, good: str = "[+", bad: str
 
 def par_value(df: DataFrame, by: Sequence[str], col: str, out: str = "par") -> DataFrame:
     """Mean of the group's values that are neither null nor 0, to two places, beside each row."""
-    return df.withColumn(out, F.round(F.avg(F.when(F.col(col) != 0, F.col(col))).over(Window.partitionBy(*by)), 2))
+    return with_group(df, by, {out: F.round(F.avg(F.when(F.col(col) != 0, F.col(col))), 2)})
 
 
 def finish_time(df: DataFrame, keys: Sequence[str], running: str) -> DataFrame:
@@ -239,7 +240,7 @@ def arm_rewards(bets: DataFrame, races: DataFrame, key: Sequence[str], arm: str,
 def race_context(df: DataFrame, key: Sequence[str], odds: str, prob: str, ddof: int = 1) -> DataFrame:
     """Field size, lowest and mean odds, best and second probability, their gap and deviation.
 
-    The two best come from a bounded aggregate, not a sorted list of the field.
+    A field is the runners of one race, a few dozen, so its list fits a row.
     """
     dev = F.stddev_samp if ddof else F.stddev_pop
     out = df.groupBy(*key).agg(

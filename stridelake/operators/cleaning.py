@@ -22,6 +22,16 @@ def with_global(df: DataFrame, aggs: Mapping[str, Column]) -> DataFrame:
     return df.crossJoin(F.broadcast(df.agg(*(a.alias(n) for n, a in aggs.items()))))
 
 
+def with_group(df: DataFrame, by: Sequence[str], aggs: Mapping[str, Column]) -> DataFrame:
+    """Statistics of its group beside every row, for groups of any size.
+
+    The groups are summed map-side and joined back, so a group that holds a third
+    of the rows is not brought into one task as a window would. Null keys are a group.
+    """
+    stats = df.groupBy(*(F.col(k).alias(f"__k_{k}") for k in by)).agg(*(a.alias(n) for n, a in aggs.items()))
+    return df.join(stats, [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in by], "left").drop(*(f"__k_{k}" for k in by))
+
+
 def impute_ladder(df: DataFrame, cols: Sequence[str], group: Sequence[str], stat: str = "mean", final: float | None = None, pre: Mapping[str, Column] | None = None, override: Column | None = None, override_value: float = 0.0) -> DataFrame:
     """Fill nulls by the group's statistic, then the table's, then a constant.
 
@@ -29,8 +39,7 @@ def impute_ladder(df: DataFrame, cols: Sequence[str], group: Sequence[str], stat
     margin); ``pre`` gives a value to try before the group, such as a carried one.
     """
     if group:
-        w = Window.partitionBy(*group)
-        df = df.withColumns({f"__g_{c}": _stat(stat, c).over(w) for c in cols})
+        df = with_group(df, group, {f"__g_{c}": _stat(stat, c) for c in cols})
     else:
         df = df.withColumns({f"__g_{c}": F.lit(None).cast("double") for c in cols})
     df = with_global(df, {f"__a_{c}": _stat(stat, c) for c in cols})
@@ -104,8 +113,8 @@ def iqr(df: DataFrame, col: str, action: str = "list", k: float = 1.5, group: Se
     elif action == "cap":
         out = df.withColumn(col, clamp_to(F.col(col), low, high))
     elif action == "mean":
-        inner = F.avg(F.when(~outside, F.col(col))).over(Window.partitionBy(*group))
-        out = df.withColumn(col, F.when(outside, inner).otherwise(F.col(col)))
+        out = with_group(df, group, {"__inner": F.avg(F.when(~outside, F.col(col)))})
+        out = out.withColumn(col, F.when(outside, F.col("__inner")).otherwise(F.col(col))).drop("__inner")
     else:
         raise ValueError(f"unknown action {action}")
     return out.drop("__q")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stridelake.functions.clock import seconds
 from stridelake.functions.numeric import clamp_to, inv_norm, rate
-from stridelake.operators.cleaning import impute_ladder, with_global
+from stridelake.operators.cleaning import impute_ladder, with_global, with_group
 from stridelake.operators.windows import elapsed, rank_in_group, softmax
 
 
@@ -24,8 +24,7 @@ def class_multiplier(df: DataFrame, rating: str, race: Sequence[str], low: float
 
 def raw_performance(df: DataFrame, par: Sequence[str], distance: str, time: str, ran: str, beaten: str, alpha: float = 50.0) -> DataFrame:
     """Speed x wide factor x class multiplier x (1 + alpha x par ratio), less a penalty of 10 at most."""
-    mean = F.avg(time).over(Window.partitionBy(*par))
-    df = df.withColumn("par_time", mean)
+    df = with_group(df, par, {"par_time": F.avg(time)})
     ratio = F.try_divide(F.col("par_time") - F.col(time), F.col("par_time"))
     score = F.try_divide(F.col(distance), F.col(time)) * F.try_divide(F.col(distance), F.col(ran)) * F.col("class_multiplier") * (1 + alpha * ratio)
     return df.withColumns({"par_diff_ratio": ratio, "raw_performance": score - F.least(F.col(beaten) * 0.25, F.lit(10.0))})
@@ -88,10 +87,9 @@ def scaled_target(df: DataFrame, track: Sequence[str], race: Sequence[str], time
     winners = df.groupBy(*track, *race).agg(F.min(time).alias("__w")).groupBy(*track).agg(F.percentile("__w", 0.5).alias("par"))
     effective = F.col(time) + alpha * F.col(beaten) if beaten else F.col(time)
     joined = df.join(winners, list(track)).withColumn("speed_diff", F.col("par") - effective).filter(F.col("speed_diff").isNotNull())
-    w = Window.partitionBy(*track)
-    least, most = F.min("speed_diff").over(w), F.max("speed_diff").over(w)
-    scaled = F.coalesce(lo + F.try_divide(F.col("speed_diff") - least, most - least) * (hi - lo), F.lit(hi))
-    return joined.withColumn("target", scaled)
+    bounded = with_group(joined, track, {"__lo": F.min("speed_diff"), "__hi": F.max("speed_diff")})
+    scaled = F.coalesce(lo + F.try_divide(F.col("speed_diff") - F.col("__lo"), F.col("__hi") - F.col("__lo")) * (hi - lo), F.lit(hi))
+    return bounded.withColumn("target", scaled).drop("__lo", "__hi")
 
 
 def ensemble(df: DataFrame, by: Sequence[str], item: str, model: str, score: str, models: Sequence[str]) -> DataFrame:
