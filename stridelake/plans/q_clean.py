@@ -145,7 +145,7 @@ def _(spark, d):
     return capped.select("vec_id", F.round(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x), 4).alias("total"))
 
 
-@add("i17_encode_pipeline")
+@add("i17_encode_pipeline", R + " SELECT race, num, (SELECT CAST(count(DISTINCT track) + count(DISTINCT surface) + 2 AS INTEGER) FROM runners WHERE race_date < DATE '1998-01-01') AS width, round(score / (SELECT stddev_samp(score) FROM runners WHERE race_date < DATE '1998-01-01'), 6) AS scaled_score FROM runners")
 def _(spark, d):
     from pyspark.ml.functions import vector_to_array
 

@@ -176,7 +176,7 @@ def _(spark, d):
     return spark.read.parquet(at).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
 
 
-@add("k1_snapshot")
+@add("k1_snapshot", "SELECT n_nationkey AS id, n_name AS name FROM nation")
 def _(spark, d):
     """JDBC needs a database and its driver: the one on Spark's own class path is Derby, filled from the given table."""
     name = uuid.uuid4().hex
