@@ -34,8 +34,6 @@ _HIDDEN = re.compile(r"(?is)<!--.*?(?:-->|\Z)|<(script|style|noscript|template|h
 _TITLE = re.compile(r"(?is)<title\b[^>]*>(.*?)</title\s*>")
 _BREAK = re.compile(r"(?i)</?(?:p|div|br|li|ul|ol|tr|table|h[1-6]|article|section|nav|header|footer|blockquote|pre|title)\b[^>]*>")
 _TAG = re.compile(r"(?s)<[^>]*>")
-_BLANKS = re.compile(r"[^\S\n]+")
-_LINES = re.compile(r" ?\n[ \n]*")
 
 
 def digest(content: bytes) -> str:
@@ -52,9 +50,9 @@ def plain_text(html: str) -> str:
     """Title and body text: no tags, scripts or styles; a line for each block; entities resolved."""
     title = _TITLE.search(html)
     body = _HIDDEN.sub(" ", html)
-    text = (title[1] + "\n" if title else "") + _TAG.sub("", _BREAK.sub("\n", body))
-    text = html_entities.unescape(_TAG.sub("", text))
-    return _LINES.sub("\n", _BLANKS.sub(" ", text)).strip()
+    text = (_TAG.sub("", title[1]) + "\n" if title else "") + _TAG.sub("", _BREAK.sub("\n", body))
+    lines = [" ".join(line.split()) for line in html_entities.unescape(text).split("\n")]
+    return "\n".join(filter(None, lines))
 
 
 def build(kind: str, headers: list[tuple[str, str]], content: bytes) -> bytes:
@@ -126,16 +124,17 @@ def derive(record: bytes) -> tuple[bytes, bytes] | None:
     except LookupError:
         page = payload.decode("utf-8", "replace")
     text = plain_text(page).encode("utf-8", "replace")
+    text_digest = digest(text)
     conversion_id = record_id("conversion", source)
     shared = [("WARC-Refers-To", source), ("WARC-Target-URI", uri), ("WARC-Date", date)]
-    conversion = build("conversion", [("WARC-Record-ID", conversion_id), *shared, ("WARC-Block-Digest", digest(text)), ("WARC-Source-Payload-Digest", payload_digest), ("Content-Type", "text/plain; charset=utf-8")], text)
+    conversion = build("conversion", [("WARC-Record-ID", conversion_id), *shared, ("WARC-Block-Digest", text_digest), ("WARC-Source-Payload-Digest", payload_digest), ("Content-Type", "text/plain; charset=utf-8")], text)
     fields = [
         ("source-status", status),
         *((f"source-header-{h.partition(':')[0].strip().lower()}", h.partition(":")[2].strip()) for h in http if ":" in h),
         ("source-payload-digest", payload_digest),
         ("source-block-digest", headers.get("warc-block-digest") or digest(block)),
         ("conversion-record-id", conversion_id),
-        ("conversion-block-digest", digest(text)),
+        ("conversion-block-digest", text_digest),
         ("text-length", str(len(text))),
     ]
     body = b"".join(f"{k}: {v}\r\n".encode("utf-8", "surrogatepass") for k, v in fields)
@@ -206,24 +205,24 @@ def write_derivatives(records: DataFrame, folder: str, file_records: int = FILE_
     return records.mapInArrow(run, "key string, path string, meta_at long, meta_size long, text_at long, text_size long")
 
 
-def read_derivatives(spark: SparkSession, folder: str) -> DataFrame:
-    """Per response, from the files: what its metadata and conversion records say."""
+def read_derivatives(spark: SparkSession, folder: str, keep_text: bool = True) -> DataFrame:
+    """Per response, from the files: what its metadata and conversion records say, with the text or its digest alone."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["path", "n", "refers_to", "metadata_id", "conversion_id", "target_uri", "source_payload_digest", "text_digest", "linked", "text_length", "text"]
+        names = ["path", "n", "refers_to", "metadata_id", "conversion_id", "target_uri", "source_payload_digest", "text_digest", "linked", "text_length", "text_sha256", "text"][: 12 if keep_text else 11]
         for batch in batches:
             for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist(), strict=True):
                 found, out = parse_all(gzip.decompress(content)), []
                 for n, ((meta, body), (conv, text)) in enumerate(zip(found, found, strict=True)):
                     fields = dict(line.split(": ", 1) if ": " in line else (line.rstrip(":"), "") for line in body.decode("utf-8", "surrogatepass").split("\r\n") if line)
                     linked = meta["warc-refers-to"] == conv["warc-refers-to"] and fields["conversion-record-id"] == conv["warc-record-id"] and digest(text) == conv["warc-block-digest"] == fields["conversion-block-digest"]
-                    out.append((path, n, meta["warc-refers-to"], meta["warc-record-id"], conv["warc-record-id"], conv["warc-target-uri"], fields["source-payload-digest"], conv["warc-block-digest"], linked, len(text), text.decode("utf-8")))
+                    out.append((path, n, meta["warc-refers-to"], meta["warc-record-id"], conv["warc-record-id"], conv["warc-target-uri"], fields["source-payload-digest"], conv["warc-block-digest"], linked, len(text), hashlib.sha256(text).hexdigest(), *([text.decode("utf-8")] if keep_text else ())))
                 columns = list(zip(*out, strict=True)) or [[]] * len(names)
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, [pa.string(), pa.int32(), *[pa.string()] * 6, pa.bool_(), pa.int64(), pa.string()], strict=True)], names=names)
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, [pa.string(), pa.int32(), *[pa.string()] * 6, pa.bool_(), pa.int64(), pa.string(), pa.string()][: len(names)], strict=True)], names=names)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*.warc.gz").load(folder)
     named = files.select(F.element_at(F.split("path", "/"), -1).alias("path"), "content")
-    return named.mapInArrow(run, "path string, n int, refers_to string, metadata_id string, conversion_id string, target_uri string, source_payload_digest string, text_digest string, linked boolean, text_length long, text string")
+    return named.mapInArrow(run, "path string, n int, refers_to string, metadata_id string, conversion_id string, target_uri string, source_payload_digest string, text_digest string, linked boolean, text_length long, text_sha256 string" + ", text string" * keep_text)
 
 
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -232,12 +231,11 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch.path("warc")
     index = write_derivatives(responses(table(spark, sf_dir, "pages")), folder)
     index = scratch.save(index.withColumn("n", F.row_number().over(_by_place()) - 1), "index")
-    back = read_derivatives(spark, folder)
+    back = read_derivatives(spark, folder, keep_text=False)
     joined = back.join(index.select("path", "n", "key"), ["path", "n"])
     return joined.select(
         F.col("key").cast("long").alias("page_id"),
-        "refers_to", "metadata_id", "conversion_id", "target_uri", "source_payload_digest", "text_digest", "linked", "text_length",
-        F.sha2("text", 256).alias("text_sha256"),
+        "refers_to", "metadata_id", "conversion_id", "target_uri", "source_payload_digest", "text_digest", "linked", "text_length", "text_sha256",
     )
 
 
