@@ -13,6 +13,7 @@ import base64
 import gzip
 import hashlib
 import html as html_entities
+import io
 import re
 import uuid
 from collections.abc import Iterator
@@ -74,6 +75,12 @@ def parse(record: bytes) -> tuple[dict[str, str], bytes]:
     return headers, rest[: int(headers["content-length"])]
 
 
+def unpacked(content: bytes) -> bytes:
+    """A file's content; read as a stream, as it has thousands of gzip members."""
+    with gzip.GzipFile(fileobj=io.BytesIO(content)) as packed:
+        return packed.read()
+
+
 def parse_all(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """All records of a file's unpacked content, in order."""
     at = 0
@@ -212,7 +219,7 @@ def read_derivatives(spark: SparkSession, folder: str, keep_text: bool = True) -
         names = ["path", "n", "refers_to", "metadata_id", "conversion_id", "target_uri", "source_payload_digest", "text_digest", "linked", "text_length", "text_sha256", "text"][: 12 if keep_text else 11]
         for batch in batches:
             for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist(), strict=True):
-                found, out = parse_all(gzip.decompress(content)), []
+                found, out = parse_all(unpacked(content)), []
                 for n, ((meta, body), (conv, text)) in enumerate(zip(found, found, strict=True)):
                     fields = dict(line.split(": ", 1) if ": " in line else (line.rstrip(":"), "") for line in body.decode("utf-8", "surrogatepass").split("\r\n") if line)
                     linked = meta["warc-refers-to"] == conv["warc-refers-to"] and fields["conversion-record-id"] == conv["warc-record-id"] and digest(text) == conv["warc-block-digest"] == fields["conversion-block-digest"]
