@@ -174,14 +174,15 @@ def brute_repeats(docs, run=3, least=10):
         return [s.strip() for s in re.split(r"\n+", t) if s.strip()]
 
     seen, gone = {}, defaultdict(set)
-    parts = {i: split(t) for i, t in docs}
+    parts = {i: [" ".join(s.split()[k : k + 12]) for s in split(x) for k in range(0, len(s.split()), 12)] for i, x in docs}
     for i in sorted(parts):
-        for p in range(len(parts[i]) - run + 1):
-            said = "\n".join(" ".join(s.lower().split()) for s in parts[i][p : p + run])
-            if len(said.split()) < least:
+        for p in range(len(parts[i])):
+            sizes = [n for n in range(run, least + 1) if p + n <= len(parts[i]) and sum(len(s.split()) for s in parts[i][p : p + n]) >= least]
+            if not sizes:
                 continue
+            said = "\n".join(" ".join(s.lower().split()) for s in parts[i][p : p + sizes[0]])
             if said in seen:
-                gone[i] |= set(range(p, p + run))
+                gone[i] |= set(range(p, p + sizes[0]))
             else:
                 seen[said] = (i, p)
     return {i: (len(parts[i]), sorted(gone[i])) for i in parts}
@@ -189,9 +190,9 @@ def brute_repeats(docs, run=3, least=10):
 
 def test_sentence_spans_match_brute_force(spark, scratch):
     passage = "The first thing is here. A second thing follows it now. Then the third thing comes along. Fourth and last of them."
-    docs = [(1, f"Intro words. {passage} Outro."), (2, f"other start {passage} And more text."), (3, passage), (4, None), (5, ""), (6, "No. No. No. No. No."), (7, f"{passage} {passage}"), (8, "Yes. No. Yes. No. Yes. No."), (9, "z " * 40000)]
+    docs = [(1, f"Intro words. {passage} Outro."), (2, f"other start {passage} And more text."), (3, passage), (4, None), (5, ""), (6, "No. No. No. No. No."), (7, f"{passage} {passage}"), (8, "Yes. No. Yes. No. Yes. No."), (9, "z " * 4000), (10, "WAS!! ED!! OF!! THE!! AN!! IN!! ON!! AS!! TO!! IT!! BE!!"), (11, "x. WAS!! ED!! OF!! THE!! AN!! IN!! ON!! AS!! TO!! IT!! BE!!")]
     frame = spark.createDataFrame([(i, t, 1) for i, t in docs], "doc_id long, text string, key int")
-    got = {r["doc_id"]: r for r in sentence_spans.dedup_sentences(frame, scratch).collect()}
+    got = {r["doc_id"]: r for r in sentence_spans.dedup_sentences(frame, scratch, least_words=10).collect()}
     assert {i: (r["n_sentences"], list(r["removed"])) for i, r in got.items()} == brute_repeats(docs)
     assert got[1]["clean_text"] == docs[0][1] and got[3]["clean_text"] == "" and got[4]["clean_text"] is None
     assert got[2]["clean_text"] == "other start And more text."
@@ -201,6 +202,6 @@ def test_sentence_spans_match_brute_force(spark, scratch):
 def test_sentence_spans_with_repeated_and_null_ids(spark, scratch):
     text = "One two three four. Five six seven eight. Nine ten eleven twelve."
     frame = spark.createDataFrame([(1, text), (1, text), (None, text), (None, "a")], "doc_id long, text string")
-    got = sentence_spans.dedup_sentences(frame, scratch).collect()
+    got = sentence_spans.dedup_sentences(frame, scratch, least_words=10).collect()
     assert len(got) == 4
     assert sorted(r["n_removed"] for r in got) == [0, 0, 3, 3]
