@@ -31,7 +31,13 @@ DATE = "2024-01-01T00:00:00Z"
 _SPACE_OF_IDS = uuid.uuid5(uuid.NAMESPACE_URL, "urn:warc:derivatives")
 _CRLF = b"\r\n"
 
-_HIDDEN = re.compile(r"(?is)<!--.*?(?:-->|\Z)|<(script|style|noscript|template|head)\b.*?(?:</\1\s*>|\Z)")
+#: A head may lack its end tag: it ends before the first text or element that cannot stand in one. Its
+#: parts are taken possessively, so a page is read once.
+_HEAD = (
+    r"<head(?=[\s/>])[^>]*>(?:\s++|<!--.*?(?:-->|\Z)|<(script|style|noscript|template|title|noframes)\b(?:(?!</\1\s*>).)*+</\1\s*>"
+    r"|<(?:base|basefont|bgsound|link|meta|head)\b[^>]*>|</(?!(?:head|body|html|br)\b)[^>]*>|<[!?](?!--)[^>]*>)*+(?:</head\s*>)?"
+)
+_HIDDEN = re.compile(rf"(?is)<!--.*?(?:-->|\Z)|{_HEAD}|<(script|style|noscript|template)\b.*?(?:</\2\s*>|\Z)")
 _TITLE = re.compile(r"(?is)<title\b[^>]*>(.*?)</title\s*>")
 _BREAK = re.compile(r"(?i)</?(?:p|div|br|li|ul|ol|tr|table|h[1-6]|article|section|nav|header|footer|blockquote|pre|title)\b[^>]*>")
 _TAG = re.compile(r"(?s)<[^>]*>")
