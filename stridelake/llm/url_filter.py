@@ -60,23 +60,55 @@ def rule_of(host: Column, path: Column, rules: tuple[Rule, ...] = RULES) -> Colu
     return found
 
 
+#: Entities that may stand in a URL; an ampersand comes last, so that nothing is decoded twice.
+_ENTITIES = ((r"&quot;|&#0*34;|&#[xX]0*22;", '"'), (r"&apos;|&#0*39;|&#[xX]0*27;", "'"), (r"&#0*47;|&#[xX]0*2[fF];|&sol;", "/"), (r"&amp;|&#0*38;|&#[xX]0*26;", "&"))
+
+
+def _resolved(base: Column, target: Column) -> Column:
+    """An absolute URL for a target that a page of the given URL names; a whole URL stays to the letter."""
+    origin = F.regexp_extract(base, r"\A[^/?#]*://[^/?#]*", 0)
+    path = F.regexp_extract(base, r"\A[^/?#]*://[^/?#]*([^?#]*)", 1)
+    folder = F.when(path == "", F.lit("/")).otherwise(F.regexp_extract(path, r"(?s)\A.*/", 0))
+    tail = F.regexp_extract(target, r"(?s)\A[^?#]*(.*)", 1)
+    own = F.regexp_extract(target, r"\A[^?#]*", 0)
+
+    def step(done: Column, part: Column) -> Column:
+        up = F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0)))
+        return F.when(part == "..", up).when(part == ".", done).otherwise(F.array_append(done, part))
+
+    parts = F.split(F.regexp_replace(F.concat(folder, own), r"\A/", ""), "/")
+    # A path that ends in a dot segment ends with a slash.
+    parts = F.when(F.element_at(parts, -1).isin(".", ".."), F.array_append(parts, F.lit(""))).otherwise(parts)
+    walked = F.concat(F.lit("/"), F.array_join(F.aggregate(parts, F.array().cast("array<string>"), step), "/"))
+    return (
+        F.when(target.rlike(r"\A[A-Za-z][A-Za-z0-9+.-]*:"), target)
+        .when(target.startswith("//"), F.concat(F.regexp_extract(origin, r"\A[^/]*:", 0), target))
+        .when(target.startswith("/"), F.concat(origin, target))
+        .when(origin == "", F.lit(""))
+        .when(target.startswith("#"), F.concat(F.regexp_extract(base, r"\A[^#]*", 0), target))
+        .when(target.startswith("?"), F.concat(origin, path, target))
+        .otherwise(F.concat(origin, walked, tail))
+    )
+
+
 def declared_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """Edges (a, b) that pages declare: canonical links and immediate redirects.
+    """Edges (a, b) that pages declare: all canonical links and immediate redirects.
 
-    Absolute targets count as they are; those that begin with ``/`` take scheme
-    and host of the page. Each page gives two edges at most.
+    Targets have their entities decoded; relative ones are resolved against the
+    page. Targets without ``://``, such as mail addresses, give no edge.
     """
     head = F.coalesce(F.col(html), F.lit(""))
-    tag = F.regexp_extract(head, r"(?is)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>", 0)
-    refresh = F.regexp_extract(head, r"(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>", 0)
-    targets = F.array(
-        F.regexp_extract(tag, r"(?is)\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1),
-        F.regexp_extract(refresh, r"(?is)\burl\s*=\s*[\"']?([^\"'\s>;]+)", 1),
+    tags = F.regexp_extract_all(head, F.lit(r"(?is)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>"), 0)
+    refreshes = F.regexp_extract_all(head, F.lit(r"(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>"), 0)
+    targets = F.concat(
+        F.transform(tags, lambda t: F.regexp_extract(t, r"(?is)\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1)),
+        F.transform(refreshes, lambda t: F.regexp_extract(t, r"(?is)\burl\s*=\s*[\"']?((?:&#?\w+;|[^\"'\s>;])+)", 1)),
     )
-    origin = F.regexp_extract(F.col(url), r"\A[^/?#]*://[^/?#]*", 0)
-    found = pages.filter(F.col(url).isNotNull()).select(F.col(url).alias("a"), origin.alias("o"), F.explode(targets).alias("t"))
-    absolute = F.when(F.col("t").startswith("//"), F.concat(F.regexp_extract("o", r"\A[^/]*:", 0), F.col("t"))).when(F.col("t").startswith("/"), F.concat("o", "t")).otherwise(F.col("t"))
-    return found.select("a", absolute.alias("b")).filter("b like '%://%'")
+    target = F.col("t")
+    for pattern, sign in _ENTITIES:
+        target = F.regexp_replace(target, pattern, sign)
+    found = pages.filter(F.col(url).isNotNull()).select(F.col(url).alias("a"), F.explode(targets).alias("t")).filter("t <> ''").select("a", target.alias("t"))
+    return found.select("a", _resolved(F.col("a"), F.col("t")).alias("b")).filter("b like '%://%'")
 
 
 def judge(pages: DataFrame, edges: DataFrame, scratch: Scratch, rules: tuple[Rule, ...] = RULES, page_id: str = "page_id", url: str = "url") -> DataFrame:
