@@ -12,11 +12,12 @@ FINISH_GATE, FURLONG_M, YARD_M, FURLONG_FT = 9999.0, 201.168, 0.9144, 660.0
 
 
 def gate_number(col: Column) -> Column:
-    """Furlongs of a gate name: ``6f`` 6, ``5.5f`` 5.5, ``6f5ft`` 6 and 5/660; ``finish`` the end; else null."""
+    """Furlongs of a gate name: ``6f`` 6, ``5.5f`` 5.5, ``5.5f5.5ft`` 5.5 and 5.5/660; ``finish`` the end; else null."""
     name = F.lower(F.trim(col))
-    furlongs = F.regexp_extract(name, r"^(\d+(?:\.\d+)?)f", 1).try_cast("double")
-    feet = F.coalesce(F.regexp_extract(name, r"f(\d+)ft$", 1).try_cast("double"), F.lit(0.0))
-    return F.when(F.contains(name, F.lit("finish")), F.lit(FINISH_GATE)).otherwise(furlongs + feet / FURLONG_FT)
+    whole = r"^(\d+(?:\.\d+)?)f(?:(\d+(?:\.\d+)?)ft)?$"
+    furlongs = F.regexp_extract(name, whole, 1).try_cast("double")
+    feet = F.coalesce(F.regexp_extract(name, whole, 2).try_cast("double"), F.lit(0.0))
+    return F.when(name == "finish", F.lit(FINISH_GATE)).otherwise(furlongs + feet / FURLONG_FT)
 
 
 def odds_to_prob(col: Column) -> Column:

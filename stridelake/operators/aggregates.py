@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 from stridelake.functions.geometry import haversine
 from stridelake.functions.numeric import rate
 from stridelake.operators.cleaning import with_group
+from stridelake.operators.joins import add_group_stats
+from stridelake.operators.quantiles import exact_quantiles
 
 
 def ntile_pivot(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int, aggs: Mapping[str, Column]) -> DataFrame:
@@ -204,11 +206,11 @@ def threshold_sweep(df: DataFrame, col: str, grid: Sequence[float], cost: str =
 
 def distribution_by(df: DataFrame, by: Sequence[str], cols: Sequence[str], ps: Sequence[float] = (0.5, 0.9)) -> DataFrame:
     """Mean and exact percentiles of columns by group."""
-    aggs = []
-    for c in cols:
-        aggs.append(F.avg(c).alias(f"{c}_mean"))
-        aggs += [F.percentile(c, p).alias(f"{c}_p{round(p * 100)}") for p in ps]
-    return df.groupBy(*by).agg(*aggs)
+    means = df.groupBy(*by).agg(*(F.avg(c).alias(f"{c}_mean") for c in cols))
+    found = exact_quantiles(df, by, cols, ps).withColumnsRenamed({c: f"__q_{c}" for c in cols})
+    joined = means.join(found, [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(by)], "left") if by else means.join(F.broadcast(found), how="left")
+    parts = [x for c in cols for x in (F.col(f"{c}_mean"), *(F.get(f"__q_{c}", F.lit(k)).alias(f"{c}_p{round(p * 100)}") for k, p in enumerate(ps)))]
+    return joined.select(*by, *parts)
 
 
 def histogram_share(df: DataFrame, keys: Sequence[str], item: str) -> DataFrame:
@@ -220,7 +222,9 @@ def histogram_share(df: DataFrame, keys: Sequence[str], item: str) -> DataFrame:
 
 def position_bias(df: DataFrame, pos: str, outcome: str) -> DataFrame:
     """Mean, median, deviation and count of an outcome by position, and the mean's bias against all rows."""
-    by = df.groupBy(pos).agg(F.avg(outcome).alias("mean"), F.percentile(outcome, 0.5).alias("median"), F.stddev_samp(outcome).alias("std"), F.count(outcome).alias("n"))
+    by = df.groupBy(pos).agg(F.avg(outcome).alias("mean"), F.stddev_samp(outcome).alias("std"), F.count(outcome).alias("n"))
+    medians = exact_quantiles(df, [pos], [outcome], (0.5,)).select("__k0", F.get(outcome, F.lit(0)).alias("median"))
+    by = by.join(medians, F.col(pos).eqNullSafe(F.col("__k0")), "left").select(pos, "mean", "median", "std", "n")
     overall = df.agg(F.avg(outcome).alias("__all"))
     return by.crossJoin(F.broadcast(overall)).withColumn("bias", F.col("mean") - F.col("__all")).drop("__all")
 
@@ -253,8 +257,8 @@ def race_context(df: DataFrame, key: Sequence[str], odds: str, prob: str, ddof:
 
 def full_coverage(df: DataFrame, by: Sequence[str], flag: str) -> DataFrame:
     """Rows of the groups in which every row has the flag."""
-    worst = F.min(F.coalesce(F.col(flag).cast("int"), F.lit(0))).over(Window.partitionBy(*by))
-    return df.withColumn("__w", worst).filter("__w = 1").drop("__w")
+    worst = F.min(F.coalesce(F.col(flag).cast("int"), F.lit(0)))
+    return add_group_stats(df, by, {"__w": worst}).filter("__w = 1").drop("__w")
 
 
 def bin_counts(df: DataFrame, col: str, width: float) -> DataFrame:

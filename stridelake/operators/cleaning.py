@@ -9,27 +9,18 @@ from pyspark.sql import functions as F
 
 from stridelake.functions.numeric import clamp_to
 from stridelake.functions.parsing import pad_array
-from stridelake.operators.joins import asof_join
+from stridelake.operators.joins import add_group_stats, asof_join
+from stridelake.operators.quantiles import exact_quantiles, with_quantiles
 from stridelake.operators.sets import union_by_name
 
 
-def _stat(stat: str, c: str) -> Column:
-    return F.percentile(c, 0.5) if stat == "median" else F.avg(c)
-
-
 def with_global(df: DataFrame, aggs: Mapping[str, Column]) -> DataFrame:
     """One row of statistics of the whole table beside every row: an aggregate and a one-row broadcast."""
     return df.crossJoin(F.broadcast(df.agg(*(a.alias(n) for n, a in aggs.items()))))
 
 
-def with_group(df: DataFrame, by: Sequence[str], aggs: Mapping[str, Column]) -> DataFrame:
-    """Statistics of its group beside every row, for groups of any size.
-
-    The groups are summed map-side and joined back, so a group that holds a third
-    of the rows is not brought into one task as a window would. Null keys are a group.
-    """
-    stats = df.groupBy(*(F.col(k).alias(f"__k_{k}") for k in by)).agg(*(a.alias(n) for n, a in aggs.items()))
-    return df.join(stats, [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in by], "left").drop(*(f"__k_{k}" for k in by))
+#: Statistics of its group beside every row, for groups of any size.
+with_group = add_group_stats
 
 
 def impute_ladder(df: DataFrame, cols: Sequence[str], group: Sequence[str], stat: str = "mean", final: float | None = None, pre: Mapping[str, Column] | None = None, override: Column | None = None, override_value: float = 0.0) -> DataFrame:
@@ -38,11 +29,14 @@ def impute_ladder(df: DataFrame, cols: Sequence[str], group: Sequence[str], stat
     ``override`` marks rows whose null is known to be ``override_value`` (a winner's
     margin); ``pre`` gives a value to try before the group, such as a carried one.
     """
-    if group:
-        df = with_group(df, group, {f"__g_{c}": _stat(stat, c) for c in cols})
-    else:
-        df = df.withColumns({f"__g_{c}": F.lit(None).cast("double") for c in cols})
-    df = with_global(df, {f"__a_{c}": _stat(stat, c) for c in cols})
+    kinds = [("__g_", group)] * bool(group) + [("__a_", ())]
+    for prefix, by in kinds:
+        if stat == "median":
+            df = with_quantiles(df, by, cols, (0.5,), prefix).withColumns({f"{prefix}{c}": F.get(f"{prefix}{c}", F.lit(0)) for c in cols})
+        elif by:
+            df = with_group(df, by, {f"{prefix}{c}": F.avg(c) for c in cols})
+        else:
+            df = with_global(df, {f"{prefix}{c}": F.avg(c) for c in cols})
     out = {}
     for c in cols:
         steps = [F.col(c)]
@@ -50,7 +44,7 @@ def impute_ladder(df: DataFrame, cols: Sequence[str], group: Sequence[str], stat
             steps.append(F.when(override, F.lit(override_value)))
         if pre and c in pre:
             steps.append(pre[c])
-        steps += [F.col(f"__g_{c}"), F.col(f"__a_{c}")]
+        steps += [F.col(f"{prefix}{c}") for prefix, _ in kinds]
         if final is not None:
             steps.append(F.lit(final))
         out[c] = F.coalesce(*steps)
@@ -59,9 +53,9 @@ def impute_ladder(df: DataFrame, cols: Sequence[str], group: Sequence[str], stat
 
 def impute_median_date(df: DataFrame, col: str, default: str = "1970-01-01") -> DataFrame:
     """Fill a date by the median date of the table, or the default if there is none."""
-    df = with_global(df, {"__m": F.percentile(F.unix_date(col), 0.5)})
-    median = F.date_from_unix_date(F.floor("__m").cast("int"))
-    return df.withColumn(col, F.coalesce(col, median, F.lit(default).cast("date"))).drop("__m")
+    df = with_quantiles(df.withColumn("__d", F.unix_date(col)), (), ["__d"], (0.5,), "__m")
+    median = F.date_from_unix_date(F.floor(F.get("__m__d", F.lit(0))).cast("int"))
+    return df.withColumn(col, F.coalesce(col, median, F.lit(default).cast("date"))).drop("__m__d", "__d")
 
 
 def fill_defaults(df: DataFrame, defaults: Mapping[str, object], flags: bool = False) -> DataFrame:
@@ -94,15 +88,15 @@ def clamp(df: DataFrame, bounds: Mapping[str, tuple[float | None, float | None]]
 
 
 def clamp_quantile(df: DataFrame, cols: Sequence[str], lo: float = 0.01, hi: float = 0.99) -> DataFrame:
-    """Keep columns within two of their exact percentiles, all found in one pass."""
-    df = with_global(df, {f"__q_{c}": F.percentile(c, F.array(F.lit(lo), F.lit(hi))) for c in cols})
+    """Keep columns within two of their exact percentiles, all found together."""
+    df = with_quantiles(df, (), cols, (lo, hi), "__q_")
     return df.withColumns({c: clamp_to(F.col(c), F.get(f"__q_{c}", F.lit(0)), F.get(f"__q_{c}", F.lit(1))) for c in cols}).drop(*(f"__q_{c}" for c in cols))
 
 
 def iqr(df: DataFrame, col: str, action: str = "list", k: float = 1.5, group: Sequence[str] = ()) -> DataFrame:
     """Outliers beyond k interquartile ranges: ``list`` them, ``remove`` them, ``cap`` them at the
     bounds, or ``mean`` to set them to the mean of their group's other values."""
-    df = with_global(df, {"__q": F.percentile(col, F.array(F.lit(0.25), F.lit(0.75)))})
+    df = with_quantiles(df, (), [col], (0.25, 0.75), "__q_").withColumnRenamed(f"__q_{col}", "__q")
     q1, q3 = F.get("__q", F.lit(0)), F.get("__q", F.lit(1))
     low, high = q1 - k * (q3 - q1), q3 + k * (q3 - q1)
     outside = (F.col(col) < low) | (F.col(col) > high)
@@ -123,7 +117,10 @@ def iqr(df: DataFrame, col: str, action: str = "list", k: float = 1.5, group: Se
 def seed_unseen(history: DataFrame, future: DataFrame, key: str, cols: Sequence[str], stat: str = "mean", flag: str = "first_time") -> DataFrame:
     """History and a row for each entity of the future that it lacks, with the table's statistics and a flag."""
     unseen = future.select(key).distinct().join(history.select(key).distinct(), key, "left_anti")
-    stats = history.agg(*(_stat(stat, c).alias(c) for c in cols))
+    if stat == "median":
+        stats = exact_quantiles(history, (), cols, (0.5,)).select(*(F.get(c, F.lit(0)).alias(c) for c in cols))
+    else:
+        stats = history.agg(*(F.avg(c).alias(c) for c in cols))
     made = unseen.crossJoin(F.broadcast(stats)).withColumn(flag, F.lit(1))
     return union_by_name(history.withColumn(flag, F.lit(0)), made)
 
@@ -132,8 +129,8 @@ def carry_score(history: DataFrame, future: DataFrame, entity: str, date: str, s
     """Score of future rows: the entity's latest at or before the date, else the race's median, else history's."""
     seen = asof_join(future, history.select(entity, F.col(date).alias("__d"), F.col(score).alias("__s")), [entity], date, "__d", ["__s"], tie=["__s"])
     race_median = F.percentile("__s", 0.5).over(Window.partitionBy(*race))
-    overall = history.agg(F.percentile(score, 0.5).alias("__all"))
-    filled = seen.withColumn("__r", race_median).crossJoin(F.broadcast(overall))
+    overall = exact_quantiles(history, (), [score], (0.5,)).select(F.get(score, F.lit(0)).alias("__all"))
+    filled = seen.withColumn("__r", race_median).join(F.broadcast(overall), how="left")  # one row
     return filled.withColumn(score, F.coalesce("__s", "__r", "__all")).drop("__s", "__r", "__all")
 
 
@@ -154,7 +151,7 @@ def cap_sequence(df: DataFrame, col: str, ps: tuple[float, float] = (0.01, 0.99)
 
     Percentiles come from one aggregate on (place, value), and meet every row as one short array.
     """
-    places = df.select(F.posexplode(col).alias("__i", "__v")).groupBy("__i").agg(F.percentile("__v", F.array(*(F.lit(p) for p in ps))).alias("__q"))
+    places = exact_quantiles(df.select(F.posexplode(col).alias("__i", "__v")), ["__i"], ["__v"], ps).select(F.col("__k0").alias("__i"), F.col("__v").alias("__q"))
     bounds = places.agg(F.map_from_entries(F.collect_list(F.struct("__i", "__q"))).alias("__b"))
     capped = F.transform(F.col(col), lambda v, i: clamp_to(v, F.element_at("__b", i)[0], F.element_at("__b", i)[1]))
     return df.crossJoin(F.broadcast(bounds)).withColumn(col, capped).drop("__b")

@@ -41,6 +41,8 @@ def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], l_ts: str,
     Of right rows of one time the last by ``tie`` counts. Null keys meet nothing.
     """
     ahead = direction == "forward"
+    apart = left.filter(~_known(keys))  # rows of one null key would meet in one task
+    left = left.filter(_known(keys))
     rows = left.select(F.struct("*").alias("__l"), *keys, F.col(l_ts).alias("__ts"), F.lit(0 if strict else 1).alias("__side"))
     values = F.struct(*columns)
     seen = right.filter(_known(keys)).select(values.alias("__r"), *keys, F.col(r_ts).alias("__ts"), F.lit(1 if strict else 0).alias("__side"), *(F.col(t).alias(f"__t{k}") for k, t in enumerate(tie)))
@@ -49,12 +51,13 @@ def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], l_ts: str,
     order = [at, F.col("__side"), *(F.col(f"__t{k}").desc() if ahead else F.col(f"__t{k}") for k in range(len(tie)))]
     window = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     carried = both.withColumn("__m", F.last("__r", ignorenulls=True).over(window)).filter(F.col("__l").isNotNull())
-    unknown = ~_known(keys)
-    match = F.when(unknown, None).otherwise(F.col("__m"))
-    out = carried.withColumn("__m", match)
     if how == "inner":
-        out = out.filter(F.col("__m").isNotNull())
-    return out.select("__l.*", *(F.col(f"__m.{c}").alias(c) for c in columns))
+        carried = carried.filter(F.col("__m").isNotNull())
+    out = carried.select("__l.*", *(F.col(f"__m.{c}").alias(c) for c in columns))
+    if how == "inner":
+        return out
+    kinds = {f.name: f.dataType for f in right.select(*columns).schema.fields}
+    return out.unionByName(apart.withColumns({c: F.lit(None).cast(kinds[c]) for c in columns}))
 
 
 def _known(keys: Sequence[str]) -> Column:
@@ -65,13 +68,35 @@ def _known(keys: Sequence[str]) -> Column:
 
 
 def interval_join(points: DataFrame, spans: DataFrame, keys: Sequence[str], ts: str, start: str, end: str, closed: str = "left", how: str = "inner") -> DataFrame:
-    """Points with the spans of their key that hold them; half-open spans by default."""
-    named = spans.select(*(F.col(k).alias(f"__{k}") for k in keys), *(c for c in spans.columns if c not in keys))
-    on = F.col(start) <= F.col(ts)
+    """Points with the spans of their key that hold them; half-open spans by default.
+
+    Time is cut in buckets as wide as the mean span, so spans lie in two buckets
+    on average, and a point looks into the one it is in: a hot key is split over
+    its buckets. Spans of over a thousand buckets go by wider ones, a level up; a
+    point looks into one bucket of each level that there is.
+    """
+    named = spans.select(*(F.col(k).alias(f"__{k}") for k in keys), *(c for c in spans.columns if c not in keys)).filter(F.col(start) <= F.col(end))
+    length = (micros(end) - micros(start)).cast("double")
+    mean = F.broadcast(named.agg(F.greatest(F.avg(length), F.lit(1.0)).alias("__mean")))  # one row
+    level = F.floor(F.log(F.greatest(length / F.col("__mean"), F.lit(1.0))) / F.log(F.lit(1024.0))).cast("int")
+    at = lambda t: F.floor(micros(t) / (F.col("__mean") * F.pow(F.lit(1024.0), F.col("__level")))).cast("long")
+    levelled = named.crossJoin(mean).withColumn("__level", level)
+    dealt = levelled.withColumn("__at", F.explode(F.sequence(at(start), at(end)))).withColumnRenamed("__level", "__w").drop("__mean")
+    used = F.broadcast(levelled.agg(F.max("__mean").alias("__mean"), F.collect_set("__level").alias("__levels")))  # one row
+    asked = points.crossJoin(used).withColumn("__level", F.explode("__levels"))
+    asked = asked.withColumn("__spot", at(ts)).withColumnRenamed("__level", "__look").drop("__levels", "__mean")
+    on = (F.col("__look") == F.col("__w")) & (F.col("__spot") == F.col("__at")) & (F.col(start) <= F.col(ts))
     on &= F.col(ts) <= F.col(end) if closed == "both" else F.col(ts) < F.col(end)
     for k in keys:
         on &= F.col(k) == F.col(f"__{k}")
-    return points.join(named, on, how).drop(*(f"__{k}" for k in keys))
+    found = asked.join(dealt, on).drop("__look", "__spot", "__w", "__at", *(f"__{k}" for k in keys))
+    if how == "inner":
+        return found
+    if how != "left":
+        raise ValueError(f"unknown kind of join {how}")
+    met = found.select(*(F.col(c).alias(f"__{c}") for c in points.columns)).distinct()
+    rest = points.join(met, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in points.columns], "left_anti")
+    return union_by_name(found, rest)
 
 
 def near_join(left: DataFrame, right: DataFrame, keys: Sequence[str], ts: str, tol_ms: int = 250, columns: Sequence[str] = ()) -> DataFrame:
@@ -104,9 +129,9 @@ def fully_matched_groups(left: DataFrame, right: DataFrame, by: Sequence[str], o
 
 
 def add_group_stats(df: DataFrame, by: Sequence[str], aggs: dict[str, Column]) -> DataFrame:
-    """Group aggregates beside the rows, by a window and not a join back."""
-    window = Window.partitionBy(*by)
-    return df.withColumns({name: agg.over(window) for name, agg in aggs.items()})
+    """Group aggregates beside the rows, for groups of any size: summed map-side and joined back. Null keys are a group."""
+    stats = df.groupBy(*(F.col(k).alias(f"__k_{k}") for k in by)).agg(*(a.alias(n) for n, a in aggs.items()))
+    return df.join(stats, [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in by], "left").drop(*(f"__k_{k}" for k in by))
 
 
 def cartesian_legs(legs: DataFrame, ticket: str, leg: str, choice: str, n_legs: int) -> DataFrame:

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stridelake.functions.clock import seconds
 from stridelake.functions.numeric import clamp_to, inv_norm, rate
 from stridelake.operators.cleaning import impute_ladder, with_global, with_group
+from stridelake.operators.quantiles import exact_quantiles, with_quantiles
 from stridelake.operators.windows import elapsed, rank_in_group, softmax
 
 
@@ -17,7 +19,8 @@ def class_multiplier(df: DataFrame, rating: str, race: Sequence[str], low: float
     """Class rating scaled to [low, high] over the table, and half its distance from the median."""
     df = df.withColumn("__r", F.col(rating).cast("double"))
     df = impute_ladder(df, ["__r"], race)
-    df = with_global(df, {"__lo": F.min("__r"), "__hi": F.max("__r"), "__md": F.percentile("__r", 0.5)})
+    df = with_global(df, {"__lo": F.min("__r"), "__hi": F.max("__r")})
+    df = with_quantiles(df, (), ["__r"], (0.5,), "__md").withColumn("__md", F.get("__md__r", F.lit(0))).drop("__md__r")
     scaled = low + F.try_divide((F.col("__r") - F.col("__lo")) * (high - low), F.col("__hi") - F.col("__lo"))
     return df.withColumns({"class_multiplier": scaled, "class_offset": (F.col("__r") - F.col("__md")) / 2}).drop("__r", "__lo", "__hi", "__md")
 
@@ -35,9 +38,7 @@ def speed_index(df: DataFrame, entity: Sequence[str], col: str, slope: float = 1
 
     An entity without spread, or with one row, has z = 0.
     """
-    w = Window.partitionBy(*entity)
-    dev = F.coalesce(F.stddev_samp(col).over(w), F.lit(0.0))
-    df = df.withColumns({"__m": F.avg(col).over(w), "__d": dev})
+    df = with_group(df, entity, {"__m": F.avg(col), "__d": F.coalesce(F.stddev_samp(col), F.lit(0.0))})
     df = df.withColumn("z", F.when(F.col("__d") == 0, F.lit(0.0)).otherwise(F.try_divide(F.col(col) - F.col("__m"), F.col("__d"))))
     share = clamp_to(1 / (1 + F.exp(-slope * F.col("z"))), eps, 1 - eps)
     return df.withColumn("__p", share).withColumn("speed_index", clamp_to(100 + 15 * inv_norm(F.col("__p")), 0.0, 200.0)).drop("__m", "__d", "__p")
@@ -84,7 +85,8 @@ def peak(df: DataFrame, keys: Sequence[str], speed: str, stride: str, position:
 
 def scaled_target(df: DataFrame, track: Sequence[str], race: Sequence[str], time: str, beaten: str | None = None, alpha: float = 0.1, lo: float = 40.0, hi: float = 120.0) -> DataFrame:
     """Par less effective time, scaled to [lo, hi] in each track; the par is the median winning time."""
-    winners = df.groupBy(*track, *race).agg(F.min(time).alias("__w")).groupBy(*track).agg(F.percentile("__w", 0.5).alias("par"))
+    fastest = df.groupBy(*track, *race).agg(F.min(time).alias("__w"))
+    winners = exact_quantiles(fastest, track, ["__w"], (0.5,)).select(*(F.col(f"__k{i}").alias(k) for i, k in enumerate(track)), F.get("__w", F.lit(0)).alias("par"))
     effective = F.col(time) + alpha * F.col(beaten) if beaten else F.col(time)
     joined = df.join(winners, list(track)).withColumn("speed_diff", F.col("par") - effective).filter(F.col("speed_diff").isNotNull())
     bounded = with_group(joined, track, {"__lo": F.min("speed_diff"), "__hi": F.max("speed_diff")})
@@ -103,29 +105,30 @@ def ensemble(df: DataFrame, by: Sequence[str], item: str, model: str, score: str
 def fit_temperature(df: DataFrame, race: Sequence[str], score: str, win: str, low: float = 0.001, high: float = 100.0, steps: int = 16, rounds: int = 3) -> DataFrame:
     """Temperature with the least negative log likelihood of the winners, in [low, high].
 
+    Each race becomes one row, its scores and its winners', which all rounds use.
     A grid on the logarithm is summed in one aggregate per round and refined around
     its best value; each round's state is one row. Returns temperature and nll.
     """
     eps = 1e-12
     cut = F.greatest(F.lit(-50.0), F.least(F.lit(50.0), F.col(score)))
-    w = Window.partitionBy(*race)
-    base = df.select(*race, (cut - F.max(cut).over(w)).alias("__s"), F.col(win).alias("__y"))
-    per_race = base.groupBy(*race)
+    races = df.groupBy(*race).agg(F.max(cut).alias("m"), F.collect_list(cut).alias("s"), F.collect_list(F.when(F.col(win) == 1, cut)).alias("w"))
+    races = races.select(*(F.transform(c, lambda x: x - F.col("m")).alias(c) for c in ("s", "w"))).persist(StorageLevel.MEMORY_AND_DISK)
     lo, hi = low, high
     best = None
     for _ in range(rounds):
         grid = [lo * (hi / lo) ** (k / (steps - 1)) for k in range(steps)]
-        sums = per_race.agg(*(F.sum(F.exp(F.col("__s") / t)).alias(f"e{k}") for k, t in enumerate(grid)), F.collect_list(F.when(F.col("__y") == 1, F.col("__s"))).alias("__w"))
-        got = sums.agg(*(F.sum(_winner_loss(F.col(f"e{k}"), t, eps)).alias(f"l{k}") for k, t in enumerate(grid))).head()
+        got = races.agg(*(F.sum(_winner_loss(t, eps)).alias(f"l{k}") for k, t in enumerate(grid))).head()
         k = min(range(steps), key=lambda i: (got[f"l{i}"] if got[f"l{i}"] is not None else 0.0, i))
         best = (grid[k], got[f"l{k}"])
         lo, hi = grid[max(0, k - 1)], grid[min(steps - 1, k + 1)]
+    races.unpersist()
     return df.sparkSession.createDataFrame([best], "temperature double, nll double")
 
 
-def _winner_loss(total: Column, temperature: float, eps: float) -> Column:
-    """Negative log likelihood of a race's winners, whose scores are in ``__w``."""
-    return F.aggregate("__w", F.lit(0.0), lambda a, s: a - F.log(F.exp(s / temperature) / (total + eps) + eps))
+def _winner_loss(temperature: float, eps: float) -> Column:
+    """Negative log likelihood of a race's winners, ``w``, among its scores, ``s``."""
+    total = F.aggregate("s", F.lit(eps), lambda a, x: a + F.exp(x / temperature))
+    return F.aggregate("w", F.lit(0.0), lambda a, x: a - F.log(F.exp(x / temperature) / total + eps))
 
 
 def calibrate(df: DataFrame, race: Sequence[str], score: str, temperature: float) -> DataFrame:

@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
+from pyspark import StorageLevel
 from pyspark.sql import types as T
 
 
@@ -87,15 +90,20 @@ def cardinality_report(df: DataFrame, threshold: int, cols: Sequence[str] | None
 def time_folds(df: DataFrame, group: str, order: str, n: int) -> DataFrame:
     """Rolling-origin folds: (fold, part, row columns); fold k trains on the first k blocks and is valid on the next.
 
-    Blocks are even shares of the distinct groups by date. The list of groups is
-    numbered by a range sort and its counts, without one partition for all.
+    Blocks are even shares of the distinct groups by date. The groups are dealt out
+    by ranges and numbered within each; the ranges' counts, a number for each
+    partition, give what comes before it. So no task sees all groups.
     """
     groups = df.groupBy(group).agg(F.min(order).alias("__at"))
     total = groups.agg(F.count(F.lit(1)).alias("__n"))
-    by_day = groups.groupBy("__at").agg(F.count(F.lit(1)).alias("__c"))
-    before = by_day.withColumn("__before", F.coalesce(F.sum("__c").over(Window.orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    inner = F.row_number().over(Window.partitionBy("__at").orderBy(group))
-    numbered = groups.join(before.select("__at", "__before"), "__at").withColumn("__i", F.col("__before") + inner - 1).crossJoin(F.broadcast(total))
+    dealt = groups.repartitionByRange("__at", group).withColumn("__p", F.spark_partition_id())
+    # Stored, as a range's number must be the same for its count and its rows.
+    dealt = dealt.persist(StorageLevel.MEMORY_AND_DISK)
+    counts = dealt.groupBy("__p").agg(F.count(F.lit(1)).alias("__c"))
+    listed = counts.agg(F.map_from_entries(F.collect_list(F.struct("__p", "__c"))).alias("__m"))
+    before = F.aggregate(F.map_values(F.map_filter("__m", lambda p, _: p < F.col("__p"))), F.lit(0).cast("long"), lambda a, x: a + x)
+    inner = F.row_number().over(Window.partitionBy("__p").orderBy("__at", group))
+    numbered = dealt.crossJoin(F.broadcast(listed)).withColumn("__i", before + inner - 1).crossJoin(F.broadcast(total))
     blocks = n + 1
     size, rest = F.floor(F.col("__n") / blocks), F.col("__n") % blocks
     large = rest * (size + 1)

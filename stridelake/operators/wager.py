@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 from itertools import permutations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -144,20 +145,47 @@ def stake(df: DataFrame, bankroll: float, unit: float, combos: str = "combos", p
 
 
 def bankroll_path(df: DataFrame, strategy: str, order: Sequence[str], start: float, cost: str = "cost", payoff: str = "payoff") -> DataFrame:
-    """Bankroll after each bet when a bet is only placed if it can be paid: a fold in the order of the bets.
+    """Bankroll after all bets when a bet is only placed if it can be paid: a fold in the order of the bets.
 
-    The fold is sequential by nature, so one strategy's bets are one array; it is
-    meant for strategies of up to about 100,000 bets.
+    The fold is sequential by nature, so a strategy's bets go through one task, as
+    a sorted stream of which a few numbers are kept; strategies are dealt out. A
+    null cost or payoff counts as 0.
     """
-    bets = F.array_sort(F.collect_list(F.struct(*order, F.col(cost).cast("double").alias("__c"), F.col(payoff).cast("double").alias("__p"))))
-    rows = df.groupBy(strategy).agg(bets.alias("__b"))
-    step = lambda a, b: F.struct(
-        F.when(a["money"] >= b["__c"], a["money"] - b["__c"] + b["__p"]).otherwise(a["money"]).alias("money"),
-        (a["placed"] + F.when(a["money"] >= b["__c"], 1).otherwise(0)).alias("placed"),
-        F.least(a["low"], F.when(a["money"] >= b["__c"], a["money"] - b["__c"] + b["__p"]).otherwise(a["money"])).alias("low"),
-    )
-    first = F.struct(F.lit(float(start)).alias("money"), F.lit(0).alias("placed"), F.lit(float(start)).alias("low"))
-    return rows.select(strategy, F.size("__b").alias("bets"), F.aggregate("__b", first, step).alias("__r")).select(strategy, "bets", F.col("__r.placed").alias("placed"), F.col("__r.money").alias("final_bankroll"), F.col("__r.low").alias("lowest_bankroll"))
+    kind = df.select(strategy).schema[0].dataType
+    money = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(n) for c, n in ((cost, "cost"), (payoff, "payoff"))]
+    rows = df.select(F.col(strategy).alias("strategy"), *(F.col(c).alias(f"o{k}") for k, c in enumerate(order)), *money)
+    dealt = rows.repartition("strategy").sortWithinPartitions("strategy", *(f"o{k}" for k in range(len(order))), "cost", "payoff").select("strategy", "cost", "payoff")
+    folded = dealt.mapInArrow(_fold(float(start)), f"strategy {kind.simpleString()}, bets int, placed int, final_bankroll double, lowest_bankroll double")
+    return folded.withColumnRenamed("strategy", strategy)
+
+
+def _fold(start: float):
+    """A task over bets sorted by strategy: one row for each strategy."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["strategy", "bets", "placed", "final_bankroll", "lowest_bankroll"]
+        kinds = [None, pa.int32(), pa.int32(), pa.float64(), pa.float64()]
+        now, state, open_group = None, (0, 0, start, start), False
+        schema = None
+        for batch in batches:
+            schema = batch.schema.field("strategy").type
+            done = []
+            for key, cost, payoff in zip(*(batch.column(c).to_pylist() for c in ("strategy", "cost", "payoff")), strict=True):
+                if not open_group or key != now:
+                    if open_group:
+                        done.append((now, *state))
+                    now, state, open_group = key, (0, 0, start, start), True
+                bets, placed, money, low = state
+                if money >= cost:
+                    money += payoff - cost
+                    placed, low = placed + 1, min(low, money)
+                state = (bets + 1, placed, money, low)
+            if done:
+                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in done], t or schema) for k, t in enumerate(kinds)], names=names)
+        if open_group:
+            yield pa.RecordBatch.from_arrays([pa.array([x], t or schema) for x, t in zip((now, *state), kinds, strict=True)], names=names)
+
+    return run
 
 
 def grid_search(df: DataFrame, grid: Mapping[str, Sequence[float]], cost: str = "cost", payoff: str = "payoff") -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from stridelake.functions.clock import micros, seconds
 from stridelake.functions.geometry import haversine
+from stridelake.operators.joins import add_group_stats
 
 
 def _series(keys: Sequence[str], order: Sequence[str | Column]):
@@ -36,9 +37,9 @@ def previous_event(df: DataFrame, entity: Sequence[str], order: Sequence[str], d
     """Columns of the entity's previous event, with sentinels, and event counts in all and before."""
     w = _series(entity, order)
     out = {f"prev_{c}": F.coalesce(F.lag(c).over(w), F.lit(v)) for c, v in defaults.items()}
-    out["total_count"] = F.count(F.lit(1)).over(Window.partitionBy(*entity))
     out["prior_count"] = F.row_number().over(w) - 1
-    return df.withColumns(out)
+    counted = add_group_stats(df.withColumns(out), entity, {"total_count": F.count(F.lit(1))})
+    return counted.select(*df.columns, *(f"prev_{c}" for c in defaults), "total_count", "prior_count")
 
 
 def prior_n(df: DataFrame, entity: Sequence[str], order: Sequence[str], n: int, aggs: Mapping[str, Column]) -> DataFrame:
@@ -160,16 +161,28 @@ def score_gaps(df: DataFrame, by: Sequence[str], p: str, odds: str, tie: Sequenc
 
 
 def running_ledger(df: DataFrame, by: Sequence[str], order: Sequence[str], cost: str = "cost", payoff: str = "payoff") -> DataFrame:
-    """Bet number, cost, payoff, net and return so far; the order must be unique."""
-    upto = _series(by, order).rowsBetween(Window.unboundedPreceding, 0)
-    df = df.withColumns({"bet_no": F.row_number().over(_series(by, order)), "cum_cost": F.sum(cost).over(upto), "cum_payoff": F.sum(payoff).over(upto)})
+    """Bet number, cost, payoff, net and return so far; the order must be unique.
+
+    The rows of each value of the first order column are summed first; the sums
+    so far and the rows' places within that value add up. So a group is dealt over
+    the values of that column, such as its days or races.
+    """
+    coarse, keys = order[0], [*by, order[0]]
+    sums = df.groupBy(*(F.col(k).alias(f"__{k}") for k in keys)).agg(F.count(F.lit(1)).alias("__n"), F.sum(cost).alias("__cost"), F.sum(payoff).alias("__payoff"))
+    prior = Window.partitionBy(*(f"__{k}" for k in by)).orderBy(f"__{coarse}").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.withColumns({c: F.coalesce(F.sum(c).over(prior), F.lit(0)) for c in ("__n", "__cost", "__payoff")})
+    upto = _series(keys, order).rowsBetween(Window.unboundedPreceding, 0)
+    own = df.withColumns({"bet_no": F.row_number().over(_series(keys, order)), "cum_cost": F.sum(cost).over(upto), "cum_payoff": F.sum(payoff).over(upto)})
+    joined = own.join(sums, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
+    added = {"bet_no": F.col("bet_no") + F.col("__n"), "cum_cost": F.coalesce("cum_cost", F.lit(0)) + F.col("__cost"), "cum_payoff": F.coalesce("cum_payoff", F.lit(0)) + F.col("__payoff")}
+    df = joined.withColumns(added).drop("__n", "__cost", "__payoff", *(f"__{k}" for k in keys))
     df = df.withColumn("cum_net", F.col("cum_payoff") - F.col("cum_cost"))
     return df.withColumn("cum_roi", F.try_divide(F.col("cum_net"), F.col("cum_cost")))
 
 
 def field_size(df: DataFrame, by: Sequence[str], out: str = "field_size") -> DataFrame:
     """Rows in the group."""
-    return df.withColumn(out, F.count(F.lit(1)).over(Window.partitionBy(*by)))
+    return add_group_stats(df, by, {out: F.count(F.lit(1))})
 
 
 def row_index(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], out: str = "gate_index") -> DataFrame:

@@ -117,13 +117,13 @@ def _(spark, d):
 
 
 @add("m13_fit_temperature", R + """, x AS (SELECT race, score - max(score) OVER (PARTITION BY race) AS s, CASE WHEN finish = 1 THEN 1 ELSE 0 END AS win FROM runners),
-  t AS (SELECT exp(ln(0.001::DOUBLE) + k * (ln(100::DOUBLE) - ln(0.001::DOUBLE)) / 60) AS t FROM range(61) r(k)),
+  t AS (SELECT exp(ln(0.001::DOUBLE) + k * (ln(100::DOUBLE) - ln(0.001::DOUBLE)) / 1200) AS t FROM range(1201) r(k)),
   l AS (SELECT t, race, sum(exp(s / t)) AS e, max(CASE WHEN win = 1 THEN s END) AS w FROM x, t GROUP BY ALL),
   n AS (SELECT t, sum(-ln(exp(w / t) / (e + 1e-12) + 1e-12)) AS nll FROM l GROUP BY t)
-  SELECT CAST(round(min(nll), 0) AS BIGINT) AS least_nll FROM n""")
+  SELECT CAST(round(min(nll), 0) AS BIGINT) AS least_nll, CAST(round(10 * ln(arg_min(t, nll)), 0) AS BIGINT) AS tenths_of_log_t FROM n""")
 def _(spark, d):
     out = S.fit_temperature(runners(spark, d).withColumn("win", (F.col("finish") == 1).cast("int")), ["race"], "score", "win")
-    return out.select(F.round("nll", 0).cast("long").alias("least_nll"))
+    return out.select(F.round("nll", 0).cast("long").alias("least_nll"), F.round(10 * F.log("temperature")).cast("long").alias("tenths_of_log_t"))
 
 
 @add("m14_calibrate", R + """, x AS (SELECT race, num, exp((score - max(score) OVER (PARTITION BY race)) / 0.7::DOUBLE) AS e FROM runners), y AS (SELECT race, num, e / sum(e) OVER (PARTITION BY race) AS p FROM x)

@@ -160,13 +160,13 @@ def _(spark, d):
     return sets.last_n(points(spark, d), ["runner"], [F.desc("ts"), F.desc("id")], 3).select("runner", "id")
 
 
-@add("f1_gate_number", """WITH g AS (SELECT event_id, CASE event_id % 5 WHEN 0 THEN (event_id % 9) || 'f' WHEN 1 THEN (event_id % 9) || '.5f' WHEN 2 THEN (event_id % 9) || 'f' || (event_id % 600) || 'ft' WHEN 3 THEN 'Finish' ELSE 'start' END AS g FROM events)
-  SELECT event_id, round(CASE WHEN lower(g) LIKE '%finish%' THEN 9999.0 ELSE TRY_CAST(nullif(regexp_extract(g, '^(\\d+(\\.\\d+)?)f', 1), '') AS DOUBLE) + coalesce(TRY_CAST(nullif(regexp_extract(g, 'f(\\d+)ft$', 1), '') AS DOUBLE), 0) / 660 END, 6) AS gate FROM g""")
+@add("f1_gate_number", """SELECT event_id, CASE event_id % 8 WHEN 0 THEN CAST(event_id % 9 AS DOUBLE) WHEN 1 THEN event_id % 9 + 0.5 WHEN 2 THEN round(event_id % 9 + (event_id % 600) / CAST(660 AS DOUBLE), 6)
+  WHEN 3 THEN 9999.0 WHEN 4 THEN round(event_id % 9 + 0.5 + (event_id % 600 + 0.5) / CAST(660 AS DOUBLE), 6) END AS gate FROM events""")
 def _(spark, d):
     i = F.col("event_id")
-    nine = (i % 9).cast("string")
-    name = F.when(i % 5 == 0, F.concat(nine, F.lit("f"))).when(i % 5 == 1, F.concat(nine, F.lit(".5f"))).when(i % 5 == 2, F.concat(nine, F.lit("f"), (i % 600).cast("string"), F.lit("ft"))).when(i % 5 == 3, "Finish").otherwise("start")
-    return table(spark, d, "events").select("event_id", F.round(fn.gate_number(name), 6).alias("gate"))
+    nine, feet = (i % 9).cast("string"), (i % 600).cast("string")
+    forms = [F.concat(nine, F.lit("f")), F.concat(nine, F.lit(".5f")), F.concat(nine, F.lit("F"), feet, F.lit("ft ")), F.lit("Finish"), F.concat(nine, F.lit(".5f"), feet, F.lit(".5ft")), F.lit("prefinish"), F.concat(nine, F.lit("fxyz")), F.lit("start")]
+    return table(spark, d, "events").select("event_id", F.round(fn.gate_number(F.get(F.array(*forms), i % 8)), 6).alias("gate"))
 
 
 @add("f2_odds_to_prob", "SELECT event_id, CASE WHEN event_id % 11 = 0 THEN NULL ELSE round(1 / ((event_id % 30) / CAST(1 + event_id % 4 AS DOUBLE) + 1), 6) END AS prob FROM events")

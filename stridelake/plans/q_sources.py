@@ -90,6 +90,28 @@ def _(spark, d):
     return joined.select(F.upper("track").alias("track"), "race", "program", "horse_name", F.coalesce("workouts", F.lit(0)).cast("int").alias("workouts"))
 
 
+@add("k6_card_children", R + """ SELECT 'jockey' AS owner, CAST(jockey AS VARCHAR) AS owner_key, 'LIFE' AS type, max(num)::DOUBLE AS starts, 'J' || jockey AS shown FROM runners GROUP BY jockey
+  UNION ALL SELECT 'trainer', CAST(trainer AS VARCHAR), 'YEAR', max(num)::DOUBLE, 'T' || trainer FROM runners GROUP BY trainer
+  UNION ALL SELECT 'sire', 'S' || (horse % 50), 'LIFE', 0.0, 'KY' FROM runners GROUP BY horse % 50""")
+def _(spark, d):
+    text = lambda tag, v: F.concat(F.lit(f"<{tag}>"), F.col(v).cast("string") if isinstance(v, str) else v, F.lit(f"</{tag}>"))
+    stat = lambda kind, inner: F.concat(F.lit(f'<STATS_DATA><STAT type="{kind}">'), inner, F.lit("</STAT></STATS_DATA>"))
+    jockey = text("JOCKEY", F.concat(text("JOCK_KEY", "jockey"), text("JOCK_DISP", F.concat(F.lit("J"), F.col("jockey").cast("string"))), stat("LIFE", text("STARTS", "num"))))
+    trainer = text("TRAINER", F.concat(text("TRAIN_KEY", "trainer"), text("TRAN_DISP", F.concat(F.lit("T"), F.col("trainer").cast("string"))), stat("YEAR", text("STARTS", "num"))))
+    sire = text("SIRE", F.concat(text("SIRENAME", F.concat(F.lit("S"), (F.col("horse") % 50).cast("string"))), text("STAT_BREED", F.lit("KY")), stat("LIFE", F.lit(""))))
+    horse = text("HORSEDATA", F.concat(text("PROGRAM", "num"), jockey, trainer, sire))
+    races = runners(spark, d).groupBy("race", "track", "race_date").agg(F.array_join(F.array_sort(F.collect_list(horse)), "").alias("h"))
+    card = text("RACEDATA", F.concat(text("TRACK", "track"), text("RACE", "race"), F.col("h")))
+    at = folder(spark, "k6c")
+    write_files(races, at, F.floor(F.col("race") / 100), F.lower(card), "<cards>", "", "</cards>")
+    got = K.read_xml_cards(spark, at)
+    names = got["jockeys"].select(F.lit("jockey").alias("owner"), F.col("jock_key").alias("owner_key"), F.upper("jock_disp").alias("shown"))
+    names = names.unionByName(got["trainers"].select(F.lit("trainer").alias("owner"), F.col("train_key").alias("owner_key"), F.upper("tran_disp").alias("shown")))
+    names = names.unionByName(got["sires"].select(F.lit("sire").alias("owner"), F.upper("sirename").alias("owner_key"), F.upper("stat_breed").alias("shown")))
+    stats = got["stats"].select("owner", F.upper("owner_key").alias("owner_key"), F.upper("type").alias("type"), "starts")
+    return stats.join(names, ["owner", "owner_key"])
+
+
 @add("k6_exotic_wagers", R + " SELECT CAST(race AS INTEGER) AS race_number, 1 AS wager_number, 'Exacta' AS wager_type, string_agg(CAST(num AS VARCHAR), '-' ORDER BY finish) AS winners FROM runners WHERE finish <= 2 GROUP BY race")
 def _(spark, d):
     won = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("finish", "num"))), lambda x: x["num"].cast("string")), "-")

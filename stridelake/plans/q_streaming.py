@@ -14,12 +14,24 @@ QUERIES = GROUP.QUERIES
 add = GROUP.add
 
 
-def _feed(spark, d):
-    """Events as a stream of (runner, id, ts, speed), written to a folder of their own first."""
+#: Files of the feed, each of which is a trigger.
+FILES = 3
+#: The feed's last file has one point long after all others, which closes every window and session; it has no runner.
+CLOSING = "2100-01-01"
+
+
+def _feed(spark, d, closing: bool = False):
+    """Events as a stream of (runner, id, ts, speed) over several triggers, written to a folder in order of time first."""
     at = folder(spark, "feed")
     rows = table(spark, d, "events").select(F.col("user_id").alias("runner"), F.col("event_id").alias("id"), F.col("ts").cast("timestamp").alias("ts"), F.col("value").alias("speed"))
-    rows.write.parquet(f"{at}/in")
-    return S.gps_stream(spark, f"{at}/in", rows.schema, ["runner", "id"], "ts", "3650 days"), at
+    edges = rows.agg(*(F.percentile_approx(F.col("ts").cast("double"), (k + 1) / FILES).alias(f"e{k}") for k in range(FILES - 1))).head()
+    step = sum((F.when(F.col("ts").cast("double") > e, 1).otherwise(0) for e in edges), F.lit(0))
+    for k in range(FILES):  # files are taken in the order in which they were written
+        rows.filter(step == k).coalesce(1).write.mode("append").parquet(f"{at}/in")
+    if closing:
+        end = spark.range(1).select(F.lit(None).cast("long").alias("runner"), F.lit(-1).cast("long").alias("id"), F.lit(CLOSING).cast("timestamp").alias("ts"), F.lit(0.0).alias("speed"))
+        end.coalesce(1).write.mode("append").parquet(f"{at}/in")
+    return S.gps_stream(spark, f"{at}/in", rows.schema, ["runner", "id"], "ts", "31 days", max_files=1), at
 
 
 def _collected(spark, stream, at):
@@ -37,29 +49,36 @@ def _(spark, d):
 
 @add("s2_stream_profile", "SELECT epoch_us(time_bucket(INTERVAL 6 HOURS, ts, TIMESTAMP '1970-01-01')) AS window_start_us, user_id AS runner, count(*) AS n, round(avg(value), 6) AS mean_speed, min(value) AS min_speed, max(value) AS max_speed FROM events GROUP BY ALL")
 def _(spark, d):
-    rows = table(spark, d, "events").select(F.col("user_id").alias("runner"), F.col("ts").cast("timestamp").alias("ts"), F.col("value").alias("speed"))
-    return rounded(S.stream_profile(rows, ["runner"], "ts", "speed", "6 hours"), "mean_speed")
+    stream, at = _feed(spark, d, closing=True)
+    out = _collected(spark, S.stream_profile(stream, ["runner"], "ts", "speed", "6 hours"), at)
+    return rounded(out.filter("runner is not null"), "mean_speed")
 
 
 @add("s3_stream_sessions", """WITH x AS (SELECT user_id AS runner, epoch_us(ts) AS us, CASE WHEN epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts, event_id) >= 7200000000 THEN 1 ELSE 0 END AS cut FROM events),
   y AS (SELECT *, sum(cut) OVER (PARTITION BY runner ORDER BY us ROWS UNBOUNDED PRECEDING) AS s FROM x) SELECT runner, count(*) AS n, min(us) AS first_us, max(us) AS last_us FROM y GROUP BY runner, s""")
 def _(spark, d):
-    rows = table(spark, d, "events").select(F.col("user_id").alias("runner"), F.col("ts").cast("timestamp").alias("ts"))
-    return S.stream_sessions(rows, ["runner"], "ts", "2 hours")
+    stream, at = _feed(spark, d, closing=True)
+    return _collected(spark, S.stream_sessions(stream, ["runner"], "ts", "2 hours"), at).filter("runner is not null")
 
 
 @add("s4_stream_upsert", "SELECT user_id AS runner, max(event_id) AS id FROM events GROUP BY user_id")
 def _(spark, d):
     stream, at = _feed(spark, d)
     S.stream_upsert(stream.select("runner", "id"), f"{at}/table", ["runner"], [F.desc("id")], f"{at}/check").awaitTermination()
-    return spark.read.parquet(f"{at}/table/v0")
+    return S.current_version(spark, f"{at}/table")
 
 
 @add("s5_stream_kinematics", """WITH k0 AS (SELECT event_id AS id, user_id, ts, value, (epoch_us(ts) - lag(epoch_us(ts)) OVER w) / 1e6::DOUBLE AS dt, lag(value) OVER w AS pv FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
   k1 AS (SELECT *, (value - pv) / nullif(dt, 0) AS a FROM k0) SELECT id, round(dt, 6) AS dt, round(a, 6) AS acceleration FROM k1""")
 def _(spark, d):
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     stream, at = _feed(spark, d)
     points = stream.select("runner", "id", micros("ts").alias("ts_us"), "speed")
-    out = _collected(spark, S.stream_kinematics(points).select("id", "dt", "acceleration"), at)
+    # The state of user-defined operators lives in RocksDB; the session keeps its own setting.
+    setting = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(setting, None)
+    spark.conf.set(setting, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        out = _collected(spark, S.stream_kinematics(points).select("id", "dt", "acceleration"), at)
+    finally:
+        spark.conf.set(setting, before) if before else spark.conf.unset(setting)
     return rounded(out, "dt", "acceleration")

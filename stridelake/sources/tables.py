@@ -26,8 +26,13 @@ def snapshot(spark: SparkSession, sources: Mapping[str, str], out_dir: str, url:
     return out
 
 
-def load_tables(spark: SparkSession, folder: str, names: Sequence[str]) -> dict[str, DataFrame]:
-    """The named Parquet tables of a folder; those that are not there are left out."""
+def load_tables(spark: SparkSession, folder: str, names: Sequence[str] | None = None) -> dict[str, DataFrame]:
+    """The named Parquet tables of a folder, or all of them; those that are not there, or empty files, are left out."""
+    if names is None:
+        root = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        listed = root.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(root)
+        there = [(f.getPath().getName(), f.isFile() and not f.getLen()) for f in listed]
+        names = sorted(n.removesuffix(".parquet") for n, empty in there if n.endswith(".parquet") and not empty)
     out = {}
     for name in names:
         path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}.parquet")
@@ -68,19 +73,50 @@ def ledger_rows(done: DataFrame, key: str, tag: str, status: str = "processed")
     return done.select(key).distinct().withColumns({"message": F.lit(tag), "status": F.lit(status)})
 
 
-CARD_SCHEMA = """race_date string, track string, race int, breed_type string, post_time string, todays_cls int, distance double, dist_unit string, surface string, purse double,
-horsedata array<struct<_number:string,horse_name:string,program:string,morn_odds:string,weight:double,
-  workoutdata array<struct<worknum:int,days_back:int,worktext:string,ranking:int,rank_group:int>>>>""".replace("workoutdata array", "workoutdata:array")
+_STATS = "stats_data:struct<stat:array<struct<_type:string,starts:double,wins:double,places:double,shows:double,earnings:double,paid:double,roi:double>>>"
+#: The fields of the cards, by their tags.
+CARD_SCHEMA = f"""race_date string, track string, race int, breed_type string, post_time string, todays_cls int, distance double, dist_unit string, surface string, purse double,
+country string, course_id string, stkorclm string, claimamt double, age_restr string, bet_opt string, raceord int, partim double, dist_disp string, race_text string, stk_clm_md string,
+horsedata array<struct<_number:string,horse_name:string,program:string,morn_odds:string,weight:double,axciskey:string,{_STATS},
+  workoutdata:array<struct<worknum:int,days_back:int,worktext:string,ranking:int,rank_group:int>>,
+  jockey:struct<jock_key:string,jock_disp:string,j_type:string,stat_breed:string,{_STATS}>,
+  trainer:struct<train_key:string,tran_disp:string,t_type:string,stat_breed:string,{_STATS}>,
+  sire:struct<sirename:string,stat_breed:string,tmmark:string,stud_fee:string,{_STATS}>,
+  dam:struct<damname:string,stat_breed:string,damsire:string,{_STATS}>>>"""
+#: The children of a horse, and the field that is the key of each.
+CARD_CHILDREN = {"jockey": "jock_key", "trainer": "train_key", "sire": "sirename", "dam": "damname"}
 
 
 def read_xml_cards(spark: SparkSession, path: str, schema: str = CARD_SCHEMA, row_tag: str = "racedata") -> dict[str, DataFrame]:
-    """Race cards as tables: races, their horses, and the horses' workouts; tags read in lower case."""
+    """Race cards as tables: races, horses, workouts, jockeys, trainers, sires, dams, and the stats of them all.
+
+    Tags are read in lower case. A child without its key is left out; of a child
+    that is named several times one row stays, that with the greatest fields. In
+    ``stats`` a row is known by ``owner`` (horse, jockey, ...), ``owner_key`` and
+    ``type``; figures that are not there are 0.
+    """
     cards = spark.read.format("xml").option("rowTag", row_tag).schema(schema).load(path)
     races = cards.select(*(c for c in cards.columns if c != "horsedata"))
     key = ["track", "race_date", "race"]
     horses = cards.select(*key, F.explode("horsedata").alias("h")).select(*key, "h.*").withColumnRenamed("_number", "number")
-    workouts = horses.select(*key, "program", F.explode("workoutdata").alias("w")).select(*key, "program", "w.*")
-    return {"races": races, "horses": horses.drop("workoutdata"), "workouts": workouts}
+    out = {"races": races}
+    out["workouts"] = horses.select(*key, "program", F.explode("workoutdata").alias("w")).select(*key, "program", "w.*")
+    nested = {"workoutdata", "stats_data"}
+    children = {c: k for c, k in CARD_CHILDREN.items() if c in horses.columns}
+    owners = {"horse": ("axciskey", "stats_data")} if {"axciskey", "stats_data"} <= {*horses.columns} else {}
+    for child, child_key in children.items():
+        fields = [f.name for f in horses.schema[child].dataType.fields if f.name not in ("stats_data", child_key)]
+        named = horses.filter(F.col(f"{child}.{child_key}").isNotNull()).groupBy(F.col(f"{child}.{child_key}").alias(child_key))
+        out[f"{child}s"] = named.agg(F.max(F.struct(*(F.col(f"{child}.{f}").alias(f) for f in fields))).alias("r")).select(child_key, "r.*")
+        owners[child] = (f"{child}.{child_key}", f"{child}.stats_data")
+    if owners:
+        each = F.array(*(F.struct(F.lit(owner).alias("owner"), F.col(k).alias("owner_key"), F.col(f"{listed}.stat").alias("stats")) for owner, (k, listed) in owners.items()))
+        stats = horses.select(F.explode(each).alias("o")).select("o.owner", "o.owner_key", F.explode("o.stats").alias("s")).filter("owner_key is not null and s._type is not null")
+        figures = ("starts", "wins", "places", "shows", "earnings", "paid", "roi")
+        largest = stats.groupBy("owner", "owner_key", F.col("s._type").alias("type")).agg(F.max(F.struct(*(F.coalesce(F.col(f"s.{f}"), F.lit(0.0)).alias(f) for f in figures))).alias("r"))
+        out["stats"] = largest.select("owner", "owner_key", "type", "r.*")
+    out["horses"] = horses.drop(*nested, *children)
+    return out
 
 
 WAGER_SCHEMA = "_NUMBER int, EXOTIC_WAGERS struct<WAGER:array<struct<_NUMBER:int,WAGER_TYPE:string,NUM_TICKETS:double,POOL_TOTAL:double,WINNERS:string,PAYOFF:double>>>"

@@ -35,26 +35,48 @@ def stream_sessions(points: DataFrame, keys: Sequence[str], ts: str, gap: str) -
     return out.drop("w")
 
 
-def stream_upsert(stream: DataFrame, target: str, keys: Sequence[str], order: Sequence, checkpoint: str) -> StreamingQuery:
+def stream_upsert(stream: DataFrame, target: str, keys: Sequence[str], order: Sequence, checkpoint: str, name: str = "table") -> StreamingQuery:
     """Put each micro-batch into a Parquet table by key, all that is there now, then stop.
 
-    The table is written beside itself and then named by a pointer of the batch's
-    number, so a batch that runs again gives the same table.
+    Each batch writes a version of its own number beside the one before, which is
+    only read, so a batch that runs again gives the same table. A missing version
+    is an error and not an empty table. Versions before the last two are deleted.
+    ``current_version`` reads the table.
     """
     spark = stream.sparkSession
 
     def put(batch: DataFrame, epoch: int) -> None:
-        before = f"{target}/v{epoch - 1}"
-        path = spark._jvm.org.apache.hadoop.fs.Path(before)
-        there = epoch > 0 and path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
-        first = batch.sparkSession.read.parquet(before) if there else batch.limit(0)
-        upsert(first, batch, keys, order).write.mode("overwrite").parquet(f"{target}/v{epoch}")
+        if epoch and not _there(spark, f"{target}/{name}-v{epoch - 1}/_SUCCESS"):
+            raise ValueError(f"version {epoch - 1} of {target} is not there")
+        first = batch.sparkSession.read.schema(batch.schema).parquet(f"{target}/{name}-v{epoch - 1}") if epoch else batch.limit(0)
+        upsert(first, batch, keys, order).write.mode("overwrite").parquet(f"{target}/{name}-v{epoch}")
+        old = spark._jvm.org.apache.hadoop.fs.Path(f"{target}/{name}-v{epoch - 2}")
+        old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
 
     return stream.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def current_version(spark: SparkSession, target: str, name: str = "table") -> DataFrame:
+    """The table that ``stream_upsert`` keeps, as of its last whole version."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{target}/{name}-v*/_SUCCESS")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
+    versions = [int(f.getPath().getParent().getName().rpartition("-v")[2]) for f in found]
+    if not versions:
+        raise ValueError(f"there is no version of {target}")
+    return spark.read.parquet(f"{target}/{name}-v{max(versions)}")
+
+
+def _there(spark: SparkSession, file: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(file)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 class LastPoint(StatefulProcessor):
-    """Kinematics of each series against the last point of the batch before."""
+    """Kinematics of each series against the last point of the batch before.
+
+    Within a micro-batch points are sorted by time; a feed of bounded files per
+    trigger bounds what a series brings at once.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.last = handle.getValueState("last", "ts_us long, speed double, acceleration double")
@@ -82,10 +104,3 @@ def stream_kinematics(points: DataFrame, key: str = "runner") -> DataFrame:
     return points.groupBy(key).transformWithStateInPandas(
         statefulProcessor=LastPoint(), outputStructType="runner long, id long, dt double, acceleration double, jerk double", outputMode="Append", timeMode="None"
     )
-
-
-def drain(stream: DataFrame, name: str, checkpoint: str) -> DataFrame:
-    """Run a stream over all that is there and return its rows, from a memory table: for tests."""
-    query = stream.writeStream.format("memory").queryName(name).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
-    query.awaitTermination()
-    return stream.sparkSession.table(name)

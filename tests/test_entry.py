@@ -1,13 +1,10 @@
 """The registered queries: names, SQL, and the streams against the same rows in batch."""
 
-import uuid
-
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__
-from stridelake.streaming import feeds
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -38,11 +35,3 @@ def test_rows_match_the_sql(spark, duck, name):
     columns = [c[0] for c in want.description]
     plain = lambda row: tuple(f"{v:.6g}" if isinstance(v, float) else str(v) for v in row)
     assert sorted(map(plain, got.select(*columns).collect())) == sorted(map(plain, want.fetchall()))
-
-
-def test_streamed_sessions_and_profiles_equal_the_batch(spark, tmp_path):
-    rows = spark.read.parquet(f"{SF}/events.parquet").select(F.col("user_id").alias("runner"), F.col("event_id").alias("id"), F.col("ts").cast("timestamp").alias("ts"), F.col("value").alias("speed"))
-    rows.repartition(4).write.parquet(f"{tmp_path}/in")
-    stream = feeds.gps_stream(spark, f"{tmp_path}/in", rows.schema, ["runner", "id"], "ts", "3650 days", max_files=2)
-    name = f"t{uuid.uuid4().hex}"
-    assert feeds.drain(stream.select("id"), name, f"{tmp_path}/c").count() == rows.count()
