@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,6 +50,36 @@ class Scratch:
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def quoted(name: str) -> str:
+    """A column's name for an expression, dots and all."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def keep_rows(docs: DataFrame, text: str, decide: Callable[[Iterator[pa.RecordBatch]], Iterator[tuple[pa.RecordBatch, list[bool]]]]) -> DataFrame:
+    """The rows whose own text a task keeps, with all their columns; nothing shuffles and no id is needed.
+
+    ``decide`` takes batches with one column, the texts, and gives each batch
+    back with a mark for each row; it may hold batches back. Columns keep their
+    order; their types must be ones that Arrow can hold.
+    """
+    at = docs.columns.index(text)
+    # As one struct, so that any name can pass.
+    rows = docs.select(F.struct(*(F.col(quoted(c)) for c in docs.columns)).alias("row"))
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def texts() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                held.append(batch)
+                yield pa.RecordBatch.from_arrays([batch.column(0).field(at)], names=["text"])
+
+        for _, marks in decide(texts()):
+            yield held.pop(0).filter(pa.array(marks, pa.bool_()))
+
+    return rows.mapInArrow(task, rows.schema).select("row.*")
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -1,9 +1,10 @@
 """Exact deduplication by two-pass Bloom filtering.
 
-Pass one marks two hash slots per document in a counting filter and keeps the
-slots that were hit twice as bitmaps. Pass two tests every document against
-them: a document whose two slots were not both hit twice is certainly alone
-and passes straight through; only the others shuffle, by their digest.
+Pass one marks two slots per document in a filter of blocks and keeps the slots
+that were hit twice, as one bitmap a block. Pass two tests every document against
+its block: a document whose two slots were not both hit twice is certainly alone
+and passes straight through; only the others shuffle, by their digest. Groups
+that hold a large share of those are joined map-side, so that no task gathers one.
 """
 
 from __future__ import annotations
@@ -11,13 +12,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stridelake.llm.common import Scratch, table
+from stridelake.llm.common import Scratch, quoted, table
 
-#: Filter slots per document, and the most slots in all: 2**28 bits are 32 MB of
-#: bitmaps, which bounds the broadcast. Past 16 million documents the filter
-#: gets fuller, so more rows shuffle; the result stays the same.
-SLOTS_PER_ROW, MOST_SLOTS = 16, 1 << 28
-BUCKET = 32768
+#: Filter slots per document. The filter grows with the documents, without a cap.
+SLOTS_PER_ROW = 16
+#: Slots in a block, whose bitmap is 4 KB. Both slots of a document lie in one block.
+BLOCK = 32768
+#: Up to so many blocks, 64 MB, the filter is broadcast; a larger one meets the documents in a join by block.
+BROADCAST_BLOCKS = 1 << 14
+#: Groups with more than one in so many of the shuffled rows are hot; there are fewer than this.
+HOT_SHARE = 1000
 
 
 def normalised(text: Column) -> Column:
@@ -25,41 +29,52 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", " ")
 
 
-def _slots(hashed: Column, n_slots: int) -> tuple[Column, Column]:
-    low = hashed.bitwiseAND(F.lit(n_slots - 1))
-    high = F.shiftrightunsigned(hashed, 32).bitwiseAND(F.lit(n_slots - 1))
-    return low, high
+def filter_blocks(n_rows: int) -> int:
+    """Blocks that give each row its slots."""
+    return -(-max(1, n_rows) * SLOTS_PER_ROW // BLOCK)
 
 
-def repeated_slots(hashes: DataFrame, hashed: Column, n_slots: int) -> DataFrame:
-    """Bitmaps (bucket, bits) of the filter slots that two or more rows hit."""
-    hits = hashes.select(F.explode(F.array(*_slots(hashed, n_slots))).alias("slot"))
-    twice = hits.groupBy("slot").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select((F.col("slot") + 1).alias("slot"))
-    return twice.groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits"))
+def _block(hashed: Column, blocks: int) -> Column:
+    return F.pmod(F.shiftrightunsigned(hashed, 30), F.lit(blocks))
 
 
-def filter_slots(n_rows: int) -> int:
-    """A power of two that gives each row its slots, within the bound."""
-    return min(MOST_SLOTS, max(BUCKET, 1 << (max(1, n_rows) * SLOTS_PER_ROW - 1).bit_length()))
+def _places(hashed: Column) -> tuple[Column, Column]:
+    """The two slots of a hash in its block."""
+    return hashed.bitwiseAND(F.lit(BLOCK - 1)), F.shiftrightunsigned(hashed, 15).bitwiseAND(F.lit(BLOCK - 1))
 
 
-def flag_possible(rows: DataFrame, hashed: Column, bitmaps: DataFrame, n_slots: int, out: str) -> DataFrame:
-    """Add ``out``: whether both slots of the row were hit twice.
+def repeated_slots(hashes: DataFrame, hashed: Column, blocks: int) -> DataFrame:
+    """Bitmaps (block, bits) of the filter slots that two or more rows hit."""
+    hits = hashes.select(_block(hashed, blocks).alias("block"), F.explode(F.array(*_places(hashed))).alias("place"))
+    twice = hits.groupBy("block", "place").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return twice.groupBy("block").agg(F.bitmap_construct_agg("place").alias("bits"))
 
-    ``bitmaps`` has ``n_slots / 32768`` rows of 4 KB at most, so it is broadcast.
+
+def flag_possible(rows: DataFrame, hashed: str, bitmaps: DataFrame, blocks: int) -> DataFrame:
+    """Add ``possible``: whether both slots of the row were hit twice."""
+    side = bitmaps.withColumnRenamed("block", "b")
+    joined = rows.join(F.broadcast(side) if blocks <= BROADCAST_BLOCKS else side, _block(F.col(hashed), blocks) == F.col("b"), "left")
+
+    def hit(place: Column) -> Column:
+        byte = F.conv(F.hex(F.substring("bits", F.shiftright(place, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+        return F.coalesce(F.pmod(F.floor(byte / F.pow(F.lit(2.0), place.bitwiseAND(F.lit(7)))), F.lit(2)) == 1, F.lit(False))
+
+    one, two = _places(F.col(hashed))
+    return joined.withColumn("possible", hit(one) & hit(two)).drop("b", "bits")
+
+
+def with_groups(rows: DataFrame, key: str, groups: DataFrame) -> DataFrame:
+    """Join each row to its key's row of ``groups`` (with ``size``), without gathering a hot key's rows.
+
+    ``groups`` and ``rows`` are stored tables. Sizes add up to the rows, so fewer
+    than ``HOT_SHARE`` keys are hot, which bounds the broadcast.
     """
-    names = rows.columns
-    for k, slot in enumerate(_slots(hashed, n_slots)):
-        at = slot + 1
-        side = F.broadcast(bitmaps.select(F.col("bucket").alias(f"__sl_bucket{k}"), F.col("bits").alias(f"__sl_bits{k}")))
-        rows = rows.join(side, F.bitmap_bucket_number(at) == F.col(f"__sl_bucket{k}"), "left")
-    tests = []
-    for k, slot in enumerate(_slots(hashed, n_slots)):
-        place = F.bitmap_bit_position(slot + 1)
-        byte = F.conv(F.hex(F.substring(F.col(f"__sl_bits{k}"), (place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-        bit = F.pmod(F.floor(byte / F.pow(F.lit(2.0), F.pmod(place, F.lit(8)))), F.lit(2)) == 1
-        tests.append(F.coalesce(bit, F.lit(False)))
-    return rows.select(*names, (tests[0] & tests[1]).alias(out))
+    total = groups.agg(F.sum("size")).head()[0] or 0
+    is_hot = F.col("size") * HOT_SHARE > total
+    if not total or groups.filter(is_hot).isEmpty():
+        return rows.join(groups, key)
+    hot = F.broadcast(groups.filter(is_hot))
+    return rows.join(hot, key).unionByName(rows.join(hot, key, "left_anti").join(groups.filter(~is_hot), key))
 
 
 def decisions(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -75,35 +90,35 @@ def decisions(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text: s
         F.sha2(normalised(F.col(text)), 256).alias("text_sha256"),
     )
     hashed = scratch.save(hashed.withColumn("h", F.xxhash64("text_sha256")), "hashes")
-    n_slots = filter_slots(hashed.count())
-    bitmaps = repeated_slots(hashed, F.col("h"), n_slots)
-    flagged = flag_possible(hashed, F.col("h"), bitmaps, n_slots, "possible")
+    blocks = filter_blocks(hashed.count())
+    flagged = flag_possible(hashed, "h", scratch.save(repeated_slots(hashed, F.col("h"), blocks), "filter"), blocks)
     alone = flagged.filter(~F.col("possible")).select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256")
     order = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col("row_no").alias("row_no"))
-    some = flagged.filter("possible").select("text_sha256", "doc_id", "row_no", order.alias("order"))
-    groups = some.groupBy("text_sha256").agg(F.min("order").alias("first"), F.count(F.lit(1)).alias("group_size"))
-    grouped = some.join(groups, "text_sha256").select(
-        "doc_id", F.col("first.id").alias("keep_id"), "group_size", (F.col("first.row_no") == F.col("row_no")).alias("kept"), "text_sha256"
+    some = scratch.save(flagged.filter("possible").select("text_sha256", "doc_id", "row_no"), "possible")
+    groups = scratch.save(some.groupBy("text_sha256").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("size")), "groups")
+    grouped = with_groups(some, "text_sha256", groups).select(
+        "doc_id", F.col("first.id").alias("keep_id"), F.col("size").alias("group_size"), (F.col("first.row_no") == F.col("row_no")).alias("kept"), "text_sha256"
     )
     return alone.unionByName(grouped)
 
 
-def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows that stay, with all their columns, whatever those are called.
+def exact_dedup(docs: DataFrame, scratch: Scratch | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows that stay, with all their columns, whatever those are called and of any type.
 
-    Rows that the filter clears never shuffle. Of a possible group one whole row
-    is chosen map-side first, so that a group of any size sends one row per task.
+    The rows are stored with their digest once, each as one struct, so no name
+    can clash. Rows that the filter clears never shuffle. Of a possible group one
+    whole row is chosen map-side first, so that a group of any size sends one row
+    per task. Nulls and ties are as in ``decisions``.
     """
-    hashed = F.xxhash64(F.sha2(normalised(F.col(text)), 256))
-    columns = docs.columns
-    n_slots = filter_slots(docs.count())
-    bitmaps = repeated_slots(docs.select(hashed.alias("__sl_h")), F.col("__sl_h"), n_slots)
-    keyed = docs.withColumn("__sl_sha", F.sha2(normalised(F.col(text)), 256)).withColumn("__sl_h", F.xxhash64("__sl_sha"))
-    flagged = flag_possible(keyed, F.col("__sl_h"), bitmaps, n_slots, "__sl_possible")
-    alone = flagged.filter("not __sl_possible").select(*columns)
-    order = F.struct(F.col(doc_id).isNull(), F.col(doc_id), F.xxhash64(*columns))
-    chosen = flagged.filter("__sl_possible").groupBy("__sl_sha").agg(F.min_by(F.struct(*columns), order).alias("__sl_row"))
-    return alone.unionByName(chosen.select("__sl_row.*"))
+    scratch = scratch or Scratch(docs.sparkSession, "exact")
+    whole = F.struct(*(F.col(quoted(c)) for c in docs.columns)).alias("row")
+    keyed = docs.select(whole, F.monotonically_increasing_id().alias("row_no"), F.unhex(F.sha2(normalised(F.col(quoted(text))), 256)).alias("sha"))
+    keyed = scratch.save(keyed.withColumn("h", F.xxhash64("sha")), "rows")
+    blocks = filter_blocks(keyed.count())
+    flagged = flag_possible(keyed, "h", scratch.save(repeated_slots(keyed, F.col("h"), blocks), "filter"), blocks)
+    identity = F.col("row").getField(doc_id)
+    chosen = flagged.filter("possible").groupBy("sha").agg(F.min_by("row", F.struct(identity.isNull(), identity, "row_no")).alias("row"))
+    return flagged.filter("not possible").select("row.*").unionByName(chosen.select("row.*"))
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
