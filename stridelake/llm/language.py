@@ -2,28 +2,30 @@
 
 Each known word votes with its log frequency in every language. A word that the
 model does not know backs off to its longest character n-grams that it does
-know. Counts come from a bounded sample of the rows that have a language.
+know. Counts come from a bounded sample of the rows that have a language, which
+the languages share evenly; all words and n-grams of the sample are kept.
 """
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stridelake.llm.common import table
+from stridelake.llm.common import Scratch, table
 from stridelake.llm.text_features import WordRows, is_held_out
 
-#: Rows a model is fitted on at most, and the words and n-grams that it keeps at most, the most frequent.
-FIT_ROWS, MOST_WORDS, MOST_GRAMS = 20_000, 60_000, 60_000
+#: Rows a model is fitted on at most, dealt out evenly to the languages.
+FIT_ROWS = 8000
 LONGEST, SMOOTHING = 5, 0.5
-WORDS = 300_000
+#: Words outside the model whose votes a Python worker remembers.
+WORDS = 150_000
 UNKNOWN = "und"
 
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -41,29 +43,37 @@ def grams_of(word: str, n: int) -> list[str]:
 
 
 class Model:
-    """Log frequencies by language of words and of n-grams."""
+    """Log frequencies by language of words and of n-grams: their lists, and a matrix with a row for each."""
 
-    def __init__(self, languages: list[str], words: dict[str, np.ndarray], grams: dict[str, np.ndarray]):
-        self.languages, self.words, self.grams = languages, words, grams
+    def __init__(self, languages: list[str], words: list[str], grams: list[str], rows: np.ndarray):
+        self.languages, self.words, self.grams, self.rows = languages, words, grams, rows
 
-    def vote(self, word: str) -> np.ndarray:
-        """A word's log frequencies: its own, or the mean of its longest known n-grams, or none."""
-        known = self.words.get(word)
-        if known is not None:
-            return known
-        for n in range(LONGEST, 0, -1):
-            found = [g for g in map(self.grams.get, grams_of(word, n)) if g is not None]
-            if found:
-                return np.mean(found, axis=0)
-        return np.zeros(len(self.languages))
+    def __getstate__(self):
+        return self.languages, " ".join(self.words), " ".join(self.grams), self.rows
+
+    def __setstate__(self, state):
+        self.languages, words, grams, self.rows = state
+        self.words, self.grams = words.split(" ") if words else [], grams.split(" ") if grams else []
 
+    def voter(self, most: int = WORDS) -> WordRows:
+        """Sums of the votes of words: a known word's own row, else that of its n-grams."""
+        get = dict(zip(self.grams, range(len(self.words), len(self.rows)), strict=True)).get
+        return WordRows(lambda words: self._backed_off(words, get), len(self.languages), most, self.words, self.rows[: len(self.words)])
 
-def _logs(counts: dict[str, dict[str, int]], languages: list[str], totals: dict) -> dict[str, np.ndarray]:
-    """Smoothed log frequencies; n-grams are held against others of their length."""
-    out = {}
-    for token, own in counts.items():
-        out[token] = np.array([math.log((own.get(la, 0) + SMOOTHING) / (totals[la] + SMOOTHING * len(counts))) for la in languages])
-    return out
+    def _backed_off(self, words: list[str], get) -> np.ndarray:
+        """Of each word the mean of its longest known n-grams; zeros if it has none."""
+        out = np.zeros((len(words), len(self.languages)))
+        left = range(len(words))
+        for n in range(LONGEST, 0, -1):
+            found = [(k, ids) for k in left if (ids := [g for g in map(get, grams_of(words[k], n)) if g is not None])]
+            if not found:
+                continue
+            sizes = np.fromiter((len(ids) for _, ids in found), np.int64, len(found))
+            flat = np.fromiter((g for _, ids in found for g in ids), np.int64, sizes.sum())
+            done = [k for k, _ in found]
+            out[done] = np.add.reduceat(self.rows[flat].astype(np.float64), np.cumsum(sizes) - sizes) / sizes[:, None]
+            left = sorted(set(left).difference(done))
+        return out
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -86,41 +96,60 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["lang", "n", "token", "c"])
 
 
-def fit(docs: DataFrame, fit_rows: int = FIT_ROWS, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> Model:
-    """Fit on at most ``fit_rows`` rows with a language whose ids are not held out.
+def fit_sample(docs: DataFrame, scratch: Scratch, fit_rows: int = FIT_ROWS, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
+    """(text, lang) of at most ``fit_rows`` rows with a language whose ids are not held out.
 
-    The sample is taken by the hash of the id. The model keeps a bounded number of
-    words and n-grams, so it can be sent to every task.
+    A row's rank in its language is taken to be its hash's share of the language's
+    rows, and the lowest ranks over all languages are chosen. So languages share
+    the sample evenly, a rare one is not pushed out by a frequent one, and no task
+    gathers a language.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
     rows = rows.filter(F.col("lang").isNotNull() & ~is_held_out(F.col("doc_id"), 5, 0))
-    chosen = rows.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
-    sample = rows.join(F.broadcast(chosen), rows["doc_id"].eqNullSafe(chosen["doc_id"])).select(rows["text"], rows["lang"])
-    counts = sample.mapInArrow(_count, "lang string, n int, token string, c long").groupBy("n", "token", "lang").agg(F.sum("c").alias("c"))
-    totals = counts.groupBy("n", "lang").agg(F.sum("c").alias("c")).collect()
-    by_token = counts.groupBy("n", "token").agg(F.sum("c").alias("total"), F.collect_list(F.struct("lang", "c")).alias("own"))
-    words = by_token.filter("n = 0").orderBy(F.desc("total"), "token").limit(MOST_WORDS).collect()
-    grams = by_token.filter("n > 0").orderBy(F.desc("total"), "token").limit(MOST_GRAMS).collect()
-    languages = sorted({r["lang"] for r in totals})
-    of = {(r["n"], r["lang"]): r["c"] for r in totals}
+    # Stored, so that Spark knows its size and sends it to the rows, and not the rows to it.
+    sizes = scratch.save(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).coalesce(1), "sizes")
+    share = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / (1 << 30)
+    ranked = rows.join(sizes, "lang").withColumn("k", share * F.col("n")).filter(F.col("k") < 1.25 * fit_rows)
+    return ranked.orderBy("k", "lang", "doc_id", "text").limit(fit_rows).select("text", "lang")
 
-    def logs(found, n: int) -> dict[str, np.ndarray]:
-        own = {r["token"]: {x["lang"]: x["c"] for x in r["own"]} for r in found if r["n"] == n}
-        return _logs(own, languages, {la: of.get((n, la), 0) for la in languages})
 
-    return Model(languages, logs(words, 0), {g: v for n in range(1, LONGEST + 1) for g, v in logs(grams, n).items()})
+def fit(docs: DataFrame, scratch: Scratch | None = None, fit_rows: int = FIT_ROWS, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> Model:
+    """Fit on the rows of ``fit_sample``; what reaches the driver is the counts of that sample's words and n-grams."""
+    scratch = scratch or Scratch(docs.sparkSession, "language")
+    sample = scratch.save(fit_sample(docs, scratch, fit_rows, doc_id, text, lang).repartition(8), "sample")
+    counts = sample.mapInArrow(_count, "lang string, n int, token string, c long").groupBy("n", "token", "lang").agg(F.sum("c").alias("c"))
+    found = counts.toArrow().combine_chunks()
+    scratch.drop("sample")
+    languages = sorted(pc.unique(found.column("lang")).to_pylist())
+    at = {la: k for k, la in enumerate(languages)}
+    words, grams, rows = [], [], [np.zeros((0, len(languages)), np.float32)]
+    for n in range(LONGEST + 1):
+        own = found.filter(pc.equal(found.column("n"), n)).sort_by([("token", "ascending"), ("lang", "ascending")])
+        coded = own.column("token").combine_chunks().dictionary_encode()
+        tokens = coded.dictionary.to_pylist()
+        seen_by = np.zeros((len(tokens), len(languages)))
+        seen_by[coded.indices.to_numpy(), [at[la] for la in own.column("lang").to_pylist()]] = own.column("c").to_numpy()
+        (grams if n else words).extend(tokens)
+        # n-grams are held against others of their length
+        rows.append(np.log((seen_by + SMOOTHING) / (seen_by.sum(axis=0) + SMOOTHING * len(tokens))).astype(np.float32) if tokens else rows[0])
+    return Model(languages, words, grams, np.concatenate(rows))
 
 
 def _predict(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        width = len(model.languages)
-        seen = WordRows(lambda words: np.array([*map(model.vote, words)]), width, WORDS)
+        seen = model.voter()
         for batch in batches:
-            preds, scores = [], []
-            every = [words_of(t) for t in batch.column("text").to_pylist()]
-            for words, votes in zip(every, seen.totals(every), strict=True):
-                if not width or not any(any(map(str.isalpha, w)) for w in words):
+            preds, scores, lettered = [], [], []
+
+            def words() -> Iterator[list[str]]:
+                for text in batch.column("text"):  # noqa: B023
+                    found = words_of(text.as_py())
+                    lettered.append(any(any(map(str.isalpha, w)) for w in found))  # noqa: B023
+                    yield found
+
+            for k, (_, votes) in enumerate(seen.totals(words())):
+                if not model.languages or not lettered[k]:
                     preds.append(UNKNOWN)
                     scores.append(0.0)
                     continue
@@ -136,7 +165,8 @@ def predict(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "
     """Per row: doc_id, lang_pred, score (the share of the best language in the votes).
 
     A text that is null or has no letter is ``und`` with score 0; so is every text
-    if nothing was learnt. Of equal votes the language first by name wins.
+    if nothing was learnt. Of equal votes the language first by name wins. Rows may
+    repeat; an empty table gives no rows; other columns are not read.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -146,5 +176,5 @@ def predict(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Held-out mark, language and score of every document."""
     docs = table(spark, sf_dir, "documents")
-    found = predict(docs, fit(docs))
+    found = predict(docs, fit(docs, Scratch(spark, "op7")))
     return found.select("doc_id", is_held_out(F.col("doc_id"), 5, 0).alias("held_out"), "lang_pred", "score")
