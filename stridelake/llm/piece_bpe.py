@@ -157,12 +157,14 @@ class PieceBPE:
 
     def _chunk_ids(self, chunk: str) -> tuple[int, ...]:
         """Ids of a chunk, cut where no piece of the vocabulary joins the two characters."""
-        start, joined, ids = 0, self.joined, ()
+        start, joined, ids = 0, self.joined, []
         for k in range(1, len(chunk)):
             if chunk[k - 1 : k + 1] not in joined:
-                ids += self.part_ids[chunk[start:k]]
+                ids.extend(self.part_ids[chunk[start:k]])
                 start = k
-        return ids + self.part_ids[chunk[start:]] if chunk else ids
+        if chunk:
+            ids.extend(self.part_ids[chunk[start:]])
+        return tuple(ids)
 
     def encode(self, text: str) -> list[int]:
         """Ids of a whole text.
