@@ -1,16 +1,20 @@
 """Benchmark decontamination by an FM-index per training shard.
 
 The items' windows are the patterns. Each task turns its documents into word
-ids of the benchmark's vocabulary; a word outside it can be in no occurrence, so
-a run of such words becomes one separator, and so do document ends. Runs shorter
-than the shortest window go too. What is left of a shard is indexed, all windows
-are searched backwards through wavelet-tree ranks, occurrences are located by
-sampled suffix positions, and their spans are merged per document.
+ids; a word that no item has can be in no occurrence, so a run of such words
+becomes one separator, and so do document ends. Runs shorter than the shortest
+window go too. What is left of a shard is indexed once; all windows are searched
+backwards through wavelet-tree ranks, one block of items after another;
+occurrences are located by sampled suffix positions, and their spans are merged
+per document. Items of any number lie in blocks in the shared folder, so neither
+the driver nor a task holds more than a block of them.
 """
 
 from __future__ import annotations
 
+import pickle
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,16 +22,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stridelake.llm.common import Scratch, table
+from stridelake.llm.common import Scratch, keep_rows, table
 from stridelake.llm.fm_index import FMIndex
+from stridelake.llm.remembered import Remembered
 
 WINDOW = 13
 #: A document is contaminated from 1 hit word in so many.
 SHARE = 20
-#: Bytes of item text in one block of queries, which bounds what a broadcast holds.
+#: Bytes of item text in one block of queries.
 BLOCK_BYTES = 1 << 20
+#: Bits of the filter that tells words that no item has; words that slip through only make an index larger.
+FILTER_BITS = 1 << 23
 #: Symbols and documents in one shard's index.
 SHARD_SYMBOLS, SHARD_ROWS = 1 << 18, 20_000
+#: Words outside the items that a task remembers.
+WORDS = 300_000
 
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -58,7 +67,59 @@ class Patterns:
         for i, w in enumerate(windows):
             self.table[i, : len(w)] = w
         self.owners = list(windows.values())
-        self.shortest = int(self.lengths.min()) if windows else 0
+
+    def within(self, ids: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(numbers, windows, lengths) of the windows whose words all have an id, by those ids."""
+        own = np.zeros(len(self.words) + 2, dtype=np.int64)
+        own[2:] = np.fromiter((ids.get(w, 0) for w in self.words), np.int64, len(self.words))
+        found = own[self.table]
+        live = np.flatnonzero((found > 0).sum(axis=1) == self.lengths) if len(self.lengths) else np.zeros(0, int)
+        return live, found[live], self.lengths[live]
+
+
+class Items:
+    """A query set in the shared folder, in blocks, with a filter of its words."""
+
+    def __init__(self, folder: str, names: list[str], bits: np.ndarray, shortest: int, window: int):
+        self.folder, self.names, self.bits, self.shortest, self.window = folder, names, bits, shortest, window
+
+    def may_have(self, word: str) -> bool:
+        h = zlib.crc32(word.encode("utf-8", "surrogatepass")) % FILTER_BITS
+        return bool(self.bits[h >> 3] >> (h & 7) & 1)
+
+    def blocks(self) -> Iterator[Patterns]:
+        """The blocks one after another; a single one is kept by the task."""
+        if len(self.names) == 1 and hasattr(self, "only"):
+            yield self.only
+            return
+        from pyarrow import fs
+
+        store, root = fs.FileSystem.from_uri(self.folder)
+        for name in self.names:
+            with store.open_input_file(f"{root}/{name}") as f:
+                self.only = Patterns(pickle.loads(f.read()), self.window)
+            yield self.only
+
+
+def stored_items(items: DataFrame, scratch: Scratch, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> Items:
+    """Write a query set to the shared folder, block by block."""
+    from pyarrow import fs
+
+    spark, folder = items.sparkSession, scratch.path("items")
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
+    store, root = fs.FileSystem.from_uri(folder)
+    names, shortest, bits = [], 0, np.zeros(FILTER_BITS, dtype=bool)
+    for block in item_blocks(items, block_bytes=block_bytes):
+        for _, text in block:
+            words = words_of(text)
+            if words:
+                shortest = min(shortest or window, len(words), window)
+                bits[[zlib.crc32(w.encode("utf-8", "surrogatepass")) % FILTER_BITS for w in words]] = True
+        names.append(f"block-{len(names):06d}")
+        with store.open_output_stream(f"{root}/{names[-1]}", compression=None) as out:
+            out.write(pickle.dumps(block))
+    return Items(folder, names, np.packbits(bits, bitorder="little"), shortest, window)
 
 
 def _runs(ids: np.ndarray, shortest: int) -> tuple[np.ndarray, np.ndarray]:
@@ -73,77 +134,62 @@ def _runs(ids: np.ndarray, shortest: int) -> tuple[np.ndarray, np.ndarray]:
 class Shard:
     """What is gathered of some documents until their index is built."""
 
-    def __init__(self, patterns: Patterns):
-        self.patterns, self.symbols, self.size = patterns, [], 0
-        self.docs: list[int] = []
+    def __init__(self, items: Items, ids: dict[str, int]):
+        self.source, self.ids, self.size, self.words = items, ids, 0, []
+        self.symbols: list[np.ndarray] = []
         self.text_at: list[int] = []
         self.word_at: list[int] = []
         self.run_doc: list[int] = []
 
-    def add(self, doc: int, ids: np.ndarray) -> None:
-        for s, e in zip(*_runs(ids, self.patterns.shortest), strict=True):
-            self.text_at.append(self.size)
-            self.word_at.append(int(s))
-            self.run_doc.append(doc)
-            self.symbols += [ids[s:e], np.ones(1, dtype=ids.dtype)]
-            self.size += int(e - s) + 1
-
-    def hits(self) -> dict[int, tuple[list[tuple[int, int]], set[int]]]:
-        """Per document: merged spans of hit words, and the items with occurrences."""
-        out: dict[int, tuple[list[tuple[int, int]], set[int]]] = {}
-        if not self.size:
-            return out
-        index = FMIndex(np.concatenate(self.symbols))
-        window, at = index.locate(*index.search(self.patterns.table, self.patterns.lengths))
-        run = np.searchsorted(np.array(self.text_at), at, side="right") - 1
-        start = np.array(self.word_at)[run] + at - np.array(self.text_at)[run]
-        end = start + self.patterns.lengths[window]
-        doc = np.array(self.run_doc)[run]
-        for k in np.lexsort((start, doc)).tolist():
-            spans, items = out.setdefault(int(doc[k]), ([], set()))
-            items.update(self.patterns.owners[window[k]])
-            s, e = int(start[k]), int(end[k])
-            if spans and s <= spans[-1][1]:
-                spans[-1] = (spans[-1][0], max(spans[-1][1], e))
-            else:
-                spans.append((s, e))
-        return out
-
-
-def _search(shared, window: int, keep_text: bool):
-    """A task over documents: the spans and items of one block of items, beside those found before."""
-
-    fields = {"doc_id": pa.int64(), "n_words": pa.int64(), "spans": pa.list_(pa.int64()), "items": pa.list_(pa.string())}
-    schema = pa.schema(fields | ({"text": pa.string()} if keep_text else {}))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        patterns = Patterns(shared.value, window)
-        shard, held = Shard(patterns), []
-
-        def flush() -> pa.RecordBatch:
-            hits = shard.hits()
-            spans, items = [], []
-            for k, (_, _, _, old, old_items) in enumerate(held):
-                new, own = hits.get(k, ((), ()))
-                spans.append([x for pair in _merged([*zip(old[0::2], old[1::2], strict=True), *new]) for x in pair])
-                items.append(sorted({*old_items, *(patterns.items[i] for i in own)}))
-            out = {"doc_id": [h[0] for h in held], "n_words": [h[2] for h in held], "spans": spans, "items": items}
-            return pa.RecordBatch.from_pydict(out | ({"text": [h[1] for h in held]} if keep_text else {}), schema)
-
-        for batch in batches:
-            for doc_id, text, spans, items in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "spans", "items")), strict=True):
-                found = words_of(text)
-                if patterns.shortest:
-                    get = patterns.words.get
-                    shard.add(len(held), np.fromiter((get(w, 0) for w in found), np.int64, len(found)))
-                held.append((doc_id, text if keep_text else None, len(found), spans, items))
-                if len(held) >= SHARD_ROWS or shard.size >= SHARD_SYMBOLS:
-                    yield flush()
-                    shard, held = Shard(patterns), []
-        if held:
-            yield flush()
-
-    return run
+    def add(self, ids: np.ndarray) -> None:
+        """Add a document by the ids of all its words, 0 for those that no item has."""
+        if self.source.shortest:
+            for s, e in zip(*_runs(ids, self.source.shortest), strict=True):
+                self.text_at.append(self.size)
+                self.word_at.append(int(s))
+                self.run_doc.append(len(self.words))
+                self.symbols += [ids[s:e], np.ones(1, dtype=ids.dtype)]
+                self.size += int(e - s) + 1
+        self.words.append(len(ids))
+
+    def found(self) -> list[tuple[int, list[tuple[int, int]], list[str]]]:
+        """Per document: its number of words, merged spans of hit words, and the items with occurrences."""
+        spans: dict[int, list[tuple[int, int]]] = {}
+        items: dict[int, set[str]] = {}
+        index = FMIndex(np.concatenate(self.symbols)) if self.size else None
+        for block in self.source.blocks() if index else ():
+            number, windows, lengths = block.within(self.ids)
+            window, at = index.locate(*index.search(windows, lengths))
+            run = np.searchsorted(np.array(self.text_at), at, side="right") - 1
+            start = np.array(self.word_at)[run] + at - np.array(self.text_at)[run]
+            end = start + lengths[window]
+            for doc, w, s, e in zip(np.array(self.run_doc)[run].tolist(), number[window].tolist(), start.tolist(), end.tolist(), strict=True):
+                items.setdefault(doc, set()).update(block.items[i] for i in block.owners[w])
+                spans.setdefault(doc, []).append((s, e))
+        return [(n, _merged(spans.get(k, [])), sorted(items.get(k, ()))) for k, n in enumerate(self.words)]
+
+
+def _searched(items: Items, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[tuple]]]:
+    """In a task: each batch with what ``Shard.found`` says of its texts. A shard may go over several batches."""
+    ids: dict[str, int] = {}
+    id_of = Remembered(lambda w: ids.setdefault(w, len(ids) + 2) if items.may_have(w) else 0, WORDS)
+    shard, waiting, done = Shard(items, ids), [], []
+    for batch in batches:
+        waiting.append(batch)
+        for text in batch.column("text"):
+            words = words_of(text.as_py())
+            shard.add(np.fromiter(map(id_of.__getitem__, words), np.int64, len(words)))
+            if shard.size >= SHARD_SYMBOLS or len(shard.words) >= SHARD_ROWS:
+                done += shard.found()
+                shard = Shard(items, ids)
+        while waiting and len(done) >= waiting[0].num_rows:
+            n = waiting[0].num_rows
+            yield waiting.pop(0), done[:n]
+            done = done[n:]
+    done += shard.found()
+    for batch in waiting:
+        yield batch, done[: batch.num_rows]
+        done = done[batch.num_rows :]
 
 
 def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -171,27 +217,20 @@ def item_blocks(items: DataFrame, item_id: str = "item_id", text: str = "text",
 def find_spans(docs: DataFrame, items: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Per row: doc_id, n_words, spans (start and end word, in turn), items (their ids as text).
 
-    The items are a stated query set, held against all documents block by block;
-    with more than one block the table is written to the shared folder between
-    them, so that one block at a time is in memory. Null and empty texts have no
-    words. Repeated and null ids keep their own rows. A null item id counts as
-    the empty string. No items, or items without words, give no spans.
+    Null and empty texts have no words. Repeated and null ids keep their own rows.
+    A null item id counts as the empty string. No items, or items without words,
+    give no spans. Texts are read once, whatever the number of items.
     """
-    none = F.array()
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), none.cast("array<long>").alias("spans"), none.cast("array<string>").alias("items"))
-    blocks = item_blocks(items, block_bytes=block_bytes)
-    block, k = next(blocks), 0
-    while True:
-        after = next(blocks, None)
-        shared = docs.sparkSession.sparkContext.broadcast(block)
-        schema = "doc_id long, n_words long, spans array<long>, items array<string>" + ", text string" * (after is not None)
-        rows = rows.mapInArrow(_search(shared, window, after is not None), schema)
-        if after is None:
-            return rows
-        rows = scratch.save(rows, f"block-{k}")
-        if k:
-            scratch.drop(f"block-{k - 1}")
-        block, k = after, k + 1
+    shared = docs.sparkSession.sparkContext.broadcast(stored_items(items, scratch, window, block_bytes))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, found in _searched(shared.value, batches):
+            spans = pa.array([[x for pair in s for x in pair] for _, s, _ in found], pa.list_(pa.int64()))
+            arrays = [batch.column("doc_id"), pa.array([n for n, _, _ in found], pa.int64()), spans, pa.array([i for _, _, i in found], pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_words", "spans", "items"])
+
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    return rows.mapInArrow(run, "doc_id long, n_words long, spans array<long>, items array<string>")
 
 
 def judged(found: DataFrame, share: int = SHARE) -> DataFrame:
@@ -203,11 +242,16 @@ def judged(found: DataFrame, share: int = SHARE) -> DataFrame:
     return with_hits.withColumn("items_sha256", F.sha2(F.concat_ws(",", "items"), 256)).withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * share >= F.col("n_words")))
 
 
-def drop_contaminated(docs: DataFrame, items: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows that are not contaminated, whole; rows with a null id stay."""
-    found = judged(find_spans(docs, items, scratch, doc_id, text))
-    gone = found.filter("contaminated").select(F.col("doc_id").alias("__sl_gone")).distinct()
-    return docs.join(gone, F.col(doc_id) == F.col("__sl_gone"), "left_anti")
+def drop_contaminated(docs: DataFrame, items: DataFrame, scratch: Scratch, text: str = "text", share: int = SHARE) -> DataFrame:
+    """The rows whose own text is not contaminated, whole. Ids, null or shared, play no part in it."""
+    shared = docs.sparkSession.sparkContext.broadcast(stored_items(items, scratch))
+
+    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bool]]]:
+        for batch, found in _searched(shared.value, batches):
+            hits = [sum(e - s for s, e in spans) for _, spans, _ in found]
+            yield batch, [not (h > 0 and h * share >= n) for h, (n, _, _) in zip(hits, found, strict=True)]
+
+    return keep_rows(docs, text, decide)
 
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
