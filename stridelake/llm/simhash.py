@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stridelake.llm.common import Scratch, connected_components, table
+from stridelake.llm.common import Scratch, connected_components, quoted, table
 
 SEGMENTS, WIDTH, DISTANCE, SHINGLE = 8, 8, 3, 3
 #: Buckets above this many fingerprints are split by longer keys instead of compared.
@@ -189,6 +189,13 @@ def near_links(fps: DataFrame, scratch: Scratch, fp: str = "fp") -> DataFrame:
         masks, fan, level = _longer(masks), 4, level + 1
 
 
+def _rooted(hashed: DataFrame, scratch: Scratch) -> DataFrame:
+    """(fp, root) of every fingerprint of a stored table: equal roots are one component."""
+    nodes = scratch.save(hashed.select("fp").distinct(), "nodes")
+    linked = connected_components(near_links(nodes, scratch), scratch)
+    return nodes.join(linked.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("component", "fp").alias("root"))
+
+
 def components(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: doc_id, fp (signed long) and component_id, the smallest id reachable.
 
@@ -197,22 +204,30 @@ def components(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text:
     row and is never a component's id unless all its members are null.
     """
     hashed = scratch.save(docs.select(F.col(doc_id).alias("doc_id"), fingerprints(F.coalesce(F.col(text), F.lit(""))).alias("fp")), "fingerprints")
-    nodes = scratch.save(hashed.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
-    linked = connected_components(near_links(nodes, scratch), scratch)
-    roots = nodes.join(linked.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("root"))
+    least = hashed.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    roots = scratch.save(least.join(_rooted(hashed, scratch), "fp"), "roots")
     named = roots.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_fp = roots.join(named, "root").select("fp", "component_id")
+    by_fp = scratch.save(roots.join(named, "root").select("fp", "component_id"), "named")
     return hashed.join(by_fp, "fp").select("doc_id", "fp", "component_id")
 
 
 def near_dedup(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of each component, that with the smallest id, with all its columns.
+    """One row of each component, that with the smallest id, with all its columns of any name and type.
 
-    Rows with a null id stay. Of rows that share the smallest id all stay: they
-    are one document to this operator.
+    A null id comes last. Of rows that share the smallest id one stays, so rows
+    with null or shared ids are judged by their own text. Rows are stored once as
+    structs with a number, by which those that go are joined out.
     """
-    gone = components(docs, scratch, doc_id, text).filter("doc_id <> component_id").select(F.col("doc_id").alias("__sl_gone")).distinct()
-    return docs.join(gone, F.col(doc_id) == F.col("__sl_gone"), "left_anti")
+    whole = F.struct(*(F.col(quoted(c)) for c in docs.columns)).alias("row")
+    rows = docs.select(whole, F.monotonically_increasing_id().alias("row_no"), fingerprints(F.coalesce(F.col(quoted(text)), F.lit(""))).alias("fp"))
+    rows = scratch.save(rows, "rows")
+    identity = F.col("row").getField(doc_id)
+    place = F.struct(identity.isNull().alias("last"), identity.alias("id"), F.col("row_no"))
+    roots = scratch.save(rows.groupBy("fp").agg(F.min(place).alias("least")).join(_rooted(rows, scratch), "fp"), "roots")
+    first = roots.groupBy("root").agg(F.min("least").alias("first"))
+    stay = scratch.save(roots.join(first, "root").select("fp", F.col("first.row_no").alias("stay")), "stay")
+    gone = scratch.save(rows.select("fp", "row_no").join(stay, "fp").filter("row_no <> stay").select("row_no"), "gone")
+    return rows.join(gone, "row_no", "left_anti").select("row.*")
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
