@@ -92,12 +92,13 @@ def _resolved(base: Column, target: Column) -> Column:
 
 
 def declared_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """Edges (a, b) that pages declare: all canonical links and immediate redirects.
+    """Edges (a, b) that pages declare: all canonical links and immediate redirects outside of comments.
 
     Targets have their entities decoded; relative ones are resolved against the
     page. Targets without ``://``, such as mail addresses, give no edge.
     """
-    head = F.coalesce(F.col(html), F.lit(""))
+    # A comment without an end goes on to the end.
+    head = F.regexp_replace(F.coalesce(F.col(html), F.lit("")), r"(?s)<!--.*?(?:-->|\z)", " ")
     tags = F.regexp_extract_all(head, F.lit(r"(?is)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>"), 0)
     refreshes = F.regexp_extract_all(head, F.lit(r"(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>"), 0)
     targets = F.concat(
@@ -111,25 +112,34 @@ def declared_links(pages: DataFrame, url: str = "url", html: str = "html") -> Da
     return found.select("a", _resolved(F.col("a"), F.col("t")).alias("b")).filter("b like '%://%'")
 
 
+def node_of(url: Column) -> Column:
+    """What tells URLs apart as nodes: all but the fragment, with the host's A-Z lower-cased."""
+    plain = F.regexp_replace(url, r"(?s)#.*", "")
+    host = F.regexp_extract(plain, r"(?s)\A.*?://[^/?#]*", 0)
+    return F.concat(ascii_lower(host), F.substr(plain, F.length(host) + 1))
+
+
 def judge(pages: DataFrame, edges: DataFrame, scratch: Scratch, rules: tuple[Rule, ...] = RULES, page_id: str = "page_id", url: str = "url") -> DataFrame:
     """Per page: page_id, host, path, rule, verdict.
 
     ``edges`` (a, b) may name URLs that are no pages; their rules count for the
-    class too. Null URLs have no host, path, rule or alias and are allowed.
-    Repeated rows each get their verdict. An empty table gives no rows.
+    class too. URLs that differ in the fragment or the case of the host are one.
+    Null URLs have no host, path, rule or alias and are allowed. Repeated rows and
+    edges change nothing. An empty table gives no rows.
     """
     rows = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
     rows = rows.withColumn("hit", rule_of(F.col("host"), F.col("path"), rules))
-    classes = scratch.save(connected_components(edges, scratch), "classes")
+    nodes = edges.select(node_of(F.col("a")).alias("a"), node_of(F.col("b")).alias("b"))
+    classes = scratch.save(connected_components(nodes, scratch), "classes")
     member = rule_of(host_of(F.col("node")), path_of(F.col("node")), rules)["verdict"]
     votes = (
         classes.withColumn("v", member)
         .groupBy("component")
         .agg(F.max(F.when(F.col("v") == "allow", 2).when(F.col("v") == "block", 1).otherwise(0)).alias("vote"))
     )
-    spread = classes.join(votes.filter("vote > 0"), "component").select(F.col("node").alias("url"), "vote")
+    spread = classes.join(votes.filter("vote > 0"), "component").select("node", "vote")
     plain = rows.filter("hit is not null or url is null")
-    asked = rows.filter("hit is null and url is not null").join(spread, "url", "left")
+    asked = rows.filter("hit is null and url is not null").withColumn("node", node_of(F.col("url"))).join(spread, "node", "left")
     of_class = F.when(F.col("vote") == 1, F.lit("block")).otherwise(F.lit("allow"))
     return plain.select("page_id", "host", "path", F.col("hit.rule").alias("rule"), F.coalesce("hit.verdict", F.lit("allow")).alias("verdict")).unionByName(
         asked.select("page_id", "host", "path", F.col("hit.rule").alias("rule"), of_class.alias("verdict"))
@@ -151,12 +161,13 @@ WITH RECURSIVE p AS (
   FROM pages
 ),
 r(rh, rp, rv) AS (VALUES ('com', '/en/', 'block'), ('example.com', '/en/7', 'allow'), ('net', '/de/', 'allow'), ('example.net', '/de/8', 'block'), ('org', '/es/', 'block')),
+shown AS (SELECT url, regexp_replace(html, '(?s)<!--.*?(?:-->|\z)', ' ', 'g') AS html FROM p WHERE url IS NOT NULL AND html IS NOT NULL),
 links AS (
-  SELECT url AS a, unnest([
-    regexp_extract(regexp_extract(html, '(?is)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>', 0), '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1),
-    regexp_extract(regexp_extract(html, '(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>', 0), '(?is)\burl\s*=\s*["'']?([^"''\s>;]+)', 1)]) AS t,
+  SELECT url AS a, unnest(list_concat(
+    list_transform(regexp_extract_all(html, '(?is)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>'), lambda x: regexp_extract(x, '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1)),
+    list_transform(regexp_extract_all(html, '(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>'), lambda x: regexp_extract(x, '(?is)\burl\s*=\s*["'']?([^"''\s>;]+)', 1)))) AS t,
     regexp_extract(url, '\A[^/?#]*://[^/?#]*', 0) AS o
-  FROM p WHERE url IS NOT NULL AND html IS NOT NULL
+  FROM shown
 ),
 e AS (
   SELECT a, CASE WHEN t LIKE '//%' THEN regexp_extract(o, '\A[^/]*:', 0) || t WHEN t LIKE '/%' THEN o || t ELSE t END AS b FROM links

@@ -1,3 +1,4 @@
+import hashlib
 import re
 import uuid
 from collections import defaultdict
@@ -41,20 +42,30 @@ def test_exact_decisions_match_brute_force(spark, scratch):
         assert r["keep_id"] == (min(known) if known else None)
 
 
-def test_exact_dedup_keeps_whole_rows_and_clashing_columns(spark):
-    docs = spark.createDataFrame(rows_of(TEXTS), DOCS)
-    got = exact_dedup.exact_dedup(docs)
-    assert got.columns == docs.columns
-    assert sorted(r["doc_id"] for r in got.collect()) == [1, 3, 4, 8, 9, 10, 12]
-    assert exact_dedup.exact_dedup(docs.limit(0)).count() == 0
+@pytest.mark.parametrize(("setting", "value"), [("HOT_SHARE", 1), ("HOT_SHARE", 4), ("BROADCAST_BLOCKS", 0), ("SLOTS_PER_ROW", 30000)])
+def test_exact_decisions_are_the_same_by_every_way(spark, scratch, monkeypatch, setting, value):
+    docs = spark.createDataFrame([(i, f"t {i % 7 if i % 3 else i}") for i in range(90)] + [(None, "t  1")], "doc_id long, text string").repartition(3)
+    want = sorted(map(str, exact_dedup.decisions(docs, scratch).collect()))
+    monkeypatch.setattr(exact_dedup, setting, value)
+    assert sorted(map(str, exact_dedup.decisions(docs, Scratch(spark, "way")).collect())) == want
+
+
+def test_exact_dedup_keeps_whole_rows_and_clashing_columns(spark, scratch):
+    docs = spark.createDataFrame(rows_of(TEXTS), DOCS).withColumns({"a.b": F.lit(1), "row": F.lit("r"), "h": F.lit(2), "sha": F.lit(3), "__sl_h": F.lit(4), "m": F.create_map(F.lit("k"), F.lit(1)), "possible": F.lit(False)})
+    got = exact_dedup.exact_dedup(docs, scratch)
+    assert got.dtypes == docs.dtypes
+    rows = got.collect()
+    assert sorted(r["doc_id"] for r in rows) == [1, 3, 4, 8, 9, 10, 12]
+    assert all((r["a.b"], r["row"], r["h"], r["sha"], r["__sl_h"], r["m"], r["possible"]) == (1, "r", 2, 3, 4, {"k": 1}, False) for r in rows)
+    assert exact_dedup.exact_dedup(docs.limit(0), Scratch(spark, "none")).count() == 0
 
 
 def test_exact_dedup_passes_clear_rows_without_shuffling_them(spark):
     docs = spark.createDataFrame([(i, f"text {i}") for i in range(500)], "doc_id long, text string")
     hashed = docs.select(F.xxhash64(F.sha2(exact_dedup.normalised(F.col("text")), 256)).alias("h"))
-    n = exact_dedup.filter_slots(500)
-    flagged = exact_dedup.flag_possible(hashed, F.col("h"), exact_dedup.repeated_slots(hashed, F.col("h"), n), n, "p")
-    assert flagged.filter("p").count() < 50
+    n = exact_dedup.filter_blocks(500)
+    flagged = exact_dedup.flag_possible(hashed, "h", exact_dedup.repeated_slots(hashed, F.col("h"), n), n)
+    assert flagged.filter("possible").count() < 50
 
 
 def brute_components(fps):
@@ -122,11 +133,14 @@ def test_simhash_links_match_brute_force_in_large_buckets(spark, scratch, monkey
 
 
 def test_near_dedup_keeps_one_row_of_each_component(spark, scratch):
-    docs = spark.createDataFrame([(1, "a b c d", "k"), (2, "A b c d", "k"), (3, "other words here now", "k"), (None, "a b c d", "k")], "doc_id long, text string, fp string")
+    rows = [(1, "a b c d", "k"), (2, "A b c d", "k"), (3, "other words here now", "k"), (None, "a b c d", "k"), (None, "one more text here", "k"), (None, "one more text HERE", "k"), (3, "a b c d", "k"), (3, "quite another text yet", "k")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, fp string").withColumns({"row": F.lit(1), "a.b": F.create_map(F.lit(1), F.lit(2)), "row_no": F.lit(3)})
     got = simhash.near_dedup(docs, scratch)
-    assert got.columns == ["doc_id", "text", "fp"]
-    assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in got.collect()) == [(False, 1), (False, 3), (True, 0)]
+    assert got.columns == docs.columns
+    # rows with null or shared ids are judged by their own text
+    assert sorted((r["doc_id"] or 0, r["text"].lower(), r["row_no"]) for r in got.collect()) == [(0, "one more text here", 3), (1, "a b c d", 3), (3, "other words here now", 3), (3, "quite another text yet", 3)]
     assert simhash.components(docs.limit(0), scratch).count() == 0
+    assert simhash.near_dedup(docs.limit(0), Scratch(spark, "none")).count() == 0
 
 
 def test_connected_components_on_paths_hubs_and_nothing(spark, scratch):
@@ -167,38 +181,81 @@ def test_declared_links(spark):
     assert got == [("http://a.test/0", "https://b.test/c"), ("http://a.test/1", "http://a.test/d"), ("http://a.test/2", "http://c.test/e")]
 
 
-def brute_repeats(docs, run=3, least=10):
-    def split(t):
-        t = re.sub(r"([.!?])\s+", r"\1\n", t or "")
-        t = re.sub(r"([a-zà-ÿ,;]) ([A-ZÀ-Þ])", r"\1\n\2", t)
-        return [s.strip() for s in re.split(r"\n+", t) if s.strip()]
-
+def brute_sentences(text, long=16):
+    """(tokens with the white space after them) of each sentence, word by word."""
+    tokens = re.findall(r"[^\x09-\x0D\x20]+[\x09-\x0D\x20]*", text or "")
+    groups, now = [], []
+    for k, tok in enumerate(tokens):
+        now.append(tok)
+        word = tok.strip("\t\n\x0b\x0c\r ")
+        if k + 1 == len(tokens) or word[-1] in ".!?" or tok.count("\n") > 1:
+            groups.append(now)
+            now = []
+    out = []
+    for g in groups:
+        now = []
+        for tok in g:
+            now.append(tok)
+            word = tok.strip("\t\n\x0b\x0c\r ").lower()
+            if len(g) > long and (hashlib.md5(word.encode()).hexdigest()[0] == "0" or len(now) == long):
+                out.append(now)
+                now = []
+        out += [now] * bool(now)
+    return out
+
+
+def brute_repeats(docs, run=3, least=16, within=True):
     seen, gone = {}, defaultdict(set)
-    parts = {i: [" ".join(s.split()[k : k + 12]) for s in split(x) for k in range(0, len(s.split()), 12)] for i, x in docs}
+    parts = {i: brute_sentences(x) for i, x in docs}
     for i in sorted(parts):
         for p in range(len(parts[i])):
-            sizes = [n for n in range(run, least + 1) if p + n <= len(parts[i]) and sum(len(s.split()) for s in parts[i][p : p + n]) >= least]
+            sizes = [n for n in range(run, max(run, least) + 1) if p + n <= len(parts[i]) and sum(map(len, parts[i][p : p + n])) >= least]
             if not sizes:
                 continue
-            said = "\n".join(" ".join(s.lower().split()) for s in parts[i][p : p + sizes[0]])
-            if said in seen:
+            said = "\n".join(" ".join(t.strip("\t\n\x0b\x0c\r ").lower() for t in s) for s in parts[i][p : p + sizes[0]])
+            first = seen.setdefault(said, (i, p))
+            if first[0] != i or within and first[1] != p:
                 gone[i] |= set(range(p, p + sizes[0]))
-            else:
-                seen[said] = (i, p)
-    return {i: (len(parts[i]), sorted(gone[i])) for i in parts}
-
-
-def test_sentence_spans_match_brute_force(spark, scratch):
-    passage = "The first thing is here. A second thing follows it now. Then the third thing comes along. Fourth and last of them."
-    docs = [(1, f"Intro words. {passage} Outro."), (2, f"other start {passage} And more text."), (3, passage), (4, None), (5, ""), (6, "No. No. No. No. No."), (7, f"{passage} {passage}"), (8, "Yes. No. Yes. No. Yes. No."), (9, "z " * 4000), (10, "WAS!! ED!! OF!! THE!! AN!! IN!! ON!! AS!! TO!! IT!! BE!!"), (11, "x. WAS!! ED!! OF!! THE!! AN!! IN!! ON!! AS!! TO!! IT!! BE!!")]
-    frame = spark.createDataFrame([(i, t, 1) for i, t in docs], "doc_id long, text string, key int")
-    got = {r["doc_id"]: r for r in sentence_spans.dedup_sentences(frame, scratch, least_words=10).collect()}
-    assert {i: (r["n_sentences"], list(r["removed"])) for i, r in got.items()} == brute_repeats(docs)
-    assert got[1]["clean_text"] == docs[0][1] and got[3]["clean_text"] == "" and got[4]["clean_text"] is None
-    assert got[2]["clean_text"] == "other start And more text."
+    texts = dict(docs)
+    clean = {i: (re.match(r"[\x09-\x0D\x20]*", texts[i] or "")[0] + "".join("".join(s) for k, s in enumerate(parts[i]) if k not in gone[i]) if gone[i] else texts[i]) for i in parts}
+    return {i: (len(parts[i]), sorted(gone[i]), sum(len(parts[i][k]) for k in gone[i]), clean[i]) for i in parts}
+
+
+PASSAGE = "The first thing is here. A second thing follows it now. Then the third thing comes along. Fourth and last of them."
+LONG = " ".join(f"word{i}x" for i in range(70))
+SPAN_DOCS = [
+    (1, f"Intro words. {PASSAGE} Outro."), (2, f"other start. {PASSAGE} And more text."), (3, PASSAGE), (4, None), (5, ""), (6, "No. No. No. No. No."), (7, f"{PASSAGE} {PASSAGE}"),
+    (8, "Yes. No. Yes. No. Yes. No."), (9, "z " * 4000), (10, "WAS!! ED!! OF!! THE!! AN!! IN!! ON!! AS!! TO!! IT!! BE!!"), (11, "x. WAS!! ED!! OF!! THE!! AN!! IN!! ON!! AS!! TO!! IT!! BE!!"),
+    (12, "Head line\n\n  indented code\n\n" + PASSAGE.replace(" ", "\n") + "\n\nTail A\n\nTail B\n"), (13, "a b c d e " + LONG), (14, "q " + LONG.upper() + " Ende"), (15, "  \n \t"), (16, "\u00a0x y\x1cz. " * 9), (17, "9. " * 2000 + PASSAGE),
+]
+
+
+@pytest.mark.parametrize("within", [True, False])
+@pytest.mark.parametrize("hot_share", [4096, 3, 1])
+def test_sentence_spans_match_brute_force(spark, scratch, monkeypatch, within, hot_share):
+    monkeypatch.setattr(sentence_spans, "HOT_SHARE", hot_share)
+    frame = spark.createDataFrame([(i, t, 1) for i, t in SPAN_DOCS], "doc_id long, text string, t int").repartition(3)
+    got = sentence_spans.dedup_sentences(frame, scratch, least_words=10, within=within).collect()
+    assert {r["doc_id"]: (r["n_sentences"], r["removed"], r["words_removed"], r["clean_text"]) for r in got} == brute_repeats(SPAN_DOCS, least=10, within=within)
+    assert all(r["n_removed"] == len(r["removed"]) for r in got) and len(got) == len(SPAN_DOCS)
+
+
+def test_sentence_spans_keep_the_rest_to_the_letter(spark, scratch):
+    frame = spark.createDataFrame(SPAN_DOCS, "doc_id long, text string")
+    got = {r["doc_id"]: r["clean_text"] for r in sentence_spans.dedup_sentences(frame, scratch).collect()}
+    assert got[1] == SPAN_DOCS[0][1] and got[3] == "" and got[4] is None and got[2] == "other start. And more text."
+    assert got[12] == "Head line\n\n  indented code\n\nTail A\n\nTail B\n"
+    assert len(got[14].split()) < 12 and got[14].endswith("Ende")
     assert sentence_spans.dedup_sentences(frame.limit(0), scratch).count() == 0
 
 
+def test_sentences_end_at_marks_and_blank_lines_only():
+    text = "We met John Smith in New York, and Der Mann ging nach Hause mit Anna.\nOne line\nand the next. New\n\npart"
+    starts, sizes = sentence_spans.sentence_starts(text)
+    assert [text[a:b].split()[0] for a, b in zip(starts, [*starts[1:], None])] == ["We", "One", "New", "part"]
+    assert sizes == sentence_spans.sentences(text)[1] == [15, 5, 1, 1]
+
+
 def test_sentence_spans_with_repeated_and_null_ids(spark, scratch):
     text = "One two three four. Five six seven eight. Nine ten eleven twelve."
     frame = spark.createDataFrame([(1, text), (1, text), (None, text), (None, "a")], "doc_id long, text string")

@@ -1,13 +1,15 @@
-import gzip
 import hashlib
 import random
+import time
 import uuid
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from stridelake.llm import decontaminate, fm_index, language, pfor, piece_bpe, quality, token_files, warc
 from stridelake.llm.common import Scratch
@@ -54,6 +56,22 @@ def test_byte_encoder_equals_the_library_on_any_text(text):
     assert np.frombuffer(pieces.encode(text), "<u4").tolist() == pieces.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("remembered", [3, 300_000])
+def test_many_texts_at_once_equal_the_library(remembered):
+    pieces = token_files.Pieces(token_files.pieces_of("byte_bpe_50k.json").tokenizer, remembered)
+    texts = [*ODD, None, *random_texts(800, 9), "the cat, the cat. the", "x" * 200 + " " + "y" * 200]
+    for some in (texts, texts[::-1], [], [None, ""]):
+        ids, counts = pieces.encode_all(pa.array(some, pa.string()))
+        want = [pieces.tokenizer.encode(t or "", add_special_tokens=False).ids for t in some]
+        assert counts.tolist() == [len(w) for w in want] and ids.tolist() == [x for w in want for x in w]
+
+
+def test_batches_are_cut_by_bytes(monkeypatch):
+    monkeypatch.setattr(token_files, "SLICE_BYTES", 10)
+    batch = pa.RecordBatch.from_arrays([pa.array(["a" * n if n else None for n in (4, 6, 1, 30, 0, 9, 2)]), pa.array(range(7))], names=["text", "doc_id"])
+    assert [s.column("doc_id").to_pylist() for s in token_files._slices(batch)] == [[0, 1], [2], [3], [4, 5], [6]]
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 127, 128, 129, 1000])
 @pytest.mark.parametrize("top", [1, 2, 300, 50257, 2**32])
 def test_pfor_round_trip(n, top):
@@ -98,6 +116,26 @@ def test_round_trip_digests(spark):
         assert r["decoded"] == library.decode(ids) and r["decoded_sha256"] == hashlib.sha256(r["decoded"].encode()).hexdigest()
 
 
+@pytest.mark.parametrize("unit", ["1;", "日本語の文章は長い", "ab", "a", " ", "\n", "\x00"])
+def test_a_million_characters_without_blanks_take_linear_time(unit):
+    encoder = piece_bpe.encoder_of("piece_bpe_32k.model")
+    text = unit * (1_000_000 // len(unit))
+    began = time.process_time()
+    ids = encoder.encode(text)
+    assert time.process_time() - began < 5 and ids
+    short = text[:5_000]
+    assert encoder.encode(short) == encoder.library.encode(short)
+    assert sum(len(m) for m in (encoder.chunk_ids, encoder.part_ids, encoder.after_space)) < 1_000_000
+    assert all(len(k) <= 48 for m in (encoder.chunk_ids, encoder.part_ids, encoder.after_space) for k in m)
+
+
+def test_round_trip_of_repeated_rows_and_of_none(spark):
+    docs = spark.createDataFrame([(1, "a b", "x"), (1, "a b", "x"), (None, "a b", "x"), (2, "x" * 100_000, "x")], "doc_id long, text string, ids string")
+    got = piece_bpe.round_trip(docs, keep_text=False).collect()
+    assert len(got) == 4 and len({r["ids_sha256"] for r in got}) == 2
+    assert piece_bpe.round_trip(docs.limit(0)).count() == 0
+
+
 def test_fm_index_finds_all_occurrences():
     rng = np.random.default_rng(0)
     text = rng.integers(1, 5, 400)
@@ -142,6 +180,31 @@ def test_decontamination_matches_brute_force(spark, scratch, block_bytes):
     assert {r["doc_id"] for r in kept.collect()} == {i for i, v in brute_hits(docs, items).items() if not v[4]}
 
 
+@pytest.mark.parametrize("symbols", [1, 40, 1 << 18])
+def test_decontamination_by_small_shards_and_many_blocks(spark, scratch, monkeypatch, symbols):
+    monkeypatch.setattr(decontaminate, "SHARD_SYMBOLS", symbols)
+    random.seed(symbols)
+    word = lambda: f"w{random.randint(0, 60)}"
+    items = [(i, " ".join(word() for _ in range(random.randint(1, 40)))) for i in range(30)]
+    docs = [(i, " ".join([*(word() for _ in range(9)), *items[i % 30][1].split()[i % 5 :], "other", *(word() for _ in range(9))])) for i in range(60)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(2)
+    found = decontaminate.find_spans(frame, spark.createDataFrame(items, "item_id long, text string"), scratch, block_bytes=300)
+    got = {r["doc_id"]: (r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"], r["contaminated"]) for r in decontaminate.judged(found).collect()}
+    assert got == brute_hits(docs, items)
+
+
+def test_rows_with_null_and_shared_ids_are_judged_by_their_own_text(spark, scratch):
+    passage = " ".join(f"word{i}" for i in range(20))
+    docs = spark.createDataFrame([(None, passage, "a"), (None, "clean one", "b"), (7, passage, "c"), (7, "clean two", "d")], "doc_id long, text string, spans string").withColumn("a.b", F.lit(1))
+    kept = decontaminate.drop_contaminated(docs, spark.createDataFrame([(1, passage)], "item_id long, text string"), scratch)
+    assert kept.columns == docs.columns and sorted(r["spans"] for r in kept.collect()) == ["b", "d"]
+    labels = spark.createDataFrame([(i, int(i % 2)) for i in range(60)], "doc_id long, quality int")
+    taught = spark.createDataFrame([(i, "good words here" if i % 2 else "%% bad !!") for i in range(60)], "doc_id long, text string")
+    model_rows = taught.unionByName(spark.createDataFrame([(None, "%% bad !!"), (None, "good words here"), (1, "%% bad !!")], "doc_id long, text string"))
+    good = quality.keep_good(model_rows, labels)
+    assert {r["text"] for r in good.collect()} == {"good words here"} and good.filter("doc_id is null").count() == 1
+
+
 def test_decontamination_without_items_or_documents(spark, scratch):
     none = spark.createDataFrame([], "item_id long, text string")
     docs = spark.createDataFrame([(None, "a b"), (1, "c")], "doc_id long, text string")
@@ -154,7 +217,7 @@ def test_warc_derivatives_link_back(spark, scratch):
     pages = spark.createDataFrame([(1, "http://a.test/1", html), (2, None, None), (3, "u", ""), (None, "x\ny", "<p>" + "w " * 50000), (1, "http://a.test/1", html)], "page_id long, url string, html string")
     folder = scratch.path("warc")
     index = scratch.save(warc.write_derivatives(warc.responses(pages), folder, file_records=2), "index")
-    back = {r["refers_to"]: r for r in warc.read_derivatives(spark, folder).collect()}
+    back = {r["refers_to"]: r for r in warc.read_derivatives(folder, index).collect()}
     assert index.count() == 5 and all(r["linked"] for r in back.values())
     record = warc.response("1", "http://a.test/1", html)
     headers, block = warc.parse(record)
@@ -164,7 +227,6 @@ def test_warc_derivatives_link_back(spark, scratch):
     assert warc.parse(meta)[0]["warc-refers-to"] == headers["warc-record-id"] == warc.parse(conv)[0]["warc-refers-to"]
     assert "source-header-content-type: text/html; charset=utf-8" in warc.parse(meta)[1].decode()
     assert warc.derive(warc.build("request", [("WARC-Record-ID", "<urn:uuid:x>")], b"")) is None
-    assert [h["warc-type"] for h, _ in warc.parse_all(gzip.decompress(gzip.compress(meta) + gzip.compress(conv)))] == ["metadata", "conversion"]
 
 
 def test_quality_learns_and_scores_every_row(spark):
@@ -200,3 +262,67 @@ def test_language_backs_off_and_covers_odd_rows(spark):
     assert (got[500][0], got[501][0], got[None][0]) == ("de", "en", "en")
     assert got[502] == got[503] == got[504] == ("und", 0.0)
     assert {r["lang_pred"] for r in language.predict(docs, language.fit(docs.limit(0))).collect()} == {"und"}
+
+
+def plain_language(docs, text, lang):
+    """The votes on one text by counts in plain Python."""
+    import math
+    import re
+    from collections import Counter
+
+    words_of = lambda t: re.findall(r"[^\W\d_]+", (t or "").lower())
+    grams = lambda w, n: [f"<{w}>"[i : i + n] for i in range(len(w) + 3 - n)] if n > 1 else list(w)
+    counts = {la: [Counter() for _ in range(6)] for la in sorted({la for _, _, la in docs if la})}
+    for i, t, la in docs:
+        if la and zlib.crc32(("" if i is None else str(i)).encode()) % 5:
+            for w in words_of(t):
+                counts[la][0][w] += 1
+                for n in range(1, 6):
+                    counts[la][n].update(grams(w, n))
+    kinds = [set().union(*(c[n] for c in counts.values())) for n in range(6)]
+    log = lambda la, n, x: math.log((counts[la][n][x] + 0.5) / (sum(counts[la][n].values()) + 0.5 * len(kinds[n])))
+    votes = dict.fromkeys(counts, 0.0)
+    for w in words_of(text):
+        if w in kinds[0]:
+            for la in counts:
+                votes[la] += log(la, 0, w)
+            continue
+        for n in range(5, 0, -1):
+            known = [g for g in grams(w, n) if g in kinds[n]]
+            if known:
+                for la in counts:
+                    votes[la] += sum(log(la, n, g) for g in known) / len(known)
+                break
+    best = max(votes, key=lambda la: (votes[la], [-ord(c) for c in la]))
+    return best, 1 / sum(math.exp(v - votes[best]) for v in votes.values())
+
+
+@pytest.mark.parametrize("memory", [5, 150_000])
+def test_language_matches_a_plain_version(spark, monkeypatch, memory):
+    monkeypatch.setattr(language, "WORDS", memory)
+    monkeypatch.setattr(language.Model.voter, "__defaults__", (memory,))
+    random.seed(5)
+    parts = {"en": ["th", "ing", "wh", "er"], "de": ["sch", "ung", "ei", "er"], "fr": ["eau", "ment", "é", "er"]}
+    made = lambda la: " ".join("".join(random.choice(parts[la]) for _ in range(random.randint(1, 3))) for _ in range(12))
+    docs = [(i, made(la), la) for i in range(60) for la in [random.choice([*parts])]]
+    asked = docs + [(100, "er", None), (101, "zzz qqq", None), (102, "whsch eauung", None), (103, "Thing! thing? 12 thing_er", None), (103, "Thing! thing? 12 thing_er", None), (None, "xx " * 40_000 + "eau", None), (104, "é" * 200_000, "fr")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    odd = spark.createDataFrame([(*r, 1.0, "x") for r in asked], "doc_id long, text string, lang string, score double, lang_pred string")
+    model = language.fit(frame)
+    got = language.predict(odd, model).collect()
+    assert len(got) == len(asked)
+    texts = {i: t for i, t, _ in asked}
+    for r in got:
+        best, score = plain_language(docs, texts[r["doc_id"]], None)
+        assert r["lang_pred"] == best and abs(r["score"] - score) < 1e-3, r
+    assert language.predict(odd.limit(0), model).count() == 0
+
+
+def test_a_tie_goes_to_the_language_first_by_name_and_rare_languages_are_learnt(spark):
+    docs = [(i, "same words", la) for i, la in enumerate(["b", "a"] * 20)] + [(1001, "selten", "rare"), (1002, "selten", "rare"), (1003, "selten", "rare")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    model = language.Model(["a", "b"], ["same"], [], np.zeros((1, 2), np.float32))
+    assert {(r["lang_pred"], r["score"]) for r in language.predict(frame.filter("lang <> 'rare'"), model).collect()} == {("a", 0.5)}
+    many = frame.unionByName(spark.range(2000, 4000).select(F.col("id").alias("doc_id"), F.lit("other text").alias("text"), F.lit("a").alias("lang")))
+    sample = language.fit_sample(many, Scratch(spark, "sample"), fit_rows=40).collect()
+    assert len(sample) <= 40 and {r["lang"] for r in sample} == {"a", "b", "rare"}
