@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stridelake.operators import windows as W
-from stridelake.operators.joins import asof_join
 from stridelake.plans.roles import POINTS, RUNNERS, SECONDS, Group, points, rounded, runners
 
 GROUP = Group()
@@ -49,8 +48,9 @@ def _(spark, d):
     r = runners(spark, d)
     out = W.prior_n(r, ["horse"], ORDER, 5, {"avg_price_5": F.avg("price"), "max_score_5": F.max("score"), "best_finish_5": F.min("finish"), "n_5": F.count("price")})
     out = W.days_since(W.prior_delta(out, ["horse"], ORDER, "score", "score_change"), ["horse"], ORDER, "race_date")
-    stats = career_stats(r, ["jockey"], "race_date", "finish", "earnings").select("jockey", "as_of_date", F.col("starts").alias("jockey_starts"))
-    out = asof_join(out, stats, ["jockey"], "race_date", "as_of_date", ["jockey_starts"])
+    # Career figures have a row for every day on which the jockey rides, so an equi join finds it.
+    stats = career_stats(r, ["jockey"], "race_date", "finish", "earnings").select("jockey", F.col("as_of_date").alias("race_date"), F.col("starts").alias("jockey_starts"))
+    out = out.join(stats, ["jockey", "race_date"], "left")
     out = out.select("race", "num", "avg_price_5", "max_score_5", F.col("best_finish_5").cast("long").alias("best_finish_5"), "n_5", "score_change", F.col("days_off").cast("long").alias("days_off"), "jockey_starts")
     return rounded(rounded(out, "avg_price_5", digits=4), "score_change")
 
