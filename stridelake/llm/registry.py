@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stridelake.llm import decontaminate, exact_dedup, language, piece_bpe, quality, sentence_spans, simhash, token_files, topk_search, url_filter, warc
+from stridelake.llm import decontaminate, exact_dedup, language, piece_bpe, quality, sentence_spans, simhash, spelling, token_files, topk_search, url_filter, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,6 +22,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_url_filter": url_filter.op8_url_filter,
         "op9_exact_dedup": exact_dedup.op9_exact_dedup,
         "op10_sentence_spans": sentence_spans.op10_sentence_spans,
+        "op11_spelling": spelling.op11_spelling,
         "op12_topk_search": topk_search.op12_topk_search,
     }
 
@@ -33,5 +34,6 @@ def oracle_sql() -> dict[str, str]:
         "op8_url_filter": url_filter.SQL,
         "op9_exact_dedup": exact_dedup.SQL,
         "op10_sentence_spans": sentence_spans.SQL,
+        "op11_spelling": spelling.SQL,
         "op12_topk_search": topk_search.SQL,
     }
