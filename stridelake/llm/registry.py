@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stridelake.llm import decontaminate, exact_dedup, language, piece_bpe, quality, sentence_spans, simhash, spelling, token_files, topk_search, url_filter, warc
+from stridelake.llm import collocations, decontaminate, exact_dedup, language, piece_bpe, quality, sentence_spans, simhash, spelling, token_files, topk_search, url_filter, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -24,6 +24,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_sentence_spans": sentence_spans.op10_sentence_spans,
         "op11_spelling": spelling.op11_spelling,
         "op12_topk_search": topk_search.op12_topk_search,
+        "op13_collocations": collocations.op13_collocations,
     }
 
 
@@ -36,4 +37,5 @@ def oracle_sql() -> dict[str, str]:
         "op10_sentence_spans": sentence_spans.SQL,
         "op11_spelling": spelling.SQL,
         "op12_topk_search": topk_search.SQL,
+        "op13_collocations": collocations.SQL,
     }
