@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from stridelake.functions.clock import micros
 from stridelake.plans.q_sources import folder
-from stridelake.plans.roles import Group, rounded, table
+from stridelake.plans.roles import POINTS, RUNNERS, Group, points, rounded, runners, table
 from stridelake.streaming import feeds as S
+from stridelake.streaming import stateful
 
 GROUP = Group()
 QUERIES = GROUP.QUERIES
@@ -72,13 +76,123 @@ def _(spark, d):
   k1 AS (SELECT *, (value - pv) / nullif(dt, 0) AS a FROM k0) SELECT id, round(dt, 6) AS dt, round(a, 6) AS acceleration FROM k1""")
 def _(spark, d):
     stream, at = _feed(spark, d)
-    points = stream.select("runner", "id", micros("ts").alias("ts_us"), "speed")
-    # The state of user-defined operators lives in RocksDB; the session keeps its own setting.
+    rows = stream.select("runner", "id", micros("ts").alias("ts_us"), "speed")
+    with _own_state(spark):
+        out = _collected(spark, S.stream_kinematics(rows).select("id", "dt", "acceleration"), at)
+    return rounded(out, "dt", "acceleration")
+
+
+@contextmanager
+def _own_state(spark):
+    """The state of user-defined operators lives in RocksDB; the session keeps its own setting."""
     setting = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(setting, None)
     spark.conf.set(setting, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     try:
-        out = _collected(spark, S.stream_kinematics(points).select("id", "dt", "acceleration"), at)
+        yield
     finally:
         spark.conf.set(setting, before) if before else spark.conf.unset(setting)
-    return rounded(out, "dt", "acceleration")
+
+
+def _in_steps(spark, rows, step, at: str, steps: int = FILES, closing=None):
+    """A stream of the rows with a trigger for each step, in their order, and a last one for the closing rows."""
+    for k in range(steps):
+        rows.filter(step == k).coalesce(1).write.mode("append").parquet(at)
+    if closing is not None:
+        closing.coalesce(1).write.mode("append").parquet(at)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(at)
+
+
+def _closing(spark, schema, **known):
+    """One row long after all others, null but for the columns that are named. A join's needs a key, or it is filtered out before it moves the watermark."""
+    return spark.range(1).select(*(F.lit(known.get(f.name)).cast(f.dataType).alias(f.name) for f in schema.fields))
+
+
+#: Kinds of career figures, with the columns of their entity.
+KINDS = {"J": ["jockey"], "T": ["trainer"], "J_TRACK": ["jockey", "track"]}
+
+
+def _running_sql() -> str:
+    sums = ", ".join(f"count(CASE WHEN finish = {i} THEN 1 END) AS n{i}, coalesce(sum(CASE WHEN finish = {i} THEN earnings END), 0) AS e{i}" for i in (1, 2, 3, 4))
+    each = " UNION ALL ".join(f"SELECT '{kind}' AS stat_type, concat_ws('|', {', '.join(cols)}) AS entity, * FROM runners" for kind, cols in KINDS.items())
+    upto = ", ".join(f"coalesce(sum({x}) OVER w, 0) AS {x}" for x in ("n", "n1", "n2", "n3", "n4", "e", "e1", "e2", "e3", "e4"))
+    names = ("starts", "wins", "places", "shows", "fourths")
+    whole = ", ".join(f"CAST({x} AS BIGINT) AS {name}" for x, name in zip(("n", "n1", "n2", "n3", "n4"), names, strict=True))
+    money = ", ".join(f"round({x}, 4) AS earnings{s}" for x, s in zip(("e", "e1", "e2", "e3", "e4"), ("", "_1", "_2", "_3", "_4"), strict=True))
+    return f"""WITH {RUNNERS}, x AS ({each}), g AS (SELECT stat_type, entity, race_date, count(*) AS n, sum(earnings) AS e, {sums} FROM x GROUP BY ALL),
+  c AS (SELECT stat_type, entity, race_date AS as_of_date, {upto} FROM g WINDOW w AS (PARTITION BY stat_type, entity ORDER BY race_date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+  SELECT stat_type, entity, as_of_date, {whole}, {money}, round(coalesce(n1 / nullif(n, 0)::DOUBLE, 0), 6) AS win_pct, round(coalesce((n1 + n2 + n3) / nullif(n, 0)::DOUBLE, 0), 6) AS itm_pct FROM c"""
+
+
+@add("s4_running_career", _running_sql())
+def _(spark, d):
+    """Three triggers in order of date; the 13th of every month comes late, in the last one."""
+    at = folder(spark, "s4")
+    r = runners(spark, d).select("jockey", "trainer", "track", "race_date", "finish", "earnings")
+    edges = r.agg(*(F.percentile_approx(F.unix_date("race_date"), k / FILES).alias(f"e{k}") for k in range(1, FILES))).head()
+    step = sum((F.when(F.unix_date("race_date") > e, 1).otherwise(0) for e in edges), F.lit(0))
+    stream = _in_steps(spark, r, F.when(F.dayofmonth("race_date") == 13, FILES - 1).otherwise(step), f"{at}/in")
+    running = stateful.stream_career(stateful.career_events(stream, KINDS, "race_date", "finish", "earnings"))
+    with _own_state(spark):
+        S.stream_upsert(running, f"{at}/table", ["stat_type", "entity", "as_of_date"], [], f"{at}/check").awaitTermination()
+    out = S.current_version(spark, f"{at}/table")
+    return rounded(rounded(out, "earnings", "earnings_1", "earnings_2", "earnings_3", "earnings_4", digits=4), "win_pct", "itm_pct")
+
+
+#: Hours by which points come late at most in the queries of unordered feeds.
+LATE_H = 60
+
+
+def _shuffled(ts: str, ident: str, edges) -> F.Column:
+    """The trigger of each row when it comes up to ``LATE_H`` hours after its time."""
+    arrives = F.col(ts).cast("timestamp").cast("double") + F.pmod(F.xxhash64(ident), F.lit(LATE_H)) * 3600
+    return sum((F.when(arrives > e, 1).otherwise(0) for e in edges), F.lit(0))
+
+
+def _edges(frame, ts: str, steps: int):
+    return frame.agg(*(F.percentile_approx(F.col(ts).cast("timestamp").cast("double"), k / steps).alias(f"e{k}") for k in range(1, steps))).head()
+
+
+@add("s5_late_points", """WITH k0 AS (SELECT event_id AS id, user_id, ts, value, (epoch_us(ts) - lag(epoch_us(ts)) OVER w) / 1e6::DOUBLE AS dt, lag(value) OVER w AS pv FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+  k1 AS (SELECT *, (value - pv) / nullif(dt, 0) AS a FROM k0), k2 AS (SELECT *, lag(a) OVER (PARTITION BY user_id ORDER BY ts, id) AS pa FROM k1)
+  SELECT user_id AS runner, id, round(dt, 6) AS dt, round(a, 6) + 0 AS acceleration, round((a - pa) / nullif(dt, 0), 6) + 0 AS jerk FROM k2""")
+def _(spark, d):
+    """Points come up to some days late, over five triggers; they are let go in order."""
+    at = folder(spark, "s5")
+    rows = table(spark, d, "events").select(F.col("user_id").alias("runner"), F.col("event_id").alias("id"), F.col("ts").cast("timestamp").alias("ts"), F.col("value").alias("speed"))
+    steps = 5
+    stream = _in_steps(spark, rows, _shuffled("ts", "id", _edges(rows, "ts", steps)), f"{at}/in", steps, _closing(spark, rows.schema, ts=CLOSING, id=-1))
+    with _own_state(spark):
+        out = _collected(spark, stateful.ordered_kinematics(stream.withWatermark("ts", f"{LATE_H} hours")), at)
+    out = rounded(out.filter("id >= 0"), "dt", "acceleration", "jerk")
+    return out.withColumns({c: F.col(c) + 0.0 for c in ("acceleration", "jerk")})  # no negative zeros
+
+
+def _two_feeds(spark, d, how: str):
+    """Events as two streams, points and the spans between clicks and views, each over four triggers and out of order."""
+    at = folder(spark, "j6s")
+    p = points(spark, d).select("runner", "id", F.col("ts").cast("timestamp").alias("ts"), "kind")
+    w = Window.partitionBy("runner").orderBy("ts", "id")
+    spans = p.filter("kind in ('click', 'view')").select("runner", F.col("id").alias("gate"), F.col("ts").alias("a"), F.coalesce(F.lead("ts").over(w), "ts").alias("b"))
+    others = p.filter("kind not in ('click', 'view')").drop("kind")
+    steps = 4
+    edges = _edges(p, "ts", steps)
+    left = _in_steps(spark, others, _shuffled("ts", "id", edges), f"{at}/points", steps, _closing(spark, others.schema, runner=-1, ts=CLOSING))
+    right = _in_steps(spark, spans, _shuffled("a", "gate", edges), f"{at}/spans", steps, _closing(spark, spans.schema, runner=-1, a=CLOSING, b="2100-01-02"))
+    delay = f"{LATE_H} hours"
+    joined = stateful.stream_interval_join(left.withWatermark("ts", delay), right, ["runner"], "ts", "a", "b", delay, 86400, how)
+    return _collected(spark, joined.select("runner", "id", "gate"), at).filter("runner >= 0").select("id", "gate")
+
+
+_GATES = "g AS (SELECT runner, id AS gate, ts AS a, coalesce(lead(ts) OVER (PARTITION BY runner ORDER BY ts, id), ts) AS b FROM points WHERE kind IN ('click', 'view'))"
+_HELD = "ON p.runner = g.runner AND p.ts >= g.a AND p.ts < g.b WHERE p.kind NOT IN ('click', 'view')"
+
+
+@add("j6_stream_interval", f"WITH {POINTS}, {_GATES} SELECT p.id, g.gate FROM points p JOIN g {_HELD}")
+def _(spark, d):
+    return _two_feeds(spark, d, "inner")
+
+
+@add("j6_stream_interval_left", f"WITH {POINTS}, {_GATES} SELECT p.id, g.gate FROM points p LEFT JOIN g {_HELD}")
+def _(spark, d):
+    return _two_feeds(spark, d, "left")
