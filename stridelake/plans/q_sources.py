@@ -172,14 +172,78 @@ def _(spark, d):
     return K.read_race_list(spark, at).select("race_key", "race_number", "racecourse")
 
 
-@add("k13_routes", "SELECT CAST(c_custkey AS VARCHAR) AS name, CASE WHEN c_custkey % 2 = 0 THEN 'WINNING_LINE' ELSE 'RUNNING_LINE' END AS line_type, 2 AS n, c_custkey * 0.5::DOUBLE AS last_lat FROM customer")
+def named_files(spark, rows, at: str, ending: str) -> None:
+    """One text file for each row of (f, value), named by f; a few hundred rows."""
+    rows.repartition("f").write.partitionBy("f").text(f"{at}-parts")
+    path = lambda p: spark._jvm.org.apache.hadoop.fs.Path(p)
+    files = path(at).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path(at))
+    for found in files.globStatus(path(f"{at}-parts/f=*/part-*")):
+        files.rename(found.getPath(), path(f"{at}/{found.getPath().getParent().getName()[2:]}.{ending}"))
+
+
+_COURSE = "chr(CAST(65 + b // 10 AS INTEGER)) || chr(CAST(65 + b % 10 AS INTEGER))"
+
+
+@add("k13_routes", f"""WITH c AS (SELECT c_custkey % 100 AS b, max(c_custkey) AS top FROM customer GROUP BY 1), k AS (SELECT {_COURSE} AS course_cd, b, top FROM c)
+  SELECT course_cd, 'RUNNING_LINE' AS line_type, 2 AS n, top * 0.5::DOUBLE AS last_lat FROM k UNION ALL SELECT course_cd, 'WINNING_LINE', 3, -top * 0.5::DOUBLE FROM k WHERE b % 2 = 0""")
 def _(spark, d):
+    """A file a course, with a rail fence and a pole that are no routes."""
+    c = table(spark, d, "customer").groupBy((F.col("c_custkey") % 100).alias("b")).agg(F.max("c_custkey").alias("top"))
+    lat = (F.col("top") * 0.5).cast("string")
+    mark = lambda name, coordinates: F.concat(F.lit(f"<Placemark><name>{name}</name><LineString><coordinates>"), *coordinates, F.lit("</coordinates></LineString></Placemark>"))
+    running = mark("main running_line", [F.lit(" -84.5,38.0,0 -84.4,"), lat, F.lit(",0 ")])
+    winning = F.when(F.col("b") % 2 == 0, mark("WINNING_LINE", [F.lit("-84.5,38.0 -84.5,39.0 -84.4,-"), lat])).otherwise("")
+    fence = mark("RAIL_FENCE", [F.lit("0,0 1,1")])
+    pole = F.lit("<Placemark><name>Winning post</name><Point><coordinates>1,1</coordinates></Point></Placemark>")
+    code = F.concat(F.char((65 + F.floor(F.col("b") / 10)).cast("int")), F.char((65 + F.col("b") % 10).cast("int")))
     at = folder(spark, "k13")
-    name = F.concat(F.col("c_custkey").cast("string"), F.when(F.col("c_custkey") % 2 == 0, " winning line").otherwise(" rail"))
-    mark = F.concat(F.lit("<Placemark><name>"), name, F.lit("</name><LineString><coordinates> -84.5,38.0,0 -84.4,"), (F.col("c_custkey") * 0.5).cast("string"), F.lit(",0 </coordinates></LineString></Placemark>"))
-    write_files(table(spark, d, "customer"), at, F.floor(F.col("c_custkey") / 500), mark, "<kml>", "", "</kml>")
+    named_files(spark, c.select(F.concat(F.lit("routes_"), code).alias("f"), F.concat(F.lit("<kml>"), fence, running, pole, winning, F.lit("</kml>")).alias("value")), at, "kml")
     got = K.read_routes(spark, at)
-    return got.select(F.regexp_extract("name", r"^(\d+)", 1).alias("name"), "line_type", F.size("line").alias("n"), F.element_at("line", -1)["lat"].alias("last_lat"))
+    return got.select("course_cd", "line_type", F.size("line").alias("n"), F.element_at("line", -1)["lat"].alias("last_lat"))
+
+
+@add("k7_rejects", """SELECT CASE WHEN event_id % 500 = 7 AND event_id // 500 % 3 <> 1 THEN 'malformed' WHEN event_id % 500 = 8 AND event_id // 500 % 3 <> 1 THEN 'no id' ELSE 'good' END AS side, count(*) AS n, round(sum(CASE WHEN event_id % 500 IN (7, 8) THEN 0 ELSE value END), 4) AS total
+  FROM events WHERE event_id // 500 % 3 <> 1 GROUP BY 1 UNION ALL SELECT 'no array', count(DISTINCT event_id // 500), 0 FROM events WHERE event_id // 500 % 3 = 1""")
+def _(spark, d):
+    """Feeds of which every third file is cut off, and two records of each other file are not what they should be."""
+    at = folder(spark, "k7r")
+    e = table(spark, d, "events").select((F.col("event_id") % 500).alias("k"), F.floor(F.col("event_id") / 500).alias("f"), F.col("event_id").cast("string").alias("I"), F.col("value").alias("S"))
+    whole = F.to_json(F.struct("I", "S"))
+    record = F.when(F.col("k") == 7, F.concat(F.lit('{"I":"'), "I", F.lit('","S":"fast"}'))).when(F.col("k") == 8, F.to_json(F.struct("S"))).otherwise(whole)
+    files = e.groupBy("f").agg(F.array_join(F.sort_array(F.collect_list(record)), ",").alias("v"))
+    end = F.when(F.col("f") % 3 == 1, ',{"I":').otherwise("]")
+    files.select(F.concat(F.lit("["), "v", end).alias("value"), "f").repartition("f").write.partitionBy("f").text(at)
+    good, bad = K.read_json_feed_checked(spark, at, "gates")
+    one = good.agg(F.lit("good").alias("side"), F.count(F.lit(1)).alias("n"), F.round(F.sum("sectional_time"), 4).alias("total"))
+    return one.unionByName(bad.groupBy(F.col("reason").alias("side")).agg(F.count(F.lit(1)).alias("n"), F.lit(0.0).alias("total")))
+
+
+@add("k6_rejects", """SELECT 'races' AS side, count(*) AS n FROM orders WHERE o_orderkey % 10 NOT IN (3, 4) UNION ALL SELECT 'malformed', count(*) FROM orders WHERE o_orderkey % 10 IN (3, 4)
+  UNION ALL SELECT 'no rows', 1""")
+def _(spark, d):
+    """Cards of which a tenth have a race number that is none, a tenth tags that do not match, and one file holds no card."""
+    at = folder(spark, "k6r")
+    key = F.col("o_orderkey").cast("string")
+    number = F.when(F.col("o_orderkey") % 10 == 3, "first").otherwise(key)
+    end = F.when(F.col("o_orderkey") % 10 == 4, "</race></track>").otherwise("</track>")
+    card = F.concat(F.lit("<racedata><race>"), number, F.lit("</race><track>"), "o_orderpriority", end, F.lit("</racedata>"))
+    write_files(table(spark, d, "orders"), at, F.floor(F.col("o_orderkey") / 2000), card, "<cards>", "", "</cards>")
+    spark.range(1).select(F.lit("<cards></cards>").alias("value")).coalesce(1).write.text(f"{at}/f=-1")
+    got = K.read_xml_cards(spark, at, strict=True)
+    races = got["races"].agg(F.lit("races").alias("side"), F.count(F.lit(1)).alias("n"))
+    return races.unionByName(got["rejects"].groupBy(F.col("reason").alias("side")).agg(F.count(F.lit(1)).alias("n")))
+
+
+@add("k1_split_read", "SELECT o_orderkey AS id, o_orderpriority AS priority, CASE WHEN o_orderkey % 5 = 0 THEN NULL WHEN o_orderkey % 2 = 0 THEN 7 ELSE o_custkey END AS customer FROM orders")
+def _(spark, d):
+    """Orders from a database over several connections, split by a column of which most rows are one value or null."""
+    url = f"jdbc:derby:memory:{uuid.uuid4().hex};create=true"
+    busy = F.when(F.col("o_orderkey") % 5 == 0, F.lit(None)).when(F.col("o_orderkey") % 2 == 0, 7).otherwise(F.col("o_custkey"))
+    o = table(spark, d, "orders").select(F.col("o_orderkey").alias("ID"), F.col("o_orderpriority").alias("PRIORITY"), busy.cast("long").alias("CUSTOMER"))
+    o.write.format("jdbc").option("url", url).option("dbtable", "ORDERS").option("createTableColumnTypes", "PRIORITY VARCHAR(64)").mode("append").save()
+    got = K.snapshot(spark, {"orders": "SELECT ID, PRIORITY, CUSTOMER FROM ORDERS"}, folder(spark, "k1s"), url, split={"orders": ("CUSTOMER", 4)})
+    return got["orders"].toDF("id", "priority", "customer")
 
 
 @add("k14_csv_sheets", R + " SELECT race, num, odds FROM runners WHERE finish = 1")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -10,22 +12,94 @@ from pyspark.sql import functions as F
 from stridelake.functions.parsing import gate_number
 
 
-def snapshot(spark: SparkSession, sources: Mapping[str, str], out_dir: str, url: str, options: Mapping[str, str] | None = None) -> dict[str, DataFrame]:
+def snapshot(spark: SparkSession, sources: Mapping[str, str], out_dir: str, url: str, options: Mapping[str, str] | None = None, split: Mapping[str, tuple[str, int]] | None = None) -> dict[str, DataFrame]:
     """Read each named query by JDBC, write it as Parquet, and return frames that read the Parquet.
 
     So later work never goes back to the database. ``options`` go to the reader,
-    for a driver, credentials or a partitioned read.
+    for a driver or credentials. ``split`` names a column and a number of parts for
+    a query, which is then read over so many connections; see ``split_read``.
     """
     out = {}
     for name, query in sources.items():
-        reader = spark.read.format("jdbc").option("url", url).option("query", query)
-        for k, v in (options or {}).items():
-            reader = reader.option(k, v)
-        save(reader.load(), f"{out_dir}/{name}")
+        if split and name in split:
+            rows = split_read(spark, query, url, *split[name], options)
+        else:
+            rows = _jdbc(spark, url, options).option("query", query).load()
+        save(rows, f"{out_dir}/{name}")
         out[name] = spark.read.parquet(f"{out_dir}/{name}")
     return out
 
 
+def _jdbc(spark: SparkSession, url: str, options: Mapping[str, str] | None):
+    return spark.read.format("jdbc").option("url", url).options(**(options or {}))
+
+
+def split_read(spark: SparkSession, query: str, url: str, column: str, parts: int, options: Mapping[str, str] | None = None) -> DataFrame:
+    """A query's rows over ``parts`` connections, each with a range of a column of numbers, dates or timestamps.
+
+    One query in the database finds the least and the greatest value and how many
+    rows there are; ranges between them are as wide as each other. A range that
+    holds more than twice its share is cut again, counted in the database, so a
+    few busy values do not leave one connection with all rows; a single value is
+    never cut. Rows without a value go with the first range. No row is lost: the
+    outer ranges are open.
+    """
+    inner = f"({query}) q"
+    seen = _jdbc(spark, url, options).option("query", f"SELECT MIN({column}) AS lo, MAX({column}) AS hi, COUNT(*) AS n FROM {inner}").load().head()
+    low, high, total = seen[0], seen[1], int(seen[2])
+    if low is None or low == high or parts < 2:
+        return _jdbc(spark, url, options).option("dbtable", inner).load()
+    borders = _between(low, high, parts)
+
+    def sizes(cuts: list) -> list[int]:
+        cases = " ".join(f"WHEN {column} < {_literal(c)} THEN {k}" for k, c in enumerate(cuts))
+        counted = f"SELECT k, COUNT(*) AS n FROM (SELECT CASE {cases} ELSE {len(cuts)} END AS k FROM {inner} WHERE {column} IS NOT NULL) c GROUP BY k"
+        found = {int(r[0]): int(r[1]) for r in _jdbc(spark, url, options).option("query", counted).load().collect()}  # a row a range
+        return [found.get(k, 0) for k in range(len(cuts) + 1)]
+
+    for _ in range(CUT_ROUNDS):
+        counts, edges, more = sizes(borders), [low, *borders, high], []
+        for k, n in enumerate(counts):
+            if n * parts > 2 * total:
+                more += _between(edges[k], edges[k + 1], 4)
+        cut = sorted({*borders, *more})
+        if cut == borders:
+            break
+        borders = cut
+    ends = [None, *borders, None]
+    wheres = []
+    for a, b in zip(ends, ends[1:], strict=False):
+        bounds = [f"{column} >= {_literal(a)}"] if a is not None else []
+        bounds += [f"{column} < {_literal(b)}"] if b is not None else []
+        wheres.append(" AND ".join(bounds) if a is not None else f"({bounds[0]} OR {column} IS NULL)")
+    return spark.read.jdbc(url, inner, predicates=wheres, properties={"fetchsize": "10000", **(options or {})})
+
+
+#: Times that a busy range of ``split_read`` is cut in four.
+CUT_ROUNDS = 8
+
+
+def _between(low, high, parts: int) -> list:
+    """Values that cut a range in equal parts, without its ends; whole numbers and dates stay whole."""
+    span = high - low
+    if isinstance(low, dt.datetime):
+        cuts = [low + span * k / parts for k in range(1, parts)]
+    elif isinstance(low, dt.date):
+        cuts = [low + dt.timedelta(days=span.days * k // parts) for k in range(1, parts)]
+    elif isinstance(low, int):
+        cuts = [low + span * k // parts for k in range(1, parts)]
+    else:
+        cuts = [low + span * k / parts for k in range(1, parts)]
+    return sorted({c for c in cuts if low < c < high} | ({high} if isinstance(low, (int, dt.date)) and not isinstance(low, dt.datetime) else set()))
+
+
+def _literal(value) -> str:
+    """A value as SQL text, times in the form that every JDBC driver translates."""
+    if isinstance(value, dt.datetime):
+        return f"{{ts '{value:%Y-%m-%d %H:%M:%S.%f}'}}"
+    return f"{{d '{value}'}}" if isinstance(value, dt.date) else str(value)
+
+
 def load_tables(spark: SparkSession, folder: str, names: Sequence[str] | None = None) -> dict[str, DataFrame]:
     """The named Parquet tables of a folder, or all of them; those that are not there, or empty files, are left out."""
     if names is None:
@@ -87,15 +161,27 @@ horsedata array<struct<_number:string,horse_name:string,program:string,morn_odds
 CARD_CHILDREN = {"jockey": "jock_key", "trainer": "train_key", "sire": "sirename", "dam": "damname"}
 
 
-def read_xml_cards(spark: SparkSession, path: str, schema: str = CARD_SCHEMA, row_tag: str = "racedata") -> dict[str, DataFrame]:
+def read_xml_cards(spark: SparkSession, path: str, schema: str = CARD_SCHEMA, row_tag: str = "racedata", strict: bool = False) -> dict[str, DataFrame]:
     """Race cards as tables: races, horses, workouts, jockeys, trainers, sires, dams, and the stats of them all.
 
+    With ``strict`` a card that cannot be read, or has a field that cannot, is in
+    none of them but in ``rejects`` (file_name, reason, record), with files that
+    hold no card.
+
     Tags are read in lower case. A child without its key is left out; of a child
     that is named several times one row stays, that with the greatest fields. In
     ``stats`` a row is known by ``owner`` (horse, jockey, ...), ``owner_key`` and
     ``type``; figures that are not there are 0.
     """
-    cards = spark.read.format("xml").option("rowTag", row_tag).schema(schema).load(path)
+    reader = spark.read.format("xml").option("rowTag", row_tag)
+    if strict:
+        whole = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BAD).schema(f"{schema}, {BAD} string").load(path)
+        marked = whole.select(F.col("_metadata.file_name").alias("__file"), *whole.columns)
+        # Spark parses only the fields that a query asks for, and marks what it fails to parse; so each side asks for all.
+        read = F.pmod(F.xxhash64(*whole.columns), F.lit(2)) < 2
+        cards = marked.filter(F.col(BAD).isNull() & read).drop(BAD, "__file")
+    else:
+        cards = reader.schema(schema).load(path)
     races = cards.select(*(c for c in cards.columns if c != "horsedata"))
     key = ["track", "race_date", "race"]
     horses = cards.select(*key, F.explode("horsedata").alias("h")).select(*key, "h.*").withColumnRenamed("_number", "number")
@@ -116,9 +202,23 @@ def read_xml_cards(spark: SparkSession, path: str, schema: str = CARD_SCHEMA, ro
         largest = stats.groupBy("owner", "owner_key", F.col("s._type").alias("type")).agg(F.max(F.struct(*(F.coalesce(F.col(f"s.{f}"), F.lit(0.0)).alias(f) for f in figures))).alias("r"))
         out["stats"] = largest.select("owner", "owner_key", "type", "r.*")
     out["horses"] = horses.drop(*nested, *children)
+    if strict:
+        bad = marked.filter(F.col(BAD).isNotNull() & read).select(F.col("__file").alias("file_name"), F.lit("malformed").alias("reason"), F.substring(BAD, 1, RECORD_CHARS).alias("record"))
+        out["rejects"] = bad.unionByName(_without_rows(spark, whole, marked.filter(read).select(F.col("__file").alias("file_name"))))
     return out
 
 
+#: The column in which readers put what they cannot read, and how much of it a reject shows.
+BAD, RECORD_CHARS = "__bad", 2000
+
+
+def _without_rows(spark: SparkSession, read: DataFrame, seen: DataFrame) -> DataFrame:
+    """Rejects for the files of a reader that gave no row, empty ones among them."""
+    names = [(unquote(f.rsplit("/", 1)[-1]),) for f in read.inputFiles()]  # the listing that Spark's driver holds anyway
+    silent = spark.createDataFrame(names, "file_name string").join(seen.distinct(), "file_name", "left_anti")
+    return silent.select("file_name", F.lit("no rows").alias("reason"), F.lit(None).cast("string").alias("record"))
+
+
 WAGER_SCHEMA = "_NUMBER int, EXOTIC_WAGERS struct<WAGER:array<struct<_NUMBER:int,WAGER_TYPE:string,NUM_TICKETS:double,POOL_TOTAL:double,WINNERS:string,PAYOFF:double>>>"
 
 
@@ -134,19 +234,46 @@ GPS_FEED = "I string, T string, X double, Y double, V double, P double, SF doubl
 
 
 def read_json_feed(spark: SparkSession, path: str, kind: str) -> DataFrame:
-    """Gate or GPS feeds, one JSON array a file, with the file's name."""
+    """Gate or GPS feeds, one JSON array a file, with the file's name. Files that are no JSON give a row of nulls."""
     feed = spark.read.schema(GATE_FEED if kind == "gates" else GPS_FEED).option("multiLine", True).json(path).withColumn("file_name", F.col("_metadata.file_name"))
+    return _feed_columns(feed, kind)
+
+
+def _feed_columns(feed: DataFrame, kind: str) -> DataFrame:
     if kind == "gates":
         return feed.select(
             "file_name", F.col("I").alias("id"), F.col("G").alias("gate_name"), gate_number(F.col("G")).alias("gate_numeric"), F.col("L").alias("length_to_finish"),
             F.col("S").alias("sectional_time"), F.col("R").alias("running_time"), F.col("B").alias("distance_back"), F.col("D").alias("distance_ran"), F.col("N").alias("number_of_strides"),
         )
     return feed.select(
-        "file_name", F.col("I").alias("id"), F.to_timestamp("T").alias("time_stamp"), F.col("X").alias("longitude"), F.col("Y").alias("latitude"),
+        "file_name", F.col("I").alias("id"), F.try_to_timestamp("T").alias("time_stamp"), F.col("X").alias("longitude"), F.col("Y").alias("latitude"),
         F.col("V").alias("speed"), F.col("P").alias("progress"), F.col("SF").alias("stride_frequency"),
     )
 
 
+def read_json_feed_checked(spark: SparkSession, path: str, kind: str) -> tuple[DataFrame, DataFrame]:
+    """Like ``read_json_feed``, and the rejects: file_name, reason, record.
+
+    Rejected are files that are no JSON array (``no array``), records that are no
+    object or have a field that cannot be read (``malformed``), records without an
+    id (``no id``), and files without a record (``no rows``). The other records of a
+    file are good. Each file is read as one text.
+    """
+    files = spark.read.text(path, wholetext=True)
+    named = files.select(F.col("_metadata.file_name").alias("file_name"), "value", F.from_json("value", "array<string>").alias("records"))
+    each = named.select("file_name", "value", F.col("records").isNull().alias("broken"), F.explode_outer("records").alias("record"))
+    schema = GATE_FEED if kind == "gates" else GPS_FEED
+    parsed = each.withColumn("r", F.from_json("record", f"{schema}, {BAD} string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD}))
+    empty = F.col("record").isNull() & ~F.col("broken")
+    reason = (
+        F.when(F.col("broken"), "no array").when(empty, "no rows").when(F.col(f"r.{BAD}").isNotNull() | ~F.trim("record").startswith("{"), "malformed").when(F.col("r.I").isNull(), "no id")
+    )
+    judged = parsed.withColumn("reason", reason)
+    good = judged.filter("reason is null").select("r.*", "file_name")
+    bad = judged.filter("reason is not null").select("file_name", "reason", F.substring(F.when(F.col("broken"), F.col("value")).otherwise(F.col("record")), 1, RECORD_CHARS).alias("record"))
+    return _feed_columns(good, kind), bad.unionByName(_without_rows(spark, files, named.select("file_name")))
+
+
 def parse_feed_name(df: DataFrame, col: str, since: str | None = None) -> DataFrame:
     """Course code, date and post time of feed names such as AB202401021530; other names and earlier dates go."""
     pattern = r"^([A-Z0-9]{2})(\d{8})(\d{2})(\d{2})$"
@@ -197,11 +324,25 @@ def parse_coordinates(text: Column) -> Column:
     return F.transform(triples, lambda t: F.struct(F.get(F.split(t, ","), F.lit(0)).try_cast("double").alias("lon"), F.get(F.split(t, ","), F.lit(1)).try_cast("double").alias("lat")))
 
 
-def read_routes(spark: SparkSession, path: str) -> DataFrame:
-    """Route lines of KML files: name, line_type (RUNNING_LINE or WINNING_LINE), line."""
+def read_routes(spark: SparkSession, path: str, codes: Mapping[str, str] | None = None) -> DataFrame:
+    """Route lines of KML files: file_name, course_cd, name, line_type, line.
+
+    Only placemarks named as a running or winning line are routes; rails, poles and
+    the like are left out, and so are placemarks of several lines. The last two
+    characters of a file's stem are its course; with ``codes`` they are translated,
+    and files of a course that is not among them are left out. Of a course and
+    type that come several times one row stays, that of the last file by name.
+    """
     marks = spark.read.format("xml").option("rowTag", "Placemark").schema("name string, LineString struct<coordinates:string>").load(path)
-    kind = F.when(F.upper("name").contains("WINNING"), "WINNING_LINE").otherwise("RUNNING_LINE")
-    return marks.filter("LineString is not null").select("name", kind.alias("line_type"), parse_coordinates(F.col("LineString.coordinates")).alias("line"))
+    named = F.upper("name")
+    kind = F.when(named.contains("RUNNING_LINE"), "RUNNING_LINE").when(named.contains("WINNING_LINE"), "WINNING_LINE")
+    stem = F.regexp_extract("file_name", r"^([^.]*)", 1)
+    rows = marks.select(F.col("_metadata.file_name").alias("file_name"), "name", kind.alias("line_type"), F.col("LineString.coordinates").alias("text"))
+    rows = rows.filter("line_type is not null and text is not null").withColumn("course_cd", F.upper(F.substring(stem, -2, 2)))
+    if codes is not None:
+        rows = map_codes(rows, "course_cd", codes)
+    last = rows.groupBy("course_cd", "line_type").agg(F.max(F.struct("file_name", "name", "text")).alias("r"))
+    return last.select("r.file_name", "course_cd", "r.name", "line_type", parse_coordinates(F.col("r.text")).alias("line"))
 
 
 def write_csv(df: DataFrame, path: str) -> None:
