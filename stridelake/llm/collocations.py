@@ -110,12 +110,22 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*kinds, pa.array([lang] * len(n), pa.string()), first, second, pa.array(n)], names=["kind", "lang", "first", "second", "n"])
 
 
-def _packed(part: Slice, some: np.ndarray) -> tuple[list[str], np.ndarray]:
-    """The words of some suffixes and, for each suffix, the places of its words among them; -1 where it has ended."""
-    codes = np.stack([c[some] for c in part.columns])
-    used, local = np.unique(codes, return_inverse=True)
-    ends = int(used[0] < 0)
-    return part.words.take(pa.array(used[ends:])).to_pylist(), (local.reshape(codes.shape) - ends).astype(np.int32)
+def _narrow(codes: np.ndarray) -> np.ndarray:
+    """Places in half the bytes where they fit."""
+    return codes.astype(np.int16) if codes.max() < 1 << 15 else codes
+
+
+def _packed(codes: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The words of some suffixes and, for each suffix, the places of its words among them; -1 where it has ended.
+
+    ``place`` is room for a number for each word of the slice; its last one is for the end.
+    """
+    place[:] = -1
+    place[codes] = 0
+    place[-1] = -1
+    used = np.flatnonzero(place == 0)
+    place[used] = np.arange(len(used))
+    return used, place[codes]
 
 
 def _route(routes: int, hot: frozenset[tuple[str, str, str]], longest: int):
@@ -129,7 +139,6 @@ def _route(routes: int, hot: frozenset[tuple[str, str, str]], longest: int):
         import xxhash
 
         names = ["route", "lang", "words", "codes", "weights", "split"]
-        types = [pa.int64(), pa.string(), pa.list_(pa.string()), pa.binary(), pa.binary(), pa.binary()]
         for lang, part in _slices(batches, longest):
             if not len(part.weights):
                 continue
@@ -149,12 +158,17 @@ def _route(routes: int, hot: frozenset[tuple[str, str, str]], longest: int):
             order = np.argsort(route, kind="stable")
             route = route[order]
             cuts = np.flatnonzero(np.concatenate(([True], route[1:] != route[:-1])))
-            out = []
-            for some in np.split(order, cuts[1:]):
-                words, codes = _packed(part, some)
-                out.append((words, codes.tobytes(), part.weights[some].astype(np.int32).tobytes(), np.packbits(split[some]).tobytes()))
-            columns = [route[cuts].astype(np.int64), [lang] * len(cuts), *zip(*out, strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
+            out, words = [], []
+            ordered, weights, split = np.stack(part.columns)[:, order], part.weights[order].astype(np.int32), split[order]
+            room = np.empty(len(texts) + 1, np.int32)
+            for s, e in zip(cuts.tolist(), [*cuts[1:].tolist(), len(order)], strict=True):
+                used, codes = _packed(ordered[:, s:e], room)
+                words.append(used)
+                out.append((_narrow(codes).tobytes(), weights[s:e].tobytes(), np.packbits(split[s:e]).tobytes()))
+            places = np.cumsum([0, *map(len, words)]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(places), part.words.take(pa.array(np.concatenate(words))))
+            columns = [pa.array(route[cuts].astype(np.int64)), pa.array([lang] * len(cuts)), lists, *(pa.array(x, pa.binary()) for x in zip(*out, strict=True))]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return run
 
@@ -233,7 +247,9 @@ def _sort(least: int, longest: int):
                     if held:
                         yield from phrases(now[1], held)
                     now, held = key, []
-                codes, weights = (np.frombuffer(batch.column(c)[k].as_py(), np.int32) for c in ("codes", "weights"))
+                weights, packed = (batch.column(c)[k].as_py() for c in ("weights", "codes"))
+                weights = np.frombuffer(weights, np.int32)
+                codes = np.frombuffer(packed, np.int16 if len(packed) == 2 * longest * len(weights) else np.int32)
                 split = np.unpackbits(np.frombuffer(batch.column("split")[k].as_py(), np.uint8))[: len(weights)].astype(bool)
                 held.append((batch.column("words")[k].values, codes.reshape(longest, -1), weights.astype(np.int64), split))
         if held:
@@ -306,7 +322,8 @@ SQL = r"""
 WITH pieces AS (
   SELECT coalesce(lang, 'und') AS lang,
          unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
--]')) AS piece
+-
+]')) AS piece
   FROM documents
 ), w AS (
   SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS ws FROM pieces
