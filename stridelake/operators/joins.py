@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from stridelake.functions.clock import micros
 from stridelake.functions.geometry import line_distance
+from stridelake.operators import hot_keys
 from stridelake.operators.sets import union_by_name
 
 
@@ -33,12 +34,14 @@ def merge_races(card: DataFrame, results: DataFrame, listed: DataFrame, keys: Se
     return out.dropDuplicates(list(keys))
 
 
-def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], l_ts: str, r_ts: str, columns: Sequence[str], how: str = "left", strict: bool = False, direction: str = "backward", tie: Sequence[str] = ()) -> DataFrame:
+def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], l_ts: str, r_ts: str, columns: Sequence[str], how: str = "left", strict: bool = False, direction: str = "backward", tie: Sequence[str] = (), hot_rows: int | None = None) -> DataFrame:
     """For each left row the latest right row at or before it (``forward``: the first at or after).
 
     Both sides are united and sorted once per key, and the last right row is
     carried along: no pairs are made. ``strict`` leaves out rows of the same time.
     Of right rows of one time the last by ``tie`` counts. Null keys meet nothing.
+    With ``hot_rows`` a key of more rows is dealt over tasks by slots of time, and
+    the last right row of the slots before is carried in.
     """
     ahead = direction == "forward"
     apart = left.filter(~_known(keys))  # rows of one null key would meet in one task
@@ -49,8 +52,13 @@ def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], l_ts: str,
     both = union_by_name(rows, seen)
     at = F.col("__ts").desc() if ahead else F.col("__ts").asc()
     order = [at, F.col("__side"), *(F.col(f"__t{k}").desc() if ahead else F.col(f"__t{k}") for k in range(len(tie)))]
-    window = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    carried = both.withColumn("__m", F.last("__r", ignorenulls=True).over(window)).filter(F.col("__l").isNotNull())
+    if hot_rows is not None:
+        both = hot_keys.deal_out(both, keys, "__ts", hot_rows)
+        both = hot_keys.carried(both, keys, ["__ts", *(f"__t{k}" for k in range(len(tie)))], {"__far": F.col("__r")}, ahead)
+    parts = [*keys, "__slot"] if hot_rows is not None else keys
+    window = Window.partitionBy(*parts).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    near = F.last("__r", ignorenulls=True).over(window)
+    carried = both.withColumn("__m", near if hot_rows is None else F.coalesce(near, "__far")).filter(F.col("__l").isNotNull())
     if how == "inner":
         carried = carried.filter(F.col("__m").isNotNull())
     out = carried.select("__l.*", *(F.col(f"__m.{c}").alias(c) for c in columns))

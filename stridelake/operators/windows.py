@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from stridelake.functions.clock import micros, seconds
 from stridelake.functions.geometry import haversine
+from stridelake.operators import hot_keys
 from stridelake.operators.joins import add_group_stats
 
 
@@ -42,10 +43,18 @@ def previous_event(df: DataFrame, entity: Sequence[str], order: Sequence[str], d
     return counted.select(*df.columns, *(f"prev_{c}" for c in defaults), "total_count", "prior_count")
 
 
-def prior_n(df: DataFrame, entity: Sequence[str], order: Sequence[str], n: int, aggs: Mapping[str, Column]) -> DataFrame:
-    """Aggregates over the n events before the current one, which is never in them."""
-    w = _series(entity, order).rowsBetween(-n, -1)
-    return df.withColumns({name: agg.over(w) for name, agg in aggs.items()})
+def prior_n(df: DataFrame, entity: Sequence[str], order: Sequence[str], n: int, aggs: Mapping[str, Column], hot_rows: int | None = None) -> DataFrame:
+    """Aggregates over the n events before the current one, which is never in them.
+
+    With ``hot_rows`` an entity of more rows is dealt over tasks by slots of the
+    first ordering column, each led by copies of the n rows before it.
+    """
+    if hot_rows is None:
+        w = _series(entity, order).rowsBetween(-n, -1)
+        return df.withColumns({name: agg.over(w) for name, agg in aggs.items()})
+    rows = hot_keys.with_rows_before(hot_keys.deal_out(df, entity, order[0], hot_rows), entity, order, n)
+    w = _series([*entity, "__slot"], order).rowsBetween(-n, -1)
+    return rows.withColumns({name: agg.over(w) for name, agg in aggs.items()}).filter("not __copy").drop("__slot", "__hot", "__copy")
 
 
 def prior_avg_where(df: DataFrame, entity: Sequence[str], order: Sequence[str], n: int, cols: Sequence[str]) -> DataFrame:
@@ -73,11 +82,21 @@ def topk_agg(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], k:
     return ranked.filter(F.col("__rn") <= k).groupBy(*by).agg(*aggs)
 
 
-def locf(df: DataFrame, by: Sequence[str], order: Sequence[str], cols: Sequence[str], include_current: bool = False, suffix: str | None = None) -> DataFrame:
-    """Last value that is not null: strictly before (``_prev``), or up to the row itself (``_ffill``)."""
-    w = _series(by, order).rowsBetween(Window.unboundedPreceding, 0 if include_current else -1)
+def locf(df: DataFrame, by: Sequence[str], order: Sequence[str], cols: Sequence[str], include_current: bool = False, suffix: str | None = None, hot_rows: int | None = None) -> DataFrame:
+    """Last value that is not null: strictly before (``_prev``), or up to the row itself (``_ffill``).
+
+    With ``hot_rows`` a group of more rows is dealt over tasks by slots of the first
+    ordering column, and the last values of the slots before are carried in.
+    """
+    ends = (Window.unboundedPreceding, 0 if include_current else -1)
     tail = suffix or ("_ffill" if include_current else "_prev")
-    return df.withColumns({c + tail: F.last(c, ignorenulls=True).over(w) for c in cols})
+    if hot_rows is None:
+        w = _series(by, order).rowsBetween(*ends)
+        return df.withColumns({c + tail: F.last(c, ignorenulls=True).over(w) for c in cols})
+    dealt = hot_keys.carried(hot_keys.deal_out(df, by, order[0], hot_rows), by, order, {f"__last_{c}": F.col(c) for c in cols})
+    w = _series([*by, "__slot"], order).rowsBetween(*ends)
+    filled = dealt.withColumns({c + tail: F.coalesce(F.last(c, ignorenulls=True).over(w), f"__last_{c}") for c in cols})
+    return filled.drop("__slot", "__hot", *(f"__last_{c}" for c in cols))
 
 
 def fill_both(df: DataFrame, by: Sequence[str], order: Sequence[str], cols: Sequence[str]) -> DataFrame:

@@ -71,6 +71,16 @@ def _(spark, d):
     return joins.asof_join(r.select("race", "num", "jockey", "race_date"), stats, ["jockey"], "race_date", "as_of_date", ["starts"]).select("race", "num", "starts")
 
 
+@add("j3_asof_hot_key", """WITH e AS (SELECT CASE WHEN user_id % 2 = 0 THEN 0 ELSE user_id END AS runner, event_id AS id, ts, event_type, value FROM events)
+  SELECT l.id, r.id AS last_click, r.value AS click_value FROM e l LEFT JOIN LATERAL (SELECT id, value FROM e r WHERE r.runner = l.runner AND r.event_type = 'click' AND r.ts < l.ts ORDER BY ts DESC, id DESC LIMIT 1) r ON true WHERE l.event_type <> 'click'""")
+def _(spark, d):
+    """The click before each other event, where half of all events are one runner's."""
+    e = points(spark, d).withColumn("runner", F.when(F.col("runner") % 2 == 0, 0).otherwise(F.col("runner")))
+    clicks = e.filter("kind = 'click'").select("runner", F.col("ts").alias("at"), F.col("id").alias("last_click"), F.col("speed").alias("click_value"))
+    others = e.filter("kind <> 'click'").select("runner", "id", "ts")
+    return joins.asof_join(others, clicks, ["runner"], "ts", "at", ["last_click", "click_value"], strict=True, tie=["last_click"], hot_rows=1000).select("id", "last_click", "click_value")
+
+
 @add("j6_interval_join", P + """, g AS (SELECT runner, id AS gate, ts AS a, coalesce(lead(ts) OVER (PARTITION BY runner ORDER BY ts, id), ts) AS b FROM points WHERE kind IN ('click', 'view'))
   SELECT p.id, g.gate FROM points p JOIN g ON p.runner = g.runner AND p.ts >= g.a AND p.ts < g.b WHERE p.kind NOT IN ('click', 'view')""")
 def _(spark, d):

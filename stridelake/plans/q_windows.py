@@ -175,3 +175,27 @@ def _(spark, d):
 @add("w24_elapsed", P + " SELECT id, round((epoch_us(ts) - min(epoch_us(ts)) OVER (PARTITION BY runner)) / 1e6::DOUBLE, 6) AS elapsed_s FROM points")
 def _(spark, d):
     return rounded(W.elapsed(points(spark, d), ["runner"], "ts").select("id", "elapsed_s"), "elapsed_s")
+
+
+#: Rows of a key beyond which the queries of hot keys deal it over tasks.
+HOT_ROWS = 1000
+HOT = POINTS.replace("SELECT user_id AS runner", "SELECT CASE WHEN user_id % 2 = 0 THEN 0 ELSE user_id END AS runner")
+
+
+def hot_points(spark, d):
+    """Points of which half belong to one runner."""
+    return points(spark, d).withColumn("runner", F.when(F.col("runner") % 2 == 0, 0).otherwise(F.col("runner")))
+
+
+@add("w3_prior_n_hot_key", f"""WITH {HOT} SELECT id, round(avg(speed) OVER (w ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING), 6) AS avg_speed_5, count(gappy) OVER (w ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING) AS n_5,
+  max(gappy) OVER (w ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING) AS max_gappy_5 FROM points WINDOW w AS ({SERIES})""")
+def _(spark, d):
+    out = W.prior_n(hot_points(spark, d), ["runner"], ["ts", "id"], 5, {"avg_speed_5": F.avg("speed"), "n_5": F.count("gappy"), "max_gappy_5": F.max("gappy")}, HOT_ROWS)
+    return rounded(out.select("id", "avg_speed_5", "n_5", "max_gappy_5"), "avg_speed_5")
+
+
+@add("w8_locf_hot_key", f"WITH {HOT} SELECT id, last_value(rare IGNORE NULLS) OVER ({SERIES} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS rare_prev FROM (SELECT *, CASE WHEN id % 977 = 0 THEN speed END AS rare FROM points)")
+def _(spark, d):
+    """A value that most slots lack, so that it is carried over several."""
+    rare = hot_points(spark, d).withColumn("rare", F.when(F.col("id") % 977 == 0, F.col("speed")))
+    return W.locf(rare, ["runner"], ["ts", "id"], ["rare"], hot_rows=HOT_ROWS).select("id", "rare_prev")
