@@ -78,6 +78,7 @@ class PieceBPE:
         self.size = len(self.piece)
         self.follows = Remembered(self._follows, PAIRS)
         self.part_ids = Remembered(self._part_ids, PARTS)
+        self.blanks = self._long_blanks()
         self.chunk_ids = Remembered(self._chunk_ids, CHUNKS)
         self.after_space = Remembered(lambda piece: self._chunk_ids(SPACE + piece), CHUNKS)
 
@@ -120,8 +121,29 @@ class PieceBPE:
             else:
                 j += 1
 
+    def _long_blanks(self) -> tuple[int, int] | None:
+        """The longest token of spaces alone, and its length, if long runs of spaces begin with it again and again.
+
+        The last token of a run follows from those of the runs that are shorter by
+        up to that length. So if two lengths on end repeat, all longer runs do.
+        """
+        runs = [len(piece) for i, piece in enumerate(self.piece) if i in self.parts and set(piece) == {SPACE}]
+        if not runs:
+            return None
+        n, token = max(runs), self.ids[SPACE * max(runs)]
+        ids = {m: self._table_ids(SPACE * m) for m in range(3 * n, 6 * n + 1)}
+        return (token, n) if all(ids[m] == (token, *ids[m - n]) for m in range(4 * n, 6 * n + 1)) else None
+
     def _part_ids(self, text: str) -> tuple[int, ...]:
-        """Ids of a normalised text, by its table of prefixes.
+        """Ids of a normalised text; of a long run of spaces at its beginning only the end is worked out."""
+        if self.blanks and text.startswith(SPACE * 6 * self.blanks[1]):
+            token, n = self.blanks
+            times = (len(text) - len(text.lstrip(SPACE))) // n - 4
+            return (token,) * times + self._table_ids(text[times * n :])
+        return self._table_ids(text)
+
+    def _table_ids(self, text: str) -> tuple[int, ...]:
+        """Ids of a text by its table of prefixes.
 
         ``last[i]`` is the last token of the first i + 1 characters, or -1 for a
         character outside the vocabulary, which stands alone as its bytes.

@@ -116,6 +116,16 @@ def test_round_trip_digests(spark):
         assert r["decoded"] == library.decode(ids) and r["decoded_sha256"] == hashlib.sha256(r["decoded"].encode()).hexdigest()
 
 
+@pytest.mark.parametrize("tail", ["", "a", "the", "\n", " x", "日", "1"])
+def test_runs_of_spaces_of_any_length_are_encoded_as_by_the_library(tail):
+    encoder = piece_bpe.encoder_of("piece_bpe_32k.model")
+    assert encoder.blanks
+    for n in (*range(0, 200, 3), 96, 97, 111, 112, 113, 1000, 4097):
+        for head in ("", "b ", "word"):
+            text = head + " " * n + tail
+            assert encoder.encode(text) == encoder.library.encode(text), (n, head, tail)
+
+
 @pytest.mark.parametrize("unit", ["1;", "日本語の文章は長い", "ab", "a", " ", "\n", "\x00"])
 def test_a_million_characters_without_blanks_take_linear_time(unit):
     encoder = piece_bpe.encoder_of("piece_bpe_32k.model")
