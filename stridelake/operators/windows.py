@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stridelake.functions.clock import micros, seconds
-from stridelake.functions.geometry import haversine
+from stridelake.functions.geometry import haversine, line_lengths, line_place
 from stridelake.operators import hot_keys
 from stridelake.operators.joins import add_group_stats
 
@@ -136,6 +136,25 @@ def path_length(df: DataFrame, keys: Sequence[str], order: Sequence[str], lon: s
     return df.withColumn("ground_loss_m", F.col("path_m") - F.col(straight)) if straight else df
 
 
+def place_on_route(df: DataFrame, routes: DataFrame, on: str, keys: Sequence[str], order: Sequence[str], lon: str = "lon", lat: str = "lat", line: str = "line") -> DataFrame:
+    """Where on its route each point of a series is: offset_m, along_m, progress_m, path_m and ground_loss_m.
+
+    ``routes`` has one line for each value of ``on``. A point is projected on the
+    line, ``along_m`` from its start. A series does not run back: ``progress_m`` is
+    the farthest place so far. ``ground_loss_m`` is what was run more than gained,
+    both since the first point that has a place. Points without a place or route
+    have nulls and the progress so far.
+    """
+    known = routes.select(on, F.col(line).alias("__line"), line_lengths(F.col(line)).alias("__lengths"))
+    placed = df.join(known, on, "left").withColumn("__p", line_place(F.col(lon), F.col(lat), F.col("__line"), F.col("__lengths"))).drop("__line", "__lengths")
+    w = _series(keys, order)
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    out = path_length(placed.withColumns({"offset_m": F.col("__p.offset_m"), "along_m": F.col("__p.along_m")}).drop("__p"), keys, order, lon, lat)
+    out = out.withColumn("progress_m", F.max("along_m").over(upto))
+    first = lambda c: F.first(F.when(F.col("along_m").isNotNull(), F.col(c)), ignorenulls=True).over(upto)
+    return out.withColumn("ground_loss_m", (F.col("path_m") - first("path_m")) - (F.col("progress_m") - first("along_m"))).drop("step_m")
+
+
 def running_speed(df: DataFrame, keys: Sequence[str], order: Sequence[str], distance: str, duration: str, digits: int = 2) -> DataFrame:
     """Average speed of each section and of all up to it, and the change of the former."""
     w = _series(keys, order)

@@ -143,6 +143,60 @@ def _(spark, d):
     return rounded(out, "running_line_m", "winning_line_m", digits=4)
 
 
+_M = "(6371.0::DOUBLE * 1000 * 3.141592653589793 / 180)"
+#: Metres from (lon, lat) to the leg (x1, y1, x2, y2), and how far along its foot is.
+_LEG = f"""a AS (SELECT *, (x1 - lon) * {_M} * cos(radians(lat)) AS px, (y1 - lat) * {_M} AS py, (x2 - x1) * {_M} * cos(radians(lat)) AS dx, (y2 - y1) * {_M} AS dy FROM met),
+  b AS (SELECT *, greatest(0, least(1, coalesce(-(px * dx + py * dy) / nullif(dx * dx + dy * dy, 0), 0))) AS t FROM a), c AS (SELECT *, sqrt(pow(px + t * dx, 2) + pow(py + t * dy, 2)) AS m FROM b)"""
+
+
+@add("j11_nearest_segment", f"""WITH {POINTS}, s AS (SELECT s_suppkey AS k, -84.6 + (s_suppkey * 37 % 101) / 200.0::DOUBLE AS x, 38 + (s_suppkey * 53 % 89) / 150.0::DOUBLE AS y FROM supplier),
+  legs AS (SELECT k, 0 AS segment, x AS x1, y AS y1, x + 0.01 AS x2, y + k % 7 / 500.0::DOUBLE AS y2 FROM s UNION ALL SELECT k, 1, x + 0.01, y + k % 7 / 500.0::DOUBLE, x - 0.002, y + 0.02 FROM s),
+  met AS (SELECT p.id, -84.6 + p.id % 1009 / 2000.0::DOUBLE AS lon, 38 + p.id % 787 / 1500.0::DOUBLE AS lat, l.* FROM points p, legs l), {_LEG},
+  r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY m, k, segment) AS o FROM c) SELECT id, round(m, 4) AS distance_m FROM r WHERE o = 1""")
+def _(spark, d):
+    """Each point's nearest leg of the lines of all suppliers, without a course."""
+    from stridelake.operators.nearest import nearest_segment
+
+    k = F.col("s_suppkey")
+    at = lambda x, y: F.struct(x.alias("lon"), y.alias("lat"))
+    x, y = -84.6 + (k * 37 % 101) / 200.0, 38 + (k * 53 % 89) / 150.0
+    lines = table(spark, d, "supplier").select(k.alias("k"), F.array(at(x, y), at(x + 0.01, y + k % 7 / 500.0), at(x - 0.002, y + 0.02)).alias("line"))
+    p = points(spark, d).select("id", (-84.6 + F.col("id") % 1009 / 2000.0).alias("lon"), (38 + F.col("id") % 787 / 1500.0).alias("lat"))
+    return rounded(nearest_segment(p, lines, [], "k", cell_m=400.0).select("id", "distance_m"), "distance_m", digits=4)
+
+
+def _running_legs() -> str:
+    """The legs of the running lines with the metres before each, as SQL rows."""
+    from math import asin, cos, radians, sin, sqrt
+
+    rows = []
+    for kind, name, line in ROUTES:
+        if name == "RUNNING_LINE":
+            upto = 0.0
+            for k, ((x1, y1), (x2, y2)) in enumerate(zip(line, line[1:], strict=False)):
+                h = sin(radians(y2 - y1) / 2) ** 2 + cos(radians(y1)) * cos(radians(y2)) * sin(radians(x2 - x1) / 2) ** 2
+                long = 2 * 6371000.0 * asin(sqrt(h))
+                rows.append(f"('{kind}', {k}, {x1}::DOUBLE, {y1}::DOUBLE, {x2}::DOUBLE, {y2}::DOUBLE, {upto}::DOUBLE, {long}::DOUBLE)")
+                upto += long
+    return ", ".join(rows)
+
+
+@add("a28_route_place", f"""WITH {POINTS}, legs(kind, k, x1, y1, x2, y2, upto, long) AS (VALUES {_running_legs()}), met AS (SELECT p.*, l.* EXCLUDE (kind) FROM points p LEFT JOIN legs l USING (kind)), {_LEG},
+  placed AS (SELECT *, upto + t * long AS along, row_number() OVER (PARTITION BY id ORDER BY m, k) AS o FROM c),
+  x AS (SELECT *, lag(lat) OVER w AS la, lag(lon) OVER w AS lo FROM placed WHERE o = 1 WINDOW w AS (PARTITION BY runner ORDER BY ts, id)),
+  y AS (SELECT *, coalesce(2 * 6371000.0 * asin(sqrt(pow(sin(radians(lat - la) / 2), 2) + cos(radians(la)) * cos(radians(lat)) * pow(sin(radians(lon - lo) / 2), 2))), 0) AS step FROM x),
+  z AS (SELECT *, sum(step) OVER w AS path, max(along) OVER w AS progress FROM y WINDOW w AS (PARTITION BY runner ORDER BY ts, id))
+  SELECT id, round(m, 3) AS offset_m, round(along, 3) AS along_m, round(progress, 3) AS progress_m,
+    round(path - first_value(CASE WHEN along IS NOT NULL THEN path END IGNORE NULLS) OVER w - (progress - first_value(along IGNORE NULLS) OVER w), 3) AS ground_loss_m
+  FROM z WINDOW w AS (PARTITION BY runner ORDER BY ts, id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
+def _(spark, d):
+    from stridelake.operators.windows import place_on_route
+
+    lines = routes(spark).filter("line_type = 'RUNNING_LINE'")
+    out = place_on_route(points(spark, d), lines, "kind", ["runner"], ["ts", "id"])
+    return rounded(out.select("id", "offset_m", "along_m", "progress_m", "ground_loss_m"), "offset_m", "along_m", "progress_m", "ground_loss_m", digits=3)
+
+
 @add("j12_restrict_history", R + """, h AS (SELECT * FROM runners WHERE race_date < DATE '2000-01-01'), f AS (SELECT * FROM runners WHERE race_date >= DATE '2000-01-01')
   SELECT race, num, 'historical' AS data_flag FROM h WHERE jockey IN (SELECT jockey FROM f) UNION ALL SELECT race, num, 'future' FROM f""")
 def _(spark, d):

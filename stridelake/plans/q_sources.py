@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from stridelake.operators.sets import union_by_name
 from stridelake.sources import tables as K
+from stridelake.sources.shared import folder
 from stridelake.plans.roles import RUNNERS, Group, runners, table
 
 GROUP = Group()
@@ -16,16 +17,6 @@ add = GROUP.add
 R = f"WITH {RUNNERS}"
 
 
-def folder(spark, name: str) -> str:
-    """A new folder in the shared place that the session names, or under /tmp in a local session."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        base = "file:///tmp/checkpoints"
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def write_files(rows, at: str, key, value, begin: str, between: str, end: str) -> None:
     """One text file for each value of the key, which is a bounded share of the rows."""
     files = rows.select(key.alias("f"), value.alias("v")).groupBy("f").agg(F.concat(F.lit(begin), F.array_join(F.array_sort(F.collect_list("v")), between), F.lit(end)).alias("value"))
