@@ -11,6 +11,7 @@ from stridelake.functions.clock import micros
 from stridelake.functions.geometry import line_distance
 from stridelake.operators import hot_keys
 from stridelake.operators.sets import union_by_name
+from stridelake.sources.shared import folder, stored
 
 
 def join_prefixed(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner", prefix: str = "r_") -> DataFrame:
@@ -83,6 +84,11 @@ def interval_join(points: DataFrame, spans: DataFrame, keys: Sequence[str], ts:
     its buckets. Spans of over a thousand buckets go by wider ones, a level up; a
     point looks into one bucket of each level that there is.
     """
+    if how not in ("inner", "left"):
+        raise ValueError(f"unknown kind of join {how}")
+    columns = points.columns
+    if how == "left":  # stored, as a row's number must be the same for its hits and its rest
+        points = stored(points.withColumn("__no", F.monotonically_increasing_id()), folder(points.sparkSession, "interval"))
     named = spans.select(*(F.col(k).alias(f"__{k}") for k in keys), *(c for c in spans.columns if c not in keys)).filter(F.col(start) <= F.col(end))
     length = (micros(end) - micros(start)).cast("double")
     mean = F.broadcast(named.agg(F.greatest(F.avg(length), F.lit(1.0)).alias("__mean")))  # one row
@@ -100,29 +106,25 @@ def interval_join(points: DataFrame, spans: DataFrame, keys: Sequence[str], ts:
     found = asked.join(dealt, on).drop("__look", "__spot", "__w", "__at", *(f"__{k}" for k in keys))
     if how == "inner":
         return found
-    if how != "left":
-        raise ValueError(f"unknown kind of join {how}")
-    met = found.select(*(F.col(c).alias(f"__{c}") for c in points.columns)).distinct()
-    rest = points.join(met, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in points.columns], "left_anti")
-    return union_by_name(found, rest)
+    rest = points.join(found.select("__no").distinct(), "__no", "left_anti")
+    return union_by_name(found, rest).select(*columns, *(c for c in found.columns if c not in columns and c != "__no"))
 
 
 def near_join(left: DataFrame, right: DataFrame, keys: Sequence[str], ts: str, tol_ms: int = 250, columns: Sequence[str] = ()) -> DataFrame:
     """Left rows with every right row of their key within a tolerance; unmatched left rows stay.
 
-    Each side is put in time buckets of the tolerance's width; the left looks into
-    its own bucket and the two beside it, so each pair is met once, and hot keys
-    are split over their buckets. Left rows are told apart by all their columns.
+    Time is cut in buckets of the tolerance's width. A right row stands in its own
+    bucket and the two beside it, a left row looks into its own: each pair is met
+    once, hot keys are split over their buckets, and one outer join gives the
+    unmatched rows as well. Columns may be of any type, and rows may repeat.
     """
     at = lambda c: F.floor(micros(c) / (tol_ms * 1000))
-    seen = right.select(*(F.col(k).alias(f"__{k}") for k in keys), F.col(ts).alias("__ts"), at(F.col(ts)).alias("__b"), *columns)
-    rows = left.withColumn("__a", F.explode(F.sequence(at(F.col(ts)) - 1, at(F.col(ts)) + 1)))
-    on = (F.col("__a") == F.col("__b")) & (F.abs(micros(ts) - micros("__ts")) <= tol_ms * 1000)
+    seen = right.select(*(F.col(k).alias(f"__{k}") for k in keys), F.col(ts).alias(f"r_{ts}"), F.explode(F.sequence(at(F.col(ts)) - 1, at(F.col(ts)) + 1)).alias("__b"), *(F.col(c).alias(f"__r_{c}") for c in columns))
+    rows = left.withColumn("__a", at(F.col(ts)))
+    on = (F.col("__a") == F.col("__b")) & (F.abs(micros(ts) - micros(f"r_{ts}")) <= tol_ms * 1000)
     for k in keys:
         on &= F.col(k) == F.col(f"__{k}")
-    hits = rows.join(seen, on).select(*left.columns, F.col("__ts").alias(f"r_{ts}"), *columns)
-    rest = left.join(hits.select(*(F.col(c).alias(f"__{c}") for c in left.columns)).distinct(), [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in left.columns], "left_anti")
-    return union_by_name(hits, rest)
+    return rows.join(seen, on, "left").select(*left.columns, f"r_{ts}", *(F.col(f"__r_{c}").alias(c) for c in columns))
 
 
 def unmatched(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:

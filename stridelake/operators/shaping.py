@@ -5,13 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
-from pyspark import StorageLevel
 from pyspark.sql import functions as F
-from pyspark import StorageLevel
 from pyspark.sql import types as T
 
+from stridelake.sources.shared import folder, stored
+
 
 def normalize_keys(df: DataFrame, str_cols: Sequence[str] = (), int_cols: Sequence[str] = (), date_cols: Sequence[str] = ()) -> DataFrame:
     """Upper-case and trim text keys, cast numbers and dates."""
@@ -75,6 +74,30 @@ def time_split(df: DataFrame, date: str, c1: str, c2: str) -> tuple[DataFrame, D
     return df.filter(d < first), df.filter((d >= first) & (d < second)), df.filter(d >= second)
 
 
+def cardinality_kinds(df: DataFrame, threshold: int, cols: Sequence[str] | None = None) -> DataFrame:
+    """A type for each column, ``categorical`` up to so many distinct values: column, kind, distinct_values, exact.
+
+    One pass makes a sketch of each column in each partition and merges them, so
+    no row is copied for a column. Where a sketch's estimate is within
+    ``SKETCH_MARGIN`` of the threshold, a second pass counts those columns alone,
+    exactly; only there is ``distinct_values`` exact, as ``exact`` says. A table
+    without rows has no distinct values. Nulls are no value.
+    """
+    names = list(cols or df.columns)
+    text = lambda c: F.col(c) if isinstance(df.schema[c].dataType, (T.StringType, T.BinaryType, T.LongType, T.IntegerType)) else F.xxhash64(F.col(c))
+    sketch = lambda c: F.hll_sketch_estimate(F.hll_sketch_agg(F.when(F.col(c).isNotNull(), text(c)), F.lit(SKETCH_BITS)))
+    seen = df.agg(*(F.coalesce(sketch(c), F.lit(0)).alias(c) for c in names)).head()
+    near = [c for c in names if abs(seen[c] - threshold) <= max(SKETCH_MARGIN * threshold, 2)]
+    counted = df.agg(*(F.count_distinct(c).alias(c) for c in near)).head() if near else {}
+    rows = [(c, int(counted[c] if c in near else seen[c]), c in near) for c in names]
+    rows = [(c, "categorical" if n <= threshold else "continuous", n, exact) for c, n, exact in rows]
+    return df.sparkSession.createDataFrame(rows, "column string, kind string, distinct_values long, exact boolean")
+
+
+#: Log of a sketch's registers; its error is 0.8 % on average. How far from the threshold an estimate is trusted, more than ten times that.
+SKETCH_BITS, SKETCH_MARGIN = 14, 0.1
+
+
 def cardinality_report(df: DataFrame, threshold: int, cols: Sequence[str] | None = None) -> DataFrame:
     """Distinct values and a type for each column: ``categorical`` up to the threshold.
 
@@ -98,7 +121,7 @@ def time_folds(df: DataFrame, group: str, order: str, n: int) -> DataFrame:
     total = groups.agg(F.count(F.lit(1)).alias("__n"))
     dealt = groups.repartitionByRange("__at", group).withColumn("__p", F.spark_partition_id())
     # Stored, as a range's number must be the same for its count and its rows.
-    dealt = dealt.persist(StorageLevel.MEMORY_AND_DISK)
+    dealt = stored(dealt, folder(df.sparkSession, "folds"))
     counts = dealt.groupBy("__p").agg(F.count(F.lit(1)).alias("__c"))
     listed = counts.agg(F.map_from_entries(F.collect_list(F.struct("__p", "__c"))).alias("__m"))
     before = F.aggregate(F.map_values(F.map_filter("__m", lambda p, _: p < F.col("__p"))), F.lit(0).cast("long"), lambda a, x: a + x)

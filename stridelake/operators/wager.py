@@ -10,6 +10,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stridelake.operators import hot_keys
+from stridelake.sources.shared import folder, stored
+
 
 def race_frame(df: DataFrame, race: Sequence[str], item: str, score: str, least: int = 5, most: int = 14, carry: Mapping[str, str] | None = None) -> DataFrame:
     """One row a race: its runners by score, the gaps of neighbours, and the field; small and large fields go.
@@ -188,6 +191,109 @@ def _fold(start: float):
     return run
 
 
+#: Bets of a block on average, and rounds in which blocks are walked bet by bet before what is left goes through one stream.
+BLOCK_BETS, BLOCK_ROUNDS = 100_000, 12
+#: Amounts are counted in whole parts of this size, so that sums are the same in any order.
+PARTS = 1_000_000
+_STATE = "next int, bets long, placed long, money long, low long"
+
+
+def bankroll_blocks(df: DataFrame, strategy: str, order: Sequence[str], start: float, block_bets: int = BLOCK_BETS, cost: str = "cost", payoff: str = "payoff") -> DataFrame:
+    """What ``bankroll_path`` gives, with a strategy's bets dealt over tasks in blocks by the first ordering column.
+
+    Of each block its tasks find what it adds, the bankroll that pays all of its
+    bets, its cheapest bet and its lowest point. A bankroll that pays all takes the
+    block as one addition, and one that does not pay the cheapest bet skips it. Only
+    a block in between is walked bet by bet. The additions of all blocks of a
+    strategy, a few numbers each, are one small task; a round ends at the first
+    block to walk. Strategies with more than ``BLOCK_ROUNDS`` such blocks end in one
+    stream from there on. Blocks and states are stored in the shared folder.
+    Amounts are rounded to millionths, and sums of them are exact.
+    """
+    spark, kind = df.sparkSession, df.select(strategy).schema[0].dataType.simpleString()
+    at, names = folder(spark, "bankroll"), [f"o{k}" for k in range(len(order))]
+    whole = lambda c: F.round(F.coalesce(F.col(c).cast("double"), F.lit(0.0)) * PARTS).cast("long")
+    money = [whole(cost).alias("cost"), whole(payoff).alias("payoff")]
+    rows = df.select(F.col(strategy).alias("strategy"), *(F.col(c).alias(n) for c, n in zip(order, names, strict=True)), *money)
+    dealt = hot_keys.deal_out(rows, ["strategy"], "o0", block_bets).select("strategy", F.col("__slot").alias("slot"), *names, "cost", "payoff")
+    bets = stored(dealt, f"{at}/bets")
+    w = Window.partitionBy("strategy", "slot").orderBy(*names, "cost", "payoff").rowsBetween(Window.unboundedPreceding, -1)
+    before, net = F.col("before"), F.col("payoff") - F.col("cost")
+    summed = bets.withColumn("before", F.coalesce(F.sum(net).over(w), F.lit(0).cast("long"))).groupBy("strategy", "slot").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(net).alias("net"), F.max(F.col("cost") - before).alias("need"), F.min("cost").alias("cheapest"), F.min(before + net).alias("lowest")
+    )
+    blocks = stored(summed, f"{at}/blocks").withColumnRenamed("strategy", "__s")
+    same = F.col("strategy").eqNullSafe(F.col("__s"))
+    zero = [F.lit(0).alias("next"), F.lit(0).cast("long").alias("bets"), F.lit(0).cast("long").alias("placed"), *(F.lit(round(start * PARTS)).cast("long").alias(c) for c in ("money", "low"))]
+    state, done = blocks.select(F.col("__s").alias("strategy")).distinct().select("strategy", *zero), None
+    bets = bets.withColumnRenamed("strategy", "__s")
+    for turn in range(BLOCK_ROUNDS + 1):
+        ahead = state.join(blocks, same & (F.col("slot") >= F.col("next")), "left").drop("__s")
+        added = ahead.repartition("strategy").sortWithinPartitions("strategy", "slot").mapInArrow(_add_blocks, f"strategy {kind}, {_STATE}, open boolean")
+        added = stored(added, f"{at}/added-{turn}")
+        ended = added.filter("not open")
+        done = ended if done is None else done.unionByName(ended)
+        still = added.filter("open").drop("open")
+        if still.isEmpty():
+            break
+        last = turn == BLOCK_ROUNDS
+        to_walk = still.join(bets, same & ((F.col("slot") >= F.col("next")) if last else (F.col("slot") == F.col("next")))).drop("__s")
+        walked = to_walk.repartition("strategy").sortWithinPartitions("strategy", "slot", *names, "cost", "payoff").select("strategy", "next", "bets", "placed", "money", "low", "cost", "payoff")
+        state = stored(walked.mapInArrow(_walk, f"strategy {kind}, {_STATE}"), f"{at}/walked-{turn}")
+        if last:
+            done = done.unionByName(state.withColumn("open", F.lit(False)))
+    return done.select(F.col("strategy").alias(strategy), F.col("bets").cast("int").alias("bets"), F.col("placed").cast("int").alias("placed"), (F.col("money") / PARTS).alias("final_bankroll"), (F.col("low") / PARTS).alias("lowest_bankroll"))
+
+
+def _folded(batches: Iterator[pa.RecordBatch], names: Sequence[str], step, tail: Sequence[str] = ()) -> Iterator[pa.RecordBatch]:
+    """Fold each strategy's rows: ``step(state, row)`` gives the next state; the first row holds the first one."""
+    columns = ["strategy", "next", "bets", "placed", "money", "low", *tail]
+    types = [pa.int32(), *[pa.int64()] * 4, *([pa.bool_()] * len(tail))]
+    now, state, kind, begun = None, None, None, False
+    for batch in batches:
+        kind = batch.schema.field("strategy").type
+        for key, *values in zip(*(batch.column(c).to_pylist() for c in ("strategy", *names)), strict=True):
+            if not begun or key != now:
+                if begun:
+                    yield pa.RecordBatch.from_arrays([pa.array([now], kind), *(pa.array([x], t) for x, t in zip(state, types, strict=True))], names=columns)
+                now, state, begun = key, (*values[:5], *([False] * len(tail))), True
+            state = step(state, values[5:])
+    if begun:
+        yield pa.RecordBatch.from_arrays([pa.array([now], kind), *(pa.array([x], t) for x, t in zip(state, types, strict=True))], names=columns)
+
+
+def _add_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks that are paid or skipped as a whole, up to the first that is neither, at which a strategy is open."""
+
+    def step(state: tuple, block: Sequence) -> tuple:
+        following, bets, placed, money, low, is_open = state
+        slot, n, net, need, cheapest, lowest = block
+        if is_open or slot is None:
+            return state
+        if money >= need:
+            return slot + 1, bets + n, placed + n, money + net, min(low, money + lowest), False
+        if money < cheapest:
+            return slot + 1, bets + n, placed, money, low, False
+        return slot, bets, placed, money, low, True
+
+    yield from _folded(batches, ["next", "bets", "placed", "money", "low", "slot", "n", "net", "need", "cheapest", "lowest"], step, ["open"])
+
+
+def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bets of a block, one by one."""
+
+    def step(state: tuple, bet: Sequence) -> tuple:
+        following, bets, placed, money, low = state
+        cost, payoff = bet
+        if money >= cost:
+            money += payoff - cost
+            placed, low = placed + 1, min(low, money)
+        return following, bets + 1, placed, money, low
+
+    for out in _folded(batches, ["next", "bets", "placed", "money", "low", "cost", "payoff"], step):
+        yield out.set_column(1, "next", pa.array([out.column("next")[0].as_py() + 1], pa.int32()))
+
+
 def grid_search(df: DataFrame, grid: Mapping[str, Sequence[float]], cost: str = "cost", payoff: str = "payoff") -> DataFrame:
     """Return of the rows at or over every combination of two columns' thresholds, in one job.
 

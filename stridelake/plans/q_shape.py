@@ -84,6 +84,12 @@ def _(spark, d):
     return shaping.cardinality_report(table(spark, d, "part"), 60)
 
 
+@add("p12_cardinality_kinds", " UNION ALL ".join(f"SELECT '{c}' AS column, CASE WHEN count(DISTINCT {c}) <= 50 THEN 'categorical' ELSE 'continuous' END AS kind FROM lineitem" for c in ("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_shipdate", "l_extendedprice")))
+def _(spark, d):
+    cols = ["l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_shipdate", "l_extendedprice"]
+    return shaping.cardinality_kinds(table(spark, d, "lineitem"), 50, cols).select("column", "kind")
+
+
 @add("p13_condition_bucket", R + """ SELECT race, num, CASE WHEN surface = 'P' AND model = 'A' THEN 'MUDDY' WHEN surface = 'P' THEN 'DIRT' WHEN surface = 'O' THEN 'TURF' WHEN surface = 'F' THEN 'ALL_WEATHER' END
   || CASE WHEN 1000 + num * 100 <= 1409 THEN '_SPRNT' ELSE '_RTE' END AS bucket FROM runners""")
 def _(spark, d):

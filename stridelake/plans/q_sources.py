@@ -43,6 +43,16 @@ def _(spark, d):
     return K.upsert(o.filter("o_orderkey % 2 = 0"), delta, ["o_orderkey"], ["price"])
 
 
+@add("k4_upsert_buckets", "SELECT o_orderkey, CASE WHEN o_orderkey % 1000 = 0 THEN -1.0 ELSE o_totalprice END AS price FROM orders WHERE o_orderkey % 2 = 0 OR o_orderkey % 1000 = 0")
+def _(spark, d):
+    """A small delta that is put into the buckets that it hits."""
+    at = folder(spark, "k4b")
+    o = table(spark, d, "orders").select("o_orderkey", F.col("o_totalprice").alias("price"))
+    K.save_buckets(o.filter("o_orderkey % 2 = 0"), at, ["o_orderkey"], 32)
+    K.upsert_buckets(spark, at, o.filter("o_orderkey % 1000 = 0").withColumn("price", F.lit(-1.0)), ["o_orderkey"], 32, ["price"])
+    return K.read_buckets(spark, at)
+
+
 @add("k4_insert_only", "SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN o_totalprice ELSE -1.0 END AS price FROM orders WHERE o_orderkey % 2 = 0 OR o_orderkey % 3 = 0")
 def _(spark, d):
     o = table(spark, d, "orders").select("o_orderkey", F.col("o_totalprice").alias("price"))

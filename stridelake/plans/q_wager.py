@@ -134,6 +134,17 @@ def _(spark, d):
     return rounded(B.bankroll_path(bets, "strategy", ["race"], 25.0), "final_bankroll", "lowest_bankroll", digits=4)
 
 
+@add("b10_bankroll_blocks", f"""{METRICS.replace('WITH li AS', 'WITH RECURSIVE li AS', 1)}, o AS MATERIALIZED (SELECT row_number() OVER (ORDER BY race) AS i, cost, payoff FROM bm),
+  p(i, money, placed, low) AS (SELECT 0::BIGINT, 40.0::DOUBLE, 0, 40.0::DOUBLE UNION ALL
+    SELECT o.i, CASE WHEN money >= cost THEN money - cost + payoff ELSE money END, placed + CASE WHEN money >= cost THEN 1 ELSE 0 END, least(low, CASE WHEN money >= cost THEN money - cost + payoff ELSE money END)
+    FROM p JOIN o ON o.i = p.i + 1)
+  SELECT 'all' AS strategy, CAST(max(i) AS INTEGER) AS bets, CAST(arg_max(placed, i) AS INTEGER) AS placed, round(arg_max(money, i), 4) AS final_bankroll, round(arg_max(low, i), 4) AS lowest_bankroll FROM p""")
+def _(spark, d):
+    """One strategy of all bets, dealt over tasks in blocks."""
+    bets = B.bet_metrics(_settled(spark, d), ["race"]).withColumn("strategy", F.lit("all"))
+    return rounded(B.bankroll_blocks(bets, "strategy", ["race"], 40.0, 500), "final_bankroll", "lowest_bankroll", digits=4)
+
+
 PLAIN = f"{FRAME}, {GAPS}, b AS (SELECT race, gap12, gap23, 2.0::DOUBLE AS cost, CASE WHEN items[1] = (SELECT CAST(num AS VARCHAR) FROM runners r WHERE r.race = h.race AND finish = 1) THEN 5.0::DOUBLE ELSE 0 END AS payoff FROM h)"
 
 

@@ -136,6 +136,40 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str])
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
 
 
+#: The partition column of tables that are kept in buckets.
+BUCKET = "__bucket"
+
+
+def save_buckets(df: DataFrame, path: str, keys: Sequence[str], buckets: int) -> None:
+    """Write a table as ``buckets`` partitions by the hash of its keys, for ``upsert_buckets``."""
+    keyed = df.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+    save(keyed.repartition(BUCKET), path, [BUCKET])
+
+
+def upsert_buckets(spark: SparkSession, path: str, delta: DataFrame, keys: Sequence[str], buckets: int, order: Sequence[str | Column] = (), policy: str = "update") -> list[int]:
+    """Put a delta into a table of ``save_buckets``: only buckets that it hits are read, merged and swapped.
+
+    Returns those buckets, at most ``buckets`` numbers. The files of all others stay
+    as they are. Rows are as in ``upsert``; of several delta rows of a key the first
+    by ``order`` counts. New files are written beside the old ones and take their
+    place when all are there; a delta that is put in again changes nothing.
+    """
+    keyed = delta.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+    hit = sorted(r[0] for r in keyed.select(BUCKET).distinct().collect())
+    if hit:
+        table = spark.read.parquet(path)
+        # A partition column is read as an integer, but comes last.
+        base = table.filter(F.col(BUCKET).isin(hit))
+        merged = upsert(base, keyed, [BUCKET, *keys], order, policy).select(*table.columns)
+        overwrite_partitions(merged.repartition(BUCKET), path, [BUCKET])
+    return hit
+
+
+def read_buckets(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of a table that is kept in buckets."""
+    return spark.read.parquet(path).drop(BUCKET)
+
+
 def unprocessed(candidates: DataFrame, ledger: DataFrame, key: str, tag: str) -> DataFrame:
     """Candidates that the ledger does not mark ``processed`` under a tag."""
     done = ledger.filter((F.col("message") == tag) & (F.col("status") == "processed")).select(key).distinct()
