@@ -22,7 +22,8 @@ from stridelake.llm.common import Scratch, table
 from stridelake.llm.text_features import WordRows, is_held_out
 
 #: Rows a model is fitted on at most, dealt out evenly to the languages.
-FIT_ROWS = 8000
+FIT_ROWS = 20_000
+FIT_TASKS = 8
 LONGEST, SMOOTHING = 5, 0.5
 #: Words outside the model whose votes a Python worker remembers.
 WORDS = 150_000
@@ -102,21 +103,26 @@ def fit_sample(docs: DataFrame, scratch: Scratch, fit_rows: int = FIT_ROWS, doc_
     A row's rank in its language is taken to be its hash's share of the language's
     rows, and the lowest ranks over all languages are chosen. So languages share
     the sample evenly, a rare one is not pushed out by a frequent one, and no task
-    gathers a language.
+    gathers a language. The ranks are compared without the texts; only texts that
+    rank high enough are read further. Rows equal in id and text count once.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
     rows = rows.filter(F.col("lang").isNotNull() & ~is_held_out(F.col("doc_id"), 5, 0))
     # Stored, so that Spark knows its size and sends it to the rows, and not the rows to it.
     sizes = scratch.save(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).coalesce(1), "sizes")
-    share = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / (1 << 30)
-    ranked = rows.join(sizes, "lang").withColumn("k", share * F.col("n")).filter(F.col("k") < 1.25 * fit_rows)
-    return ranked.orderBy("k", "lang", "doc_id", "text").limit(fit_rows).select("text", "lang")
+    hashed = rows.withColumn("h", F.xxhash64("doc_id", "text"))
+    share = F.pmod("h", F.lit(1 << 30)) / (1 << 30)
+    ranked = hashed.join(sizes, "lang").withColumn("place", F.struct((share * F.col("n")).alias("k"), "lang", "doc_id", "h")).drop("n")
+    near = ranked.filter(F.col("place.k") < 1.25 * fit_rows)
+    # The last place that is in: narrow rows, of which one task holds fit_rows at most.
+    last = near.select("place").distinct().orderBy("place").limit(fit_rows).agg(F.max("place").alias("last"))
+    return near.join(F.broadcast(last), F.col("place") <= F.col("last")).dropDuplicates(["place"]).select("text", "lang")
 
 
 def fit(docs: DataFrame, scratch: Scratch | None = None, fit_rows: int = FIT_ROWS, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> Model:
     """Fit on the rows of ``fit_sample``; what reaches the driver is the counts of that sample's words and n-grams."""
     scratch = scratch or Scratch(docs.sparkSession, "language")
-    sample = scratch.save(fit_sample(docs, scratch, fit_rows, doc_id, text, lang).repartition(8), "sample")
+    sample = scratch.save(fit_sample(docs, scratch, fit_rows, doc_id, text, lang).repartition(FIT_TASKS), "sample")
     counts = sample.mapInArrow(_count, "lang string, n int, token string, c long").groupBy("n", "token", "lang").agg(F.sum("c").alias("c"))
     found = counts.toArrow().combine_chunks()
     scratch.drop("sample")
