@@ -18,8 +18,9 @@ from stridelake.llm.common import Scratch, quoted, table
 SLOTS_PER_ROW = 16
 #: Slots in a block, whose bitmap is 4 KB. Both slots of a document lie in one block.
 BLOCK = 32768
-#: Up to so many blocks, 64 MB, the filter is broadcast; a larger one meets the documents in a join by block.
-BROADCAST_BLOCKS = 1 << 14
+#: Blocks, 256 MB of them, that are broadcast at once. A larger filter goes range of blocks by range of blocks, each in a
+#: scan of its own, so the documents are never dealt out by block.
+BROADCAST_BLOCKS = 1 << 16
 #: Groups with more than one in so many of the shuffled rows are hot; there are fewer than this.
 HOT_SHARE = 1000
 
@@ -51,16 +52,22 @@ def repeated_slots(hashes: DataFrame, hashed: Column, blocks: int) -> DataFrame:
 
 
 def flag_possible(rows: DataFrame, hashed: str, bitmaps: DataFrame, blocks: int) -> DataFrame:
-    """Add ``possible``: whether both slots of the row were hit twice."""
-    side = bitmaps.withColumnRenamed("block", "b")
-    joined = rows.join(F.broadcast(side) if blocks <= BROADCAST_BLOCKS else side, _block(F.col(hashed), blocks) == F.col("b"), "left")
+    """Add ``possible``: whether both slots of the row were hit twice. No row is shuffled, at any size of the filter."""
 
     def hit(place: Column) -> Column:
-        byte = F.conv(F.hex(F.substring("bits", F.shiftright(place, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+        byte = F.conv(F.hex(F.substring("__bits", F.shiftright(place, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
         return F.coalesce(F.pmod(F.floor(byte / F.pow(F.lit(2.0), place.bitwiseAND(F.lit(7)))), F.lit(2)) == 1, F.lit(False))
 
     one, two = _places(F.col(hashed))
-    return joined.withColumn("possible", hit(one) & hit(two)).drop("b", "bits")
+    own, out = _block(F.col(hashed), blocks), None
+    for low in range(0, blocks, BROADCAST_BLOCKS):
+        high = low + BROADCAST_BLOCKS
+        side = bitmaps.filter((F.col("block") >= low) & (F.col("block") < high)).select(F.col("block").alias("__block"), F.col("bits").alias("__bits"))
+        some = rows if blocks <= BROADCAST_BLOCKS else rows.filter((own >= low) & (own < high))
+        joined = some.join(F.broadcast(side), own == F.col("__block"), "left")
+        flagged = joined.withColumn("possible", hit(one) & hit(two)).drop("__block", "__bits")
+        out = flagged if out is None else out.unionByName(flagged)
+    return out
 
 
 def with_groups(rows: DataFrame, key: str, groups: DataFrame) -> DataFrame:

@@ -42,14 +42,29 @@ def test_exact_decisions_match_brute_force(spark, scratch):
         assert r["keep_id"] == (min(known) if known else None)
 
 
-@pytest.mark.parametrize(("setting", "value"), [("HOT_SHARE", 1), ("HOT_SHARE", 4), ("BROADCAST_BLOCKS", 0), ("SLOTS_PER_ROW", 30000)])
-def test_exact_decisions_are_the_same_by_every_way(spark, scratch, monkeypatch, setting, value):
+@pytest.mark.parametrize("settings", [{"HOT_SHARE": 1}, {"HOT_SHARE": 4}, {"BROADCAST_BLOCKS": 2, "SLOTS_PER_ROW": 2000}, {"SLOTS_PER_ROW": 30000}])
+def test_exact_decisions_are_the_same_by_every_way(spark, scratch, monkeypatch, settings):
     docs = spark.createDataFrame([(i, f"t {i % 7 if i % 3 else i}") for i in range(90)] + [(None, "t  1")], "doc_id long, text string").repartition(3)
     want = sorted(map(str, exact_dedup.decisions(docs, scratch).collect()))
-    monkeypatch.setattr(exact_dedup, setting, value)
+    for setting, value in settings.items():
+        monkeypatch.setattr(exact_dedup, setting, value)
     assert sorted(map(str, exact_dedup.decisions(docs, Scratch(spark, "way")).collect())) == want
 
 
+@pytest.mark.parametrize("at_once", [1, 2, 1000])
+def test_the_filter_deals_out_no_row_at_any_size(spark, scratch, monkeypatch, at_once):
+    monkeypatch.setattr(exact_dedup, "BROADCAST_BLOCKS", at_once)
+    rows = spark.range(900).select(F.concat(F.lit("t"), F.least("id", F.lit(800)).cast("string")).alias("row"), F.xxhash64(F.least("id", F.lit(800))).alias("h"), F.lit("c").alias("block"))
+    rows = scratch.save(rows, "rows")
+    bits = scratch.save(exact_dedup.repeated_slots(rows, F.col("h"), 5), "bits")
+    flagged = exact_dedup.flag_possible(rows, "h", bits, 5)
+    assert "Exchange hashpartitioning" not in flagged._jdf.queryExecution().executedPlan().toString()
+    got = flagged.collect()
+    assert len(got) == 900 and flagged.columns == ["row", "h", "block", "possible"]
+    assert sum(r["possible"] for r in got if r["row"] == "t800") == 100
+    assert sum(r["possible"] for r in got if r["row"] != "t800") < 40
+
+
 def test_exact_dedup_keeps_whole_rows_and_clashing_columns(spark, scratch):
     docs = spark.createDataFrame(rows_of(TEXTS), DOCS).withColumns({"a.b": F.lit(1), "row": F.lit("r"), "h": F.lit(2), "sha": F.lit(3), "__sl_h": F.lit(4), "m": F.create_map(F.lit("k"), F.lit(1)), "possible": F.lit(False)})
     got = exact_dedup.exact_dedup(docs, scratch)
