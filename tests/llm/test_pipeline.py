@@ -10,7 +10,7 @@ import corpus_pipeline
 from stridelake.llm import piece_bpe, quality
 from stridelake.llm.remembered import Remembered
 from stridelake.llm.text_features import bucket_of, grams_of
-from test_dedup_and_filters import brute_components, brute_fingerprint
+from test_near_copies import kept_by_brute_force
 from test_tokens_and_models import brute_hits
 
 
@@ -23,8 +23,10 @@ def small_corpus():
         docs.append(body if i % 4 else " ".join(w + "%%%" for w in body.split()))
     item = " ".join(random.choice(words) for _ in range(30))
     docs += [docs[1], "  ".join(docs[2].split()), docs[3] + " tail", f"intro {item} outro", docs[5] + " " + item, None, "", docs[6].upper()]
+    docs.append(" ".join(["other", *docs[7].split()[1:]]))  # a near copy
     rows = [(i, t, "en", "src0", len(t or "")) for i, t in enumerate(docs)]
-    rows.append((None, "no id here", None, None, None))
+    # Without an id, one of them a near copy; and a row that repeats.
+    rows += [(None, "no id here", None, None, None), (None, docs[9] + " more", None, None, None), rows[10], rows[10]]
     labels = [(i, int(i % 4 > 0), 0) for i in range(120)]
     return rows, labels, [(1, item), (2, None)]
 
@@ -51,10 +53,13 @@ def test_stages_keep_their_contract_and_match_brute_force(spark, tmp_path):
     for i, t in sorted(kept, key=lambda x: (x[0] is None, x[0] or 0)):
         first.setdefault(re.sub(r"[\x20\x09-\x0D]+", " ", t or ""), (i, t))
     kept = list(first.values())
-    groups = brute_components({i: brute_fingerprint(t) for i, t in kept if i is not None})
-    kept = [(i, t) for i, t in kept if i is None or groups[i] == i]
-    hits = brute_hits(kept, items)
-    kept = [(i, t) for i, t in kept if i is None or not hits[i][4]]
+    stay = kept_by_brute_force(kept)
+    assert len(stay) < len(kept)
+    texts = dict(kept)
+    kept = [(None if none else i, texts[None if none else i]) for none, i in stay]
+    assert not any((t or "").endswith(" more") for _, t in kept)
+    hits = brute_hits([(-1 if i is None else i, t) for i, t in kept], items)
+    kept = [(i, t) for i, t in kept if not hits[-1 if i is None else i][4]]
     library = piece_bpe.encoder_of("piece_bpe_32k.model").library
     want = []
     for i, t in kept:
