@@ -12,6 +12,7 @@ from stridelake.functions.parsing import pad_array
 from stridelake.operators.joins import add_group_stats, asof_join
 from stridelake.operators.quantiles import exact_quantiles, with_quantiles
 from stridelake.operators.sets import union_by_name
+from stridelake.sources.shared import folder, stored
 
 
 def with_global(df: DataFrame, aggs: Mapping[str, Column]) -> DataFrame:
@@ -126,12 +127,16 @@ def seed_unseen(history: DataFrame, future: DataFrame, key: str, cols: Sequence[
 
 
 def carry_score(history: DataFrame, future: DataFrame, entity: str, date: str, score: str, race: Sequence[str]) -> DataFrame:
-    """Score of future rows: the entity's latest at or before the date, else the race's median, else history's."""
+    """Score of future rows: the entity's latest at or before the date, else the race's median, else history's.
+
+    Rows with the scores that they carry are stored, and medians of races of any
+    size, those of a null race too, are joined back.
+    """
     seen = asof_join(future, history.select(entity, F.col(date).alias("__d"), F.col(score).alias("__s")), [entity], date, "__d", ["__s"], tie=["__s"])
-    race_median = F.percentile("__s", 0.5).over(Window.partitionBy(*race))
+    seen = stored(seen, folder(future.sparkSession, "carried"))
     overall = exact_quantiles(history, (), [score], (0.5,)).select(F.get(score, F.lit(0)).alias("__all"))
-    filled = seen.withColumn("__r", race_median).join(F.broadcast(overall), how="left")  # one row
-    return filled.withColumn(score, F.coalesce("__s", "__r", "__all")).drop("__s", "__r", "__all")
+    filled = with_quantiles(seen, race, ["__s"], (0.5,), "__of_race").join(F.broadcast(overall), how="left")  # one row
+    return filled.withColumn(score, F.coalesce("__s", F.get("__of_race__s", F.lit(0)), "__all")).drop("__s", "__of_race__s", "__all")
 
 
 def past_sequences(df: DataFrame, entity: Sequence[str], order: Sequence[str], cols: Sequence[str], most: int, least: int, filler: float = -999.0, out: str = "sequence") -> DataFrame:

@@ -7,7 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from stridelake.operators import joins, shaping, wager
+from stridelake.operators import cleaning, joins, shaping, wager
 from stridelake.sources import tables
 from stridelake.sources.shared import folder
 
@@ -98,3 +98,15 @@ def test_interval_join_left_keeps_rows_that_repeat_and_maps(spark):
     got = joins.interval_join(points, spans, ["k"], "t", "f", "u", how="left")
     assert got.columns == ["k", "t", "m", "f", "u", "g"]
     assert sorted((r["k"] or "", r["g"] or 0) for r in got.collect()) == [("", 0), ("a", 0), ("a", 1), ("a", 1), ("a", 3), ("a", 3), ("b", 0)]
+
+
+def test_scores_are_carried_with_the_median_of_the_race(spark):
+    day = lambda k: dt.date(2024, 1, k)
+    history = spark.createDataFrame([("a", day(1), 1.0), ("a", day(3), 5.0), ("b", day(2), 3.0), ("c", day(9), 9.0)], "horse string, day date, score double")
+    rows = [("a", day(4), "r1"), ("b", day(4), "r1"), ("new", day(4), "r1"), ("new", day(4), "r2"), ("c", day(4), None), ("a", day(2), None), (None, day(4), None)]
+    future = spark.createDataFrame(rows, "horse string, day date, race string")
+    got = cleaning.carry_score(history, future, "horse", "day", "score", ["race"])
+    assert got.columns == ["horse", "day", "race", "score"]
+    want = [("a", "r1", 5.0), ("b", "r1", 3.0), ("new", "r1", 4.0), ("new", "r2", 4.0), ("c", None, 1.0), ("a", None, 1.0), (None, None, 1.0)]
+    assert sorted((str(r["horse"]), str(r["race"]), r["score"]) for r in got.collect()) == sorted((str(h), str(r), s) for h, r, s in want)
+    assert "Window [percentile" not in got._jdf.queryExecution().executedPlan().toString()
