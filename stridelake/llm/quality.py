@@ -111,12 +111,15 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", fit_rows: in
     The sample is taken by the hash of the id, so it is the same for every
     partitioning. Executors turn whole texts into features; only the sample's
     features, bounded by ``fit_rows``, meet in the training. Null labels and ids
-    are left out. Of repeated ids the rows count each, within the bound.
+    are left out. Rows that share an id count each, within the bound, but for equal ones.
     """
     known = labels.select(F.col(label_id).cast("long").alias("doc_id"), F.col(label).cast("int").alias("y")).filter("doc_id is not null and y in (0, 1)")
     chosen = known.filter(~is_held_out(F.col("doc_id"), 4, 2)).orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(fit_rows)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(chosen), "doc_id")
-    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "y", F.xxhash64("text"), "text").limit(fit_rows)  # many rows may share an id
+    # Many rows may share an id. Their places are compared without the texts; rows equal in all count once.
+    placed = rows.withColumn("place", F.struct(F.xxhash64("doc_id").alias("h"), "doc_id", "y", F.xxhash64("text").alias("t")))
+    last = placed.select("place").distinct().orderBy("place").limit(fit_rows).agg(F.max("place").alias("last"))
+    rows = placed.join(F.broadcast(last), F.col("place") <= F.col("last")).dropDuplicates(["place"]).select("doc_id", "y", "text")
     found = rows.repartition(FIT_TASKS).mapInArrow(_features, "doc_id long, y int, ids binary, amounts binary").collect()  # fit_rows rows
     sample = sorted((r["doc_id"], r["y"], bytes(r["ids"]), bytes(r["amounts"])) for r in found)
     features = [(np.frombuffer(i, np.uint32), np.frombuffer(a, np.float32)) for _, _, i, a in sample]
