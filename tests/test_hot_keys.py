@@ -27,7 +27,7 @@ def same(got, want):
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
 
 
-@pytest.mark.parametrize("hot_rows", [1, 20, 100, 10**6])
+@pytest.mark.parametrize("hot_rows", [1, 20, 10**6])
 def test_locf_and_prior_n(spark, hot_rows):
     df = spark.createDataFrame(rows_with_a_hot_key(), SCHEMA).withColumn("m", F.create_map("k", "i") if hot_rows == 20 else F.lit(None))
     df = df.filter("k is not null") if hot_rows == 20 else df
@@ -39,9 +39,7 @@ def test_locf_and_prior_n(spark, hot_rows):
         same(windows.prior_n(df, ["k"], order, n, aggs, hot_rows=hot_rows), windows.prior_n(df, ["k"], order, n, aggs))
 
 
-@pytest.mark.parametrize("hot_rows", [1, 20, 10**6])
-@pytest.mark.parametrize("direction", ["backward", "forward"])
-@pytest.mark.parametrize("strict", [False, True])
+@pytest.mark.parametrize(("hot_rows", "direction", "strict"), [(1, "backward", False), (20, "backward", True), (20, "forward", False), (20, "forward", True), (10**6, "backward", False)])
 def test_asof_join(spark, hot_rows, direction, strict):
     rows = rows_with_a_hot_key()
     left = spark.createDataFrame(rows[::2] + rows[1:200:2], SCHEMA).select("k", "at", "i")
