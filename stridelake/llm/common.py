@@ -50,6 +50,25 @@ class Scratch:
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Schemes by which Spark knows a store that Arrow knows by another one.
+ARROW_SCHEMES = (("s3a://", "s3://"), ("s3n://", "s3://"), ("dbfs:/", "file:///dbfs/"))
+
+
+def arrow_uri(folder: str) -> str:
+    """A folder's URI by the scheme that Arrow knows; hdfs, gs, abfss and file are the same for both."""
+    for spark_scheme, arrow_scheme in ARROW_SCHEMES:
+        if folder.startswith(spark_scheme):
+            return arrow_scheme + folder[len(spark_scheme) :].lstrip("/")
+    return folder
+
+
+def file_store(folder: str):
+    """Arrow's file system of a shared folder, and the folder's path in it; for tasks that write or read files of their own."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(arrow_uri(folder))
+
+
 def quoted(name: str) -> str:
     """A column's name for an expression, dots and all."""
     return "`" + name.replace("`", "``") + "`"

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stridelake.llm.common import Scratch, keep_rows, table
+from stridelake.llm.common import Scratch, file_store, keep_rows, table
 from stridelake.llm.fm_index import FMIndex
 from stridelake.llm.remembered import Remembered
 
@@ -92,9 +92,7 @@ class Items:
         if len(self.names) == 1 and hasattr(self, "only"):
             yield self.only
             return
-        from pyarrow import fs
-
-        store, root = fs.FileSystem.from_uri(self.folder)
+        store, root = file_store(self.folder)
         for name in self.names:
             with store.open_input_file(f"{root}/{name}") as f:
                 self.only = Patterns(pickle.loads(f.read()), self.window)
@@ -103,12 +101,10 @@ class Items:
 
 def stored_items(items: DataFrame, scratch: Scratch, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> Items:
     """Write a query set to the shared folder, block by block."""
-    from pyarrow import fs
-
     spark, folder = items.sparkSession, scratch.path("items")
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
-    store, root = fs.FileSystem.from_uri(folder)
+    store, root = file_store(folder)
     names, shortest, bits = [], 0, np.zeros(FILTER_BITS, dtype=bool)
     for block in item_blocks(items, block_bytes=block_bytes):
         for _, text in block:

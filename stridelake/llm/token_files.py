@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stridelake.llm import pfor
-from stridelake.llm.common import Scratch, table
+from stridelake.llm.common import Scratch, file_store, table
 from stridelake.llm.remembered import Remembered
 
 END_ID = 2
@@ -163,7 +163,7 @@ def _write(name: str, end_id: int, folder: str, file_ids: int):
         pieces = pieces_of(name)
         context = TaskContext.get()
         part, attempt = context.partitionId(), context.taskAttemptId()
-        store, root = fs.FileSystem.from_uri(folder)
+        store, root = file_store(folder)
         n_file, docs, held, sizes = 0, [], [], []
 
         def flush() -> tuple:

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stridelake.llm.common import Scratch, table
+from stridelake.llm.common import Scratch, file_store, table
 
 #: Responses, and packed bytes, after which the next output file begins.
 FILE_RECORDS, FILE_BYTES = 2000, 16 << 20
@@ -168,12 +168,16 @@ def _as_uri(text: str) -> str:
     return re.sub(r"[\x00-\x20]", lambda m: f"%{ord(m[0]):02X}", text)
 
 
-def response(key: str, url: str | None, html: str | None, date: str = DATE) -> bytes:
-    """A response record of a stored page; a null page is an empty payload."""
+def response(key: str, url: str | None, html: str | None, date: str = DATE, row: int = 0) -> bytes:
+    """A response record of a stored page; a null page is an empty payload.
+
+    Its id comes of all that is known of it, with its date and the number of its
+    row, so that pages that repeat and later crawls of a page have ids of their own.
+    """
     payload = (html or "").encode("utf-8", "surrogatepass")
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: " + str(len(payload)).encode() + _CRLF * 2 + payload
     headers = [
-        ("WARC-Record-ID", record_id("response", key, url or "", digest(payload))),
+        ("WARC-Record-ID", record_id("response", key, url or "", digest(payload), date, str(row))),
         ("WARC-Date", date),
         ("WARC-Target-URI", _as_uri(url or "")),
         ("WARC-Payload-Digest", digest(payload)),
@@ -221,21 +225,29 @@ def derive(record: bytes) -> tuple[bytes, bytes] | None:
     return metadata, conversion
 
 
+#: Pages that a task turns into records at once.
+SLICE_PAGES = 256
+
+
 def responses(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", date: str | None = None) -> DataFrame:
     """Response records (key, record) of stored pages; null ids have an empty key.
 
     ``date`` names a column with the dates of the records as text; pages without
     one get a constant, as they do not say when they were fetched. A null URL is
-    an empty one, a null page an empty payload; rows may repeat.
+    an empty one, a null page an empty payload. Rows may repeat; each has a record
+    with an id of its own, by its number in the table as it is read.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            keys = ["" if k is None else k for k in b.column("key").to_pylist()]
-            made = [response(k, u, h, d or DATE) for k, u, h, d in zip(keys, *(b.column(c).to_pylist() for c in ("url", "html", "date")), strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column("key"), pa.array(made, pa.binary())], names=["key", "record"])
-
-    rows = pages.select(F.col(page_id).cast("string").alias("key"), F.col(url).alias("url"), F.col(html).alias("html"), (F.col(date) if date else F.lit(None)).cast("string").alias("date"))
+        for batch in batches:
+            for low in range(0, batch.num_rows, SLICE_PAGES):
+                b = batch.slice(low, SLICE_PAGES)
+                columns = (b.column(c).to_pylist() for c in ("key", "url", "html", "date", "row"))
+                made = [response(k or "", u, h, d or DATE, n) for k, u, h, d, n in zip(*columns, strict=True)]
+                yield pa.RecordBatch.from_arrays([b.column("key"), pa.array(made, pa.binary())], names=["key", "record"])
+
+    known = {"key": F.col(page_id).cast("string"), "url": F.col(url), "html": F.col(html), "date": (F.col(date) if date else F.lit(None)).cast("string")}
+    rows = pages.select(*(c.alias(n) for n, c in known.items()), F.monotonically_increasing_id().alias("row"))
     return rows.mapInArrow(run, "key string, record binary")
 
 
@@ -254,7 +266,7 @@ def write_derivatives(records: DataFrame, folder: str, file_records: int = FILE_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
 
-        store, root = fs.FileSystem.from_uri(folder)
+        store, root = file_store(folder)
         context = TaskContext.get()
         n_file, rows, members, at = 0, [], [], 0
 
@@ -300,9 +312,7 @@ def read_derivatives(folder: str, index: DataFrame, keep_text: bool = True) -> D
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyarrow import fs
-
-        store, root = fs.FileSystem.from_uri(folder)
+        store, root = file_store(folder)
         names = ["key", "refers_to", "metadata_id", "conversion_id", "target_uri", "source_payload_digest", "text_digest", "linked", "text_length", "text_sha256", "text"][: 11 if keep_text else 10]
         kinds = [*[pa.string()] * 7, pa.bool_(), pa.int64(), pa.string(), pa.string()][: len(names)]
         for batch in batches:

@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from stridelake.llm import decontaminate, fm_index, language, pfor, piece_bpe, quality, token_files, warc
-from stridelake.llm.common import Scratch
+from stridelake.llm.common import Scratch, arrow_uri
 
 ODD = [
     "", " ", "   ", "a  b", " a", "a ", "\n\n x", "x\t y", "日本語 テスト", "é ñ", "▁▁a ▁", "<s> </s> <unk> <0x41>", "don't we'll  'tis", "a" * 3000, " " * 40,
@@ -222,16 +222,25 @@ def test_decontamination_without_items_or_documents(spark, scratch):
     assert decontaminate.find_spans(docs.limit(0), none, scratch).count() == 0
 
 
+@pytest.mark.parametrize(("spark_uri", "arrow"), [("s3a://b/x", "s3://b/x"), ("s3n://b/x", "s3://b/x"), ("dbfs:/x/y", "file:///dbfs/x/y"), ("dbfs:///x", "file:///dbfs/x"), ("hdfs://n:1/x", "hdfs://n:1/x"), ("file:/tmp/x", "file:/tmp/x"), ("gs://b/x", "gs://b/x")])
+def test_folders_of_spark_are_found_by_arrow(spark_uri, arrow):
+    assert arrow_uri(spark_uri) == arrow
+
+
 def test_warc_derivatives_link_back(spark, scratch):
     html = "<html><head><title>T &amp; u</title><style>x</style></head><body><p>One&nbsp;two</p><script>no</script><!-- c --><p>Three<br>four</body></html>"
     pages = spark.createDataFrame([(1, "http://a.test/1", html), (2, None, None), (3, "u", ""), (None, "x\ny", "<p>" + "w " * 50000), (1, "http://a.test/1", html)], "page_id long, url string, html string")
     folder = scratch.path("warc")
     index = scratch.save(warc.write_derivatives(warc.responses(pages), folder, file_records=2), "index")
-    back = {r["refers_to"]: r for r in warc.read_derivatives(folder, index).collect()}
-    assert index.count() == 5 and all(r["linked"] for r in back.values())
+    back = warc.read_derivatives(folder, index).collect()
+    assert index.count() == 5 and all(r["linked"] for r in back)
+    # Rows that repeat have records, and ids, of their own.
+    assert sorted(r["key"] or "" for r in back) == ["", "1", "1", "2", "3"]
+    assert len({r[c] for r in back for c in ("refers_to", "metadata_id", "conversion_id")}) == 15
     record = warc.response("1", "http://a.test/1", html)
     headers, block = warc.parse(record)
-    got = back[headers["warc-record-id"]]
+    got = next(r for r in back if r["key"] == "1")
+    assert warc.parse(warc.response("1", "http://a.test/1", html, "2024-01-02T00:00:00Z"))[0]["warc-record-id"] != headers["warc-record-id"]
     assert got["text"] == "T & u\nOne\u00a0two\nThree\nfour".replace("\u00a0", " ") and got["source_payload_digest"] == headers["warc-payload-digest"] == warc.digest(html.encode())
     meta, conv = warc.derive(record)
     assert warc.parse(meta)[0]["warc-refers-to"] == headers["warc-record-id"] == warc.parse(conv)[0]["warc-refers-to"]
