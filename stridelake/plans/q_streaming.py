@@ -18,8 +18,8 @@ QUERIES = GROUP.QUERIES
 add = GROUP.add
 
 
-#: Files of the feed, each of which is a trigger.
-FILES = 3
+#: Steps in which the feed comes, each of which is a trigger, and files of a step, each of which one task writes.
+FILES, STEP_FILES = 3, 4
 #: The feed's last file has one point long after all others, which closes every window and session; it has no runner.
 CLOSING = "2100-01-01"
 
@@ -31,11 +31,11 @@ def _feed(spark, d, closing: bool = False):
     edges = rows.agg(*(F.percentile_approx(F.col("ts").cast("double"), (k + 1) / FILES).alias(f"e{k}") for k in range(FILES - 1))).head()
     step = sum((F.when(F.col("ts").cast("double") > e, 1).otherwise(0) for e in edges), F.lit(0))
     for k in range(FILES):  # files are taken in the order in which they were written
-        rows.filter(step == k).coalesce(1).write.mode("append").parquet(f"{at}/in")
+        rows.filter(step == k).repartition(STEP_FILES).write.mode("append").parquet(f"{at}/in")
     if closing:
         end = spark.range(1).select(F.lit(None).cast("long").alias("runner"), F.lit(-1).cast("long").alias("id"), F.lit(CLOSING).cast("timestamp").alias("ts"), F.lit(0.0).alias("speed"))
         end.coalesce(1).write.mode("append").parquet(f"{at}/in")
-    return S.gps_stream(spark, f"{at}/in", rows.schema, ["runner", "id"], "ts", "31 days", max_files=1), at
+    return S.gps_stream(spark, f"{at}/in", rows.schema, ["runner", "id"], "ts", "31 days", max_files=STEP_FILES), at
 
 
 def _collected(spark, stream, at):
@@ -97,10 +97,10 @@ def _own_state(spark):
 def _in_steps(spark, rows, step, at: str, steps: int = FILES, closing=None):
     """A stream of the rows with a trigger for each step, in their order, and a last one for the closing rows."""
     for k in range(steps):
-        rows.filter(step == k).coalesce(1).write.mode("append").parquet(at)
+        rows.filter(step == k).repartition(STEP_FILES).write.mode("append").parquet(at)
     if closing is not None:
         closing.coalesce(1).write.mode("append").parquet(at)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(at)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", STEP_FILES).parquet(at)
 
 
 def _closing(spark, schema, **known):
