@@ -52,17 +52,24 @@ def deal_out(df: DataFrame, keys: Sequence[str], at: str, hot_rows: int) -> Data
     hot = df.groupBy(*named).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > hot_rows)
     hashed = F.xxhash64(*(F.col(f.name) for f in df.schema.fields if not _has_map(f.dataType)))
     some = df.filter(F.col(at).isNotNull() & (F.pmod(hashed, F.lit(max(1, hot_rows // SEEN_PER_SLOT))) == 0))
-    own = some.select(*keys, _number(df, at).cast("double").alias("__v")).join(F.broadcast(hot), _same("", keys, "__e_"))
+    own = some.select(*keys, _number(df, at).cast("double").alias("__v"), hashed.alias("__h")).join(F.broadcast(hot), _same("", keys, "__e_"))
+    own = own.filter(F.pmod(F.xxhash64("__h"), F.greatest(F.lit(1), F.floor(F.col("__n") / (max(hot_rows, SEEN_PER_SLOT) * MOST_SLOTS)))) == 0)  # no more than the most slots need
     spots = [k / MOST_SLOTS for k in range(1, MOST_SLOTS)]
     edges = own.groupBy(*(f"__e_{k}" for k in keys)).agg(F.percentile("__v", spots).alias("__q"), F.first("__n").alias("__n"))
     slots = F.least(F.lit(MOST_SLOTS), F.ceil(F.col("__n") / hot_rows).cast("int"))
     borders = F.array_distinct(F.transform(F.sequence(F.lit(1), slots - 1), lambda i: F.get("__q", F.floor(i * MOST_SLOTS / slots).cast("int") - 1)))
     edges = edges.select(*(f"__e_{k}" for k in keys), borders.alias("__borders"))
     joined = df.join(F.broadcast(edges), _same("", keys, "__e_"), "left")
-    slot = F.when(F.col("__borders").isNull() | F.col(at).isNull(), 0).otherwise(F.size(F.filter("__borders", lambda b: b <= _number(df, at).cast("double"))))
+    slot = F.when(F.col("__borders").isNull() | F.col(at).isNull(), 0).otherwise(_upto(F.col("__borders"), _number(df, at).cast("double")))
     return joined.withColumns({"__slot": slot, "__hot": F.col("__borders").isNotNull()}).drop("__borders", *(f"__e_{k}" for k in keys))
 
 
+def _upto(borders: Column, value: Column) -> Column:
+    """How many of the sorted borders a value reaches, by halving, so that a row's work does not grow with them."""
+    halves = F.array(*(F.lit(1 << k) for k in reversed(range(MOST_SLOTS.bit_length()))))
+    return F.aggregate(halves, F.lit(0), lambda found, half: F.when(F.get(borders, found + half - 1) <= value, found + half).otherwise(found))
+
+
 def _has_map(kind: T.DataType) -> bool:
     """Whether a type cannot be hashed for holding a map."""
     if isinstance(kind, T.StructType):

@@ -5,6 +5,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from stridelake.operators import hot_keys, joins, windows
@@ -74,3 +75,27 @@ def test_empty_tables_stay_empty(spark):
     assert windows.locf(df, ["k"], ["at"], ["v"], hot_rows=5).count() == 0
     assert windows.prior_n(df, ["k"], ["at"], 2, {"s": F.sum("v")}, hot_rows=5).count() == 0
     assert joins.asof_join(df, df.withColumnRenamed("v", "x"), ["k"], "at", "at", ["x"], hot_rows=5).count() == 0
+
+
+@pytest.mark.parametrize("hot_rows", [None, 20])
+def test_filling_both_ways_gives_what_the_plain_windows_give(spark, hot_rows):
+    df = spark.createDataFrame(rows_with_a_hot_key(), SCHEMA)
+    w = Window.partitionBy("k").orderBy("at", "i")
+    ahead, back = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(0, Window.unboundedFollowing)
+    want = df.withColumns({c: F.coalesce(F.last(c, ignorenulls=True).over(ahead), F.first(c, ignorenulls=True).over(back)) for c in ("v", "w")})
+    same(windows.fill_both(df, ["k"], ["at", "i"], ["v", "w"], hot_rows), want)
+    got = windows.fill_both(df, ["k"], ["at", "i"], ["v"], hot_rows)
+    # A frame to the end of the group is evaluated anew for each row.
+    assert "unboundedfollowing" not in got._jdf.queryExecution().executedPlan().toString().lower().replace("$()", "")
+
+
+def test_a_row_finds_its_slot_by_halving(spark):
+    borders = F.array(*(F.lit(float(k)) for k in (2, 3, 5, 8, 8.5)))
+    got = spark.range(12).select("id", hot_keys._upto(borders, F.col("id").cast("double")).alias("n")).collect()
+    assert {r["id"]: r["n"] for r in got} == {k: sum(b <= k for b in (2, 3, 5, 8, 8.5)) for k in range(12)}
+    assert spark.range(1).select(hot_keys._upto(F.array().cast("array<double>"), F.lit(1.0))).head()[0] == 0
+    many = F.transform(F.sequence(F.lit(1), F.lit(hot_keys.MOST_SLOTS)), lambda k: k.cast("double"))
+    assert [r[0] for r in spark.range(998, 1003).select(hot_keys._upto(many, F.col("id").cast("double"))).collect()] == [998, 999, 1000, 1000, 1000]
+    dealt = hot_keys.deal_out(spark.range(300).select(F.lit(1).alias("k"), F.col("id").alias("at")), ["k"], "at", 20)
+    # A filter over the borders would look at each of them.
+    assert "filter(__borders" not in dealt._jdf.queryExecution().optimizedPlan().toString()
