@@ -99,11 +99,17 @@ def locf(df: DataFrame, by: Sequence[str], order: Sequence[str], cols: Sequence[
     return filled.drop("__slot", "__hot", *(f"__last_{c}" for c in cols))
 
 
-def fill_both(df: DataFrame, by: Sequence[str], order: Sequence[str], cols: Sequence[str]) -> DataFrame:
-    """Fill forward, then what is left backward."""
-    ahead = _series(by, order).rowsBetween(Window.unboundedPreceding, 0)
-    back = _series(by, order).rowsBetween(0, Window.unboundedFollowing)
-    return df.withColumns({c: F.coalesce(F.last(c, ignorenulls=True).over(ahead), F.first(c, ignorenulls=True).over(back)) for c in cols})
+def fill_both(df: DataFrame, by: Sequence[str], order: Sequence[str], cols: Sequence[str], hot_rows: int | None = None) -> DataFrame:
+    """Fill forward, then what is left backward.
+
+    Only values before the first known one are filled backward, so that value is one
+    aggregate of the group, joined back. With ``hot_rows`` a group of more rows is
+    dealt over tasks, as in ``locf``.
+    """
+    filled = locf(df, by, order, cols, include_current=True, suffix="__ahead", hot_rows=hot_rows)
+    place = F.struct(*order)
+    filled = add_group_stats(filled, by, {f"__first_{c}": F.min_by(c, F.when(F.col(c).isNotNull(), place)) for c in cols})
+    return filled.withColumns({c: F.coalesce(f"{c}__ahead", f"__first_{c}") for c in cols}).select(*df.columns)
 
 
 def gate_spans(df: DataFrame, keys: Sequence[str], order: Sequence[str], duration: str, t0: str) -> DataFrame:

@@ -44,7 +44,7 @@ def _(spark, d):
     from stridelake.operators.windows import fill_both
 
     x = runners(spark, d).withColumn("par", F.when(F.col("race") % 3 != 0, F.col("price")))
-    filled = fill_both(x, ["track", "surface"], ["race_date", "race", "num"], ["par"])
+    filled = fill_both(x.select("race", "num", "track", "surface", "race_date", "par"), ["track", "surface"], ["race_date", "race", "num"], ["par"], hot_rows=10_000)
     return rounded(C.impute_ladder(filled, ["par"], []).select("race", "num", "par"), "par", digits=4)
 
 
