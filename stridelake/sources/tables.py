@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stridelake.functions.parsing import gate_number
+from stridelake.sources.shared import folder, stored
 
 
 def snapshot(spark: SparkSession, sources: Mapping[str, str], out_dir: str, url: str, options: Mapping[str, str] | None = None, split: Mapping[str, tuple[str, int]] | None = None) -> dict[str, DataFrame]:
@@ -206,16 +207,19 @@ def read_xml_cards(spark: SparkSession, path: str, schema: str = CARD_SCHEMA, ro
     that is named several times one row stays, that with the greatest fields. In
     ``stats`` a row is known by ``owner`` (horse, jockey, ...), ``owner_key`` and
     ``type``; figures that are not there are 0.
+
+    Cards are parsed once and stored as Parquet in the shared folder, from which all
+    tables are read.
     """
     reader = spark.read.format("xml").option("rowTag", row_tag)
     if strict:
         whole = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BAD).schema(f"{schema}, {BAD} string").load(path)
         marked = whole.select(F.col("_metadata.file_name").alias("__file"), *whole.columns)
-        # Spark parses only the fields that a query asks for, and marks what it fails to parse; so each side asks for all.
-        read = F.pmod(F.xxhash64(*whole.columns), F.lit(2)) < 2
-        cards = marked.filter(F.col(BAD).isNull() & read).drop(BAD, "__file")
+        # Spark parses only the fields that a query asks for, and marks what it fails to parse; the stored rows have all.
+        marked = stored(marked, folder(spark, "cards"))
+        cards = marked.filter(F.col(BAD).isNull()).drop(BAD, "__file")
     else:
-        cards = reader.schema(schema).load(path)
+        cards = stored(reader.schema(schema).load(path), folder(spark, "cards"))
     races = cards.select(*(c for c in cards.columns if c != "horsedata"))
     key = ["track", "race_date", "race"]
     horses = cards.select(*key, F.explode("horsedata").alias("h")).select(*key, "h.*").withColumnRenamed("_number", "number")
@@ -237,8 +241,8 @@ def read_xml_cards(spark: SparkSession, path: str, schema: str = CARD_SCHEMA, ro
         out["stats"] = largest.select("owner", "owner_key", "type", "r.*")
     out["horses"] = horses.drop(*nested, *children)
     if strict:
-        bad = marked.filter(F.col(BAD).isNotNull() & read).select(F.col("__file").alias("file_name"), F.lit("malformed").alias("reason"), F.substring(BAD, 1, RECORD_CHARS).alias("record"))
-        out["rejects"] = bad.unionByName(_without_rows(spark, whole, marked.filter(read).select(F.col("__file").alias("file_name"))))
+        bad = marked.filter(F.col(BAD).isNotNull()).select(F.col("__file").alias("file_name"), F.lit("malformed").alias("reason"), F.substring(BAD, 1, RECORD_CHARS).alias("record"))
+        out["rejects"] = bad.unionByName(_without_rows(spark, whole, marked.select(F.col("__file").alias("file_name"))))
     return out
 
 
