@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from stridelake.operators.sets import union_by_name
@@ -23,6 +24,22 @@ def write_files(rows, at: str, key, value, begin: str, between: str, end: str) -
     files.repartition("f").write.partitionBy("f").text(at)
 
 
+def write_lines(rows, at: str, begin: str, value, end: str) -> None:
+    """Text files of a line for each row, between two lines of their own; as large as Spark deals rows out, so that their number grows with bytes and not with keys."""
+
+    def framed(batches):
+        kind = None
+        for batch in filter(len, batches):
+            if kind is None:
+                kind = batch.schema
+                yield pa.RecordBatch.from_arrays([pa.array([begin])], schema=kind)
+            yield batch
+        if kind is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([end])], schema=kind)
+
+    rows.select(value.alias("value")).hint("rebalance").mapInArrow(framed, "value string").write.mode("append").text(at)
+
+
 @add("k2_load_tables", "SELECT 'nation' AS name, count(*) AS n FROM nation UNION ALL SELECT 'supplier', count(*) FROM supplier")
 def _(spark, d):
     found = K.load_tables(spark, d, ["nation", "supplier", "no_such_table"])
@@ -83,7 +100,7 @@ def _(spark, d):
     races = runners(spark, d).groupBy("race", "track", "race_date").agg(F.array_join(F.array_sort(F.collect_list(horse)), "").alias("h"))
     card = F.concat(F.lit("<RACEDATA><RACE_DATE>"), F.date_format("race_date", "yyyyMMdd"), F.lit("</RACE_DATE><TRACK>"), "track", F.lit("</TRACK><RACE>"), F.col("race").cast("string"), F.lit("</RACE>"), "h", F.lit("</RACEDATA>"))
     at = folder(spark, "k6")
-    write_files(races, at, F.floor(F.col("race") / 2000), F.lower(card), "<cards>", "", "</cards>")
+    write_lines(races, at, "<cards>", F.lower(card), "</cards>")
     got = K.read_xml_cards(spark, at)
     key = ["track", "race", "program"]
     counts = got["workouts"].groupBy(*key).agg(F.count(F.lit(1)).alias("workouts"))
@@ -104,7 +121,7 @@ def _(spark, d):
     races = runners(spark, d).groupBy("race", "track", "race_date").agg(F.array_join(F.array_sort(F.collect_list(horse)), "").alias("h"))
     card = text("RACEDATA", F.concat(text("TRACK", "track"), text("RACE", "race"), F.col("h")))
     at = folder(spark, "k6c")
-    write_files(races, at, F.floor(F.col("race") / 100), F.lower(card), "<cards>", "", "</cards>")
+    write_lines(races, at, "<cards>", F.lower(card), "</cards>")
     got = K.read_xml_cards(spark, at)
     names = got["jockeys"].select(F.lit("jockey").alias("owner"), F.col("jock_key").alias("owner_key"), F.upper("jock_disp").alias("shown"))
     names = names.unionByName(got["trainers"].select(F.lit("trainer").alias("owner"), F.col("train_key").alias("owner_key"), F.upper("tran_disp").alias("shown")))
@@ -119,7 +136,7 @@ def _(spark, d):
     races = runners(spark, d).filter("finish <= 2").groupBy("race").agg(won.alias("w"))
     xml = F.concat(F.lit('<RACE NUMBER="'), F.col("race").cast("string"), F.lit('"><EXOTIC_WAGERS><WAGER NUMBER="1"><WAGER_TYPE>Exacta</WAGER_TYPE><WINNERS>'), "w", F.lit("</WINNERS><PAYOFF>12.5</PAYOFF></WAGER></EXOTIC_WAGERS></RACE>"))
     at = folder(spark, "k6w")
-    write_files(races, at, F.floor(F.col("race") / 2000), xml, "<chart>", "", "</chart>")
+    write_lines(races, at, "<chart>", xml, "</chart>")
     return K.read_exotic_wagers(spark, at).select("race_number", "wager_number", "wager_type", "winners")
 
 
