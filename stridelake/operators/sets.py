@@ -2,12 +2,30 @@
 
 from __future__ import annotations
 
+import math
+
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Rows that a task sorts or joins at once, on average.
+TASK_ROWS = 500_000
+
+
+def tasks_for(rows: int) -> int:
+    """Tasks over which so many rows are to be dealt."""
+    return math.ceil(rows / TASK_ROWS)
+
+
+def dealt(df: DataFrame, tasks: int | None, *keys: str) -> DataFrame:
+    """Rows dealt over tasks by their keys, if that takes more tasks than the session's shuffles have."""
+    if tasks is None or tasks <= int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        return df
+    return df.repartition(tasks, *keys)
+
+
 def union_by_name(*frames: DataFrame) -> DataFrame:
     """Union by column name; a column that a frame lacks is null there."""
     out = frames[0]

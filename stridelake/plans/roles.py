@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stridelake.operators.sets import dedupe
+from stridelake.operators.sets import dealt, dedupe, tasks_for
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,10 +19,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 LINE_ORDER = ["l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
 
 
-def runners(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per (race, num)."""
-    lines = dedupe(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"], LINE_ORDER)
-    orders = table(spark, sf_dir, "orders")
+def runner_tasks(spark: SparkSession, sf_dir: str) -> int:
+    """Tasks for the runners, by the number of order lines, which stands in the files' footers."""
+    return tasks_for(table(spark, sf_dir, "lineitem").count())
+
+
+def runners(spark: SparkSession, sf_dir: str, tasks: int | None = None) -> DataFrame:
+    """One row per (race, num). All that is done by race runs where a race's lines are dealt to, so it shuffles once."""
+    tasks = runner_tasks(spark, sf_dir) if tasks is None else tasks
+    lines = dealt(table(spark, sf_dir, "lineitem"), tasks, "l_orderkey")
+    lines = dedupe(lines, ["l_orderkey", "l_linenumber"], LINE_ORDER)
+    orders = dealt(table(spark, sf_dir, "orders"), tasks, "o_orderkey")
     finish = F.row_number().over(Window.partitionBy("race").orderBy(F.desc("price"), "num"))
     return (
         lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"])
