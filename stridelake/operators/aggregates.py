@@ -13,6 +13,7 @@ from stridelake.functions.numeric import rate
 from stridelake.operators.cleaning import with_group
 from stridelake.operators.joins import add_group_stats
 from stridelake.operators.quantiles import exact_quantiles
+from stridelake.operators.sets import dealt
 
 
 def ntile_pivot(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int, aggs: Mapping[str, Column]) -> DataFrame:
@@ -104,22 +105,23 @@ def finish_time(df: DataFrame, keys: Sequence[str], running: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.max(running).alias("finish_time"))
 
 
-def career_stats(events: DataFrame, entity: Sequence[str], date: str, outcome: str, amount: str, by: Sequence[str] = ()) -> DataFrame:
+def career_stats(events: DataFrame, entity: Sequence[str], date: str, outcome: str, amount: str, by: Sequence[str] = (), tasks: int | None = None) -> DataFrame:
     """Starts, finishes in the first four and earnings strictly before each date, by entity and more columns.
 
     Events of a date are summed first, map-side; then one range window over the
     days before. So no event of the date itself counts, and no dates are looped over.
+    Many events may be dealt over so many ``tasks``, by days first, so that a hot entity is too.
     """
     keys = [*entity, *by]
     at = lambda k: F.count_if(F.col(outcome) == k)
-    daily = events.groupBy(*keys, date).agg(
+    daily = dealt(events, tasks, *keys, date).groupBy(*keys, date).agg(
         F.count(F.lit(1)).alias("n"), at(1).alias("w"), at(2).alias("p"), at(3).alias("s"), at(4).alias("f"), F.sum(amount).alias("e"),
         *(F.sum(F.when(F.col(outcome) == k, F.col(amount))).alias(f"e{k}") for k in (1, 2, 3, 4)),
     )
     w = Window.partitionBy(*keys).orderBy(F.unix_date(date)).rangeBetween(Window.unboundedPreceding, -1)
     upto = lambda c: F.coalesce(F.sum(c).over(w), F.lit(0))
     names = {"n": "starts", "w": "wins", "p": "places", "s": "shows", "f": "fourths", "e": "earnings", "e1": "earnings_1", "e2": "earnings_2", "e3": "earnings_3", "e4": "earnings_4"}
-    out = daily.select(*keys, F.col(date).alias("as_of_date"), *(upto(c).alias(name) for c, name in names.items()))
+    out = dealt(daily, tasks, *keys).select(*keys, F.col(date).alias("as_of_date"), *(upto(c).alias(name) for c, name in names.items()))
     return out.withColumns({"win_pct": rate(F.col("wins"), F.col("starts")), "itm_pct": rate(F.col("wins") + F.col("places") + F.col("shows"), F.col("starts"))})
 
 

@@ -24,18 +24,19 @@ def with_global(df: DataFrame, aggs: Mapping[str, Column]) -> DataFrame:
 with_group = add_group_stats
 
 
-def impute_ladder(df: DataFrame, cols: Sequence[str], group: Sequence[str], stat: str = "mean", final: float | None = None, pre: Mapping[str, Column] | None = None, override: Column | None = None, override_value: float = 0.0) -> DataFrame:
+def impute_ladder(df: DataFrame, cols: Sequence[str], group: Sequence[str], stat: str = "mean", final: float | None = None, pre: Mapping[str, Column] | None = None, override: Column | None = None, override_value: float = 0.0, tasks: int | None = None) -> DataFrame:
     """Fill nulls by the group's statistic, then the table's, then a constant.
 
     ``override`` marks rows whose null is known to be ``override_value`` (a winner's
     margin); ``pre`` gives a value to try before the group, such as a carried one.
+    Rows may be dealt over so many ``tasks`` where they meet their groups.
     """
     kinds = [("__g_", group)] * bool(group) + [("__a_", ())]
     for prefix, by in kinds:
         if stat == "median":
-            df = with_quantiles(df, by, cols, (0.5,), prefix).withColumns({f"{prefix}{c}": F.get(f"{prefix}{c}", F.lit(0)) for c in cols})
+            df = with_quantiles(df, by, cols, (0.5,), prefix, tasks).withColumns({f"{prefix}{c}": F.get(f"{prefix}{c}", F.lit(0)) for c in cols})
         elif by:
-            df = with_group(df, by, {f"{prefix}{c}": F.avg(c) for c in cols})
+            df = with_group(df, by, {f"{prefix}{c}": F.avg(c) for c in cols}, tasks)
         else:
             df = with_global(df, {f"{prefix}{c}": F.avg(c) for c in cols})
     out = {}
@@ -126,16 +127,16 @@ def seed_unseen(history: DataFrame, future: DataFrame, key: str, cols: Sequence[
     return union_by_name(history.withColumn(flag, F.lit(0)), made)
 
 
-def carry_score(history: DataFrame, future: DataFrame, entity: str, date: str, score: str, race: Sequence[str]) -> DataFrame:
+def carry_score(history: DataFrame, future: DataFrame, entity: str, date: str, score: str, race: Sequence[str], tasks: int | None = None) -> DataFrame:
     """Score of future rows: the entity's latest at or before the date, else the race's median, else history's.
 
     Rows with the scores that they carry are stored, and medians of races of any
     size, those of a null race too, are joined back.
     """
-    seen = asof_join(future, history.select(entity, F.col(date).alias("__d"), F.col(score).alias("__s")), [entity], date, "__d", ["__s"], tie=["__s"])
+    seen = asof_join(future, history.select(entity, F.col(date).alias("__d"), F.col(score).alias("__s")), [entity], date, "__d", ["__s"], tie=["__s"], tasks=tasks)
     seen = stored(seen, folder(future.sparkSession, "carried"))
     overall = exact_quantiles(history, (), [score], (0.5,)).select(F.get(score, F.lit(0)).alias("__all"))
-    filled = with_quantiles(seen, race, ["__s"], (0.5,), "__of_race").join(F.broadcast(overall), how="left")  # one row
+    filled = with_quantiles(seen, race, ["__s"], (0.5,), "__of_race", tasks).join(F.broadcast(overall), how="left")  # one row
     return filled.withColumn(score, F.coalesce("__s", F.get("__of_race__s", F.lit(0)), "__all")).drop("__s", "__of_race__s", "__all")
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from stridelake.functions.clock import micros
 from stridelake.functions.geometry import line_distance
 from stridelake.operators import hot_keys
-from stridelake.operators.sets import union_by_name
+from stridelake.operators.sets import dealt, union_by_name
 from stridelake.sources.shared import folder, stored
 
 
@@ -35,14 +35,15 @@ def merge_races(card: DataFrame, results: DataFrame, listed: DataFrame, keys: Se
     return out.dropDuplicates(list(keys))
 
 
-def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], l_ts: str, r_ts: str, columns: Sequence[str], how: str = "left", strict: bool = False, direction: str = "backward", tie: Sequence[str] = (), hot_rows: int | None = None) -> DataFrame:
+def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], l_ts: str, r_ts: str, columns: Sequence[str], how: str = "left", strict: bool = False, direction: str = "backward", tie: Sequence[str] = (), hot_rows: int | None = None, tasks: int | None = None) -> DataFrame:
     """For each left row the latest right row at or before it (``forward``: the first at or after).
 
     Both sides are united and sorted once per key, and the last right row is
     carried along: no pairs are made. ``strict`` leaves out rows of the same time.
     Of right rows of one time the last by ``tie`` counts. Null keys meet nothing.
     With ``hot_rows`` a key of more rows is dealt over tasks by slots of time, and
-    the last right row of the slots before is carried in.
+    the last right row of the slots before is carried in. Many rows may be dealt over
+    so many ``tasks``.
     """
     ahead = direction == "forward"
     apart = left.filter(~_known(keys))  # rows of one null key would meet in one task
@@ -57,6 +58,7 @@ def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], l_ts: str,
         both = hot_keys.deal_out(both, keys, "__ts", hot_rows)
         both = hot_keys.carried(both, keys, ["__ts", *(f"__t{k}" for k in range(len(tie)))], {"__far": F.col("__r")}, ahead)
     parts = [*keys, "__slot"] if hot_rows is not None else keys
+    both = dealt(both, tasks, *parts)
     window = Window.partitionBy(*parts).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     near = F.last("__r", ignorenulls=True).over(window)
     carried = both.withColumn("__m", near if hot_rows is None else F.coalesce(near, "__far")).filter(F.col("__l").isNotNull())
@@ -138,8 +140,15 @@ def fully_matched_groups(left: DataFrame, right: DataFrame, by: Sequence[str], o
     return left.join(lacking, list(by), "left_anti")
 
 
-def add_group_stats(df: DataFrame, by: Sequence[str], aggs: dict[str, Column]) -> DataFrame:
-    """Group aggregates beside the rows, for groups of any size: summed map-side and joined back. Null keys are a group."""
+def add_group_stats(df: DataFrame, by: Sequence[str], aggs: dict[str, Column], tasks: int | None = None) -> DataFrame:
+    """Group aggregates beside the rows, for groups of any size: summed map-side and joined back. Null keys are a group.
+
+    With ``tasks`` both sides of the join may be dealt over so many. Keys are then a struct, in which nulls are equal.
+    """
+    if tasks is not None:
+        keyed = df.withColumn("__by", F.struct(*by))
+        stats = keyed.groupBy("__by").agg(*(a.alias(n) for n, a in aggs.items()))
+        return dealt(keyed, tasks, "__by").join(dealt(stats, tasks, "__by"), "__by", "left").drop("__by")
     stats = df.groupBy(*(F.col(k).alias(f"__k_{k}") for k in by)).agg(*(a.alias(n) for n, a in aggs.items()))
     return df.join(stats, [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in by], "left").drop(*(f"__k_{k}" for k in by))
 
@@ -166,7 +175,7 @@ def distance_to_lines(points: DataFrame, routes: DataFrame, on: str, lon: str =
     return joined.withColumns({f"{k.lower()}_m": line_distance(F.col(lon), F.col(lat), F.col(f"__{k}")) for k in kinds}).drop(*(f"__{k}" for k in kinds))
 
 
-def restrict_history(history: DataFrame, future: DataFrame, key: str, flag: str = "data_flag") -> DataFrame:
-    """History of the entities that are to come, stacked on them, with a flag."""
-    own = history.join(future.select(key).distinct(), key, "left_semi")
+def restrict_history(history: DataFrame, future: DataFrame, key: str, flag: str = "data_flag", tasks: int | None = None) -> DataFrame:
+    """History of the entities that are to come, stacked on them, with a flag. Many rows may be dealt over so many ``tasks``."""
+    own = dealt(history, tasks, key).join(future.select(key).distinct(), key, "left_semi")
     return union_by_name(own.withColumn(flag, F.lit("historical")), future.withColumn(flag, F.lit("future")))

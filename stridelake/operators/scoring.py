@@ -15,10 +15,10 @@ from stridelake.operators.quantiles import exact_quantiles, with_quantiles
 from stridelake.operators.windows import elapsed, rank_in_group, softmax
 
 
-def class_multiplier(df: DataFrame, rating: str, race: Sequence[str], low: float = 0.95, high: float = 1.15) -> DataFrame:
-    """Class rating scaled to [low, high] over the table, and half its distance from the median."""
+def class_multiplier(df: DataFrame, rating: str, race: Sequence[str], low: float = 0.95, high: float = 1.15, tasks: int | None = None) -> DataFrame:
+    """Class rating scaled to [low, high] over the table, and half its distance from the median. Many rows may be dealt over so many ``tasks``."""
     df = df.withColumn("__r", F.col(rating).cast("double"))
-    df = impute_ladder(df, ["__r"], race)
+    df = impute_ladder(df, ["__r"], race, tasks=tasks)
     df = with_global(df, {"__lo": F.min("__r"), "__hi": F.max("__r")})
     df = with_quantiles(df, (), ["__r"], (0.5,), "__md").withColumn("__md", F.get("__md__r", F.lit(0))).drop("__md__r")
     scaled = low + F.try_divide((F.col("__r") - F.col("__lo")) * (high - low), F.col("__hi") - F.col("__lo"))

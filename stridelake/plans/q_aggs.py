@@ -8,7 +8,7 @@ from stridelake.operators import aggregates as A
 from stridelake.operators.windows import kinematics, path_length
 from stridelake.plans.q_joins import ROUTES, routes
 from stridelake.plans.q_windows import KINEMATICS, SERIES
-from stridelake.plans.roles import POINTS, RUNNERS, Group, points, rounded, runners, table
+from stridelake.plans.roles import POINTS, RUNNERS, Group, points, rounded, runner_tasks, runners, table
 
 GROUP = Group()
 QUERIES = GROUP.QUERIES
@@ -86,7 +86,8 @@ def _career_sql(keys: str) -> str:
 
 
 def _career(spark, d, entity, by=()):
-    out = A.career_stats(runners(spark, d), entity, "race_date", "finish", "earnings", by)
+    tasks = runner_tasks(spark, d)
+    out = A.career_stats(runners(spark, d, tasks), entity, "race_date", "finish", "earnings", by, tasks)
     return rounded(out, "earnings", "earnings_1", "earnings_2", "earnings_3", "earnings_4", "win_pct", "itm_pct")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from stridelake.functions.numeric import relevance
 from stridelake.operators import cleaning as C
 from stridelake.operators.windows import locf
-from stridelake.plans.roles import POINTS, RUNNERS, Group, points, rounded, runners, table
+from stridelake.plans.roles import POINTS, RUNNERS, Group, points, rounded, runner_tasks, runners, table
 
 GROUP = Group()
 QUERIES = GROUP.QUERIES
@@ -124,9 +124,10 @@ def _(spark, d):
   j AS (SELECT f.race, f.num, s.score FROM f ASOF LEFT JOIN s ON f.trainer = s.trainer AND f.race_date >= s.race_date), m AS (SELECT race, quantile_cont(score, 0.5) AS m FROM j GROUP BY race)
   SELECT race, num, round(coalesce(score, m, (SELECT quantile_cont(score, 0.5) FROM h)), 6) AS score FROM j JOIN m USING (race)""")
 def _(spark, d):
-    r = runners(spark, d)
+    tasks = runner_tasks(spark, d)
+    r = runners(spark, d, tasks)
     future = r.filter("race_date >= date'1998-01-01'").select("race", "num", "trainer", "race_date")
-    out = C.carry_score(r.filter("race_date < date'1998-01-01'"), future, "trainer", "race_date", "score", ["race"])
+    out = C.carry_score(r.filter("race_date < date'1998-01-01'"), future, "trainer", "race_date", "score", ["race"], tasks)
     return rounded(out.select("race", "num", "score"), "score")
 
 

@@ -8,7 +8,7 @@ from stridelake.functions.clock import micros
 from stridelake.operators import joins
 from stridelake.operators.aggregates import career_stats
 from stridelake.operators.windows import gate_spans
-from stridelake.plans.roles import POINTS, RUNNERS, Group, points, rounded, runners, table
+from stridelake.plans.roles import POINTS, RUNNERS, Group, points, rounded, runner_tasks, runners, table
 
 GROUP = Group()
 QUERIES = GROUP.QUERIES
@@ -200,8 +200,9 @@ def _(spark, d):
 @add("j12_restrict_history", R + """, h AS (SELECT * FROM runners WHERE race_date < DATE '2000-01-01'), f AS (SELECT * FROM runners WHERE race_date >= DATE '2000-01-01')
   SELECT race, num, 'historical' AS data_flag FROM h WHERE jockey IN (SELECT jockey FROM f) UNION ALL SELECT race, num, 'future' FROM f""")
 def _(spark, d):
-    r = runners(spark, d)
-    return joins.restrict_history(r.filter("race_date < date'2000-01-01'"), r.filter("race_date >= date'2000-01-01'"), "jockey").select("race", "num", "data_flag")
+    tasks = runner_tasks(spark, d)
+    r = runners(spark, d, tasks)
+    return joins.restrict_history(r.filter("race_date < date'2000-01-01'"), r.filter("race_date >= date'2000-01-01'"), "jockey", tasks=tasks).select("race", "num", "data_flag")
 
 
 @add("w11_gate_spans", P + """, s AS (SELECT *, sum(speed) OVER (PARTITION BY runner ORDER BY ts, id) AS upto, min(ts) OVER (PARTITION BY runner) AS t0 FROM points)

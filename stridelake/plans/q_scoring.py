@@ -8,7 +8,7 @@ from stridelake.functions.geometry import haversine, line_distance
 from stridelake.functions.numeric import _A, _B, _C, _D, inv_norm
 from stridelake.operators import scoring as S
 from stridelake.operators.windows import rank_in_group
-from stridelake.plans.roles import POINTS, RUNNERS, SECONDS, Group, points, rounded, runners
+from stridelake.plans.roles import POINTS, RUNNERS, SECONDS, Group, points, rounded, runner_tasks, runners
 
 GROUP = Group()
 QUERIES = GROUP.QUERIES
@@ -21,8 +21,9 @@ TS = SECONDS.format("ts")
   s AS (SELECT min(r) AS lo, max(r) AS hi, quantile_cont(r, 0.5) AS md FROM f)
   SELECT race, num, round(0.95::DOUBLE + (r - lo) * (1.15::DOUBLE - 0.95::DOUBLE) / (hi - lo), 6) AS class_multiplier, round((r - md) / 2, 3) AS class_offset FROM f, s""")
 def _(spark, d):
-    r = runners(spark, d).withColumn("rating", F.when(F.col("num") % 4 != 0, F.col("price")))
-    return rounded(rounded(S.class_multiplier(r, "rating", ["race"]).select("race", "num", "class_multiplier", "class_offset"), "class_multiplier"), "class_offset", digits=3)
+    tasks = runner_tasks(spark, d)
+    r = runners(spark, d, tasks).withColumn("rating", F.when(F.col("num") % 4 != 0, F.col("price")))
+    return rounded(rounded(S.class_multiplier(r, "rating", ["race"], tasks=tasks).select("race", "num", "class_multiplier", "class_offset"), "class_multiplier"), "class_offset", digits=3)
 
 
 @add("m2_haversine", P + """, y AS (SELECT id, pow(sin((radians(lat) - radians(38.1::DOUBLE)) / 2), 2) + cos(radians(38.1::DOUBLE)) * cos(radians(lat)) * pow(sin(radians(lon + 84.5::DOUBLE) / 2), 2) AS h FROM points)
