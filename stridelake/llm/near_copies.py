@@ -11,6 +11,12 @@ Jaccard similarity of the shingles themselves, so no pair that is less alike is
 
 Of a bucket only a minimum spanning forest of its close pairs goes on, never all
 pairs; shorter distances first, so that pairs surely alike hold a group together.
+
+An exact pass then finds the links that sampling or the forests left out. Alike sets
+share one of their first fifth of shingles in any order that is the same for all; here
+frequent ones come last. So texts of different components meet by those; sizes, places
+and a sketch of parities, which differs in no more bits than the sets in shingles,
+prune them without loss before the exact check.
 """
 
 from __future__ import annotations
@@ -39,6 +45,12 @@ SMALL_BUCKET, LARGE_BUCKET = 48, 16_384
 #: Texts that a task turns into sets of shingles at once.
 SLICE_ROWS = 500
 
+#: One in so many texts is counted to tell frequent shingles, from so many holders there on, and the most that are told.
+#: These only set the order of shingles, so they do not change which links are found.
+SAMPLED, FREQUENT, MOST_FREQUENT = 16, 4, 65_536
+#: Words of a sketch of parities.
+SKETCH = 8
+
 _BITS_OF = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 _PLACES = np.arange(BITS // 8, dtype=np.int64) * 256
 _SEED = 20_011
@@ -70,10 +82,11 @@ def wide_fingerprint(hashes: np.ndarray) -> bytes:
     return np.packbits(2 * (seen @ _BITS_OF).ravel() > len(hashes), bitorder="little").tobytes()
 
 
-@F.pandas_udf(T.BinaryType())
-def wide_fingerprints(texts: pd.Series) -> pd.Series:
-    """Fingerprints of whole texts; nothing else of a row goes to Python."""
-    return pd.Series([wide_fingerprint(shingle_set(t)) for t in texts], dtype=object)
+@F.pandas_udf(T.StructType([T.StructField("fp", T.BinaryType()), T.StructField("same", T.BinaryType())]))
+def wide_fingerprints(texts: pd.Series) -> pd.DataFrame:
+    """Fingerprints of whole texts, and digests that tell their sets of shingles apart; nothing else of a row goes to Python."""
+    sets = [shingle_set(t) for t in texts]
+    return pd.DataFrame({"fp": [wide_fingerprint(s) for s in sets], "same": [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]}, dtype=object)
 
 
 def flip_share(similarity: float) -> float:
@@ -263,29 +276,106 @@ def confirmed(edges: DataFrame, texts: DataFrame, scratch: Scratch, similarity:
     return both.filter(shared >= F.lit(similarity) * (F.size("x") + F.size("y") - shared) - 1e-9).select("a", "b")
 
 
+def frequent_shingles(texts: DataFrame) -> np.ndarray:
+    """Shingles that many of the sampled texts hold, sorted, with ranks of which the rarest has the first; a bounded list."""
+    sample = texts.filter(F.pmod(F.xxhash64("node"), F.lit(SAMPLED)) == 0)
+    counts = sample.mapInArrow(_shingle, "node long, shingles array<long>").select(F.explode("shingles").alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("n"))
+    most = counts.filter(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "h").limit(MOST_FREQUENT).collect()
+    hashes = np.array([r["h"] for r in most][::-1], np.int64).view(np.uint64)
+    out = np.empty(len(hashes), [("h", np.uint64), ("rank", np.int64)])
+    out["h"], out["rank"] = hashes, np.arange(len(hashes))
+    return np.sort(out, order="h")
+
+
+def first_shingles(own: np.ndarray, frequent: np.ndarray, similarity: float) -> np.ndarray:
+    """The first shingles of a sorted set, frequent ones last, of which any two alike sets share one.
+
+    ``frequent`` has the frequent shingles, sorted, and their ranks.
+    """
+    if not len(own):
+        return own
+    n = len(own) - math.ceil(similarity * len(own) - 1e-9) + 1
+    if not len(frequent):
+        return own[:n]
+    at = np.minimum(np.searchsorted(frequent["h"], own), len(frequent) - 1)
+    common = frequent["h"][at] == own
+    first = own[~common][:n]
+    return first if len(first) == n else np.concatenate([first, own[common][np.argsort(frequent["rank"][at[common]])][: n - len(first)]])
+
+
+def parities(own: np.ndarray) -> np.ndarray:
+    """How often each bit is hit by the shingles of a set, even or odd, as words."""
+    odd = np.bincount((own >> np.uint64(17)).astype(np.int64) % (64 * SKETCH), minlength=64 * SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
+def _signed(frequent: np.ndarray, similarity: float):
+    """A task: texts to the number of their shingles, the first of them, and their sketch."""
+    names = ["node", "n", "first", *(f"s{k}" for k in range(SKETCH))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for low in range(0, whole.num_rows, SLICE_ROWS):
+                batch = whole.slice(low, SLICE_ROWS)
+                sets = [shingle_set(t.as_py()) for t in batch.column("text")]
+                first = pa.array([first_shingles(s, frequent, similarity).view(np.int64) for s in sets], pa.list_(pa.int64()))
+                sketch = np.stack([parities(s) for s in sets], axis=1)
+                yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array([len(s) for s in sets], pa.int32()), first, *(pa.array(s) for s in sketch)], names=names)
+
+    return run
+
+
+def left_out(texts: DataFrame, placed: DataFrame, scratch: Scratch, similarity: float = SIMILARITY) -> DataFrame:
+    """Edges (a, b) between the nodes of different components, ``placed`` (node, component), that may be alike: none that is gets lost.
+
+    Texts of a frequent shingle meet in a join that Spark may split and spill, pair after pair, so no task holds them.
+    """
+    signs = ", ".join(f"s{k} long" for k in range(SKETCH))
+    signed = scratch.save(texts.mapInArrow(_signed(frequent_shingles(texts), similarity), f"node long, n int, first array<long>, {signs}"), "signed")
+    held = signed.join(placed, "node").select("node", "component", "n", F.posexplode("first").alias("at", "h"))
+    held = scratch.save(held.repartition("h"), "first")
+    other = held.select(*(F.col(c).alias(f"{c}_") for c in held.columns))
+    # Behind the place where they meet, sets can share no more than what is left of the shorter.
+    need = F.lit(similarity / (1 + similarity)) * (F.col("n") + F.col("n_")) - 1e-6
+    reach = F.least(F.col("n") - F.col("at"), F.col("n_") - F.col("at_"))
+    pairs = held.join(other, (F.col("h") == F.col("h_")) & (F.col("node") < F.col("node_")) & (F.col("component") != F.col("component_"))).filter(
+        (F.least("n", "n_") >= F.lit(similarity) * F.greatest("n", "n_") - 1e-6) & (reach >= need)
+    )
+    pairs = scratch.save(pairs.select(F.col("node").alias("a"), F.col("node_").alias("b")).distinct(), "met")
+    of = lambda end: signed.select(F.col("node").alias(end), F.col("n").alias(f"n_{end}"), *(F.col(f"s{k}").alias(f"s{k}_{end}") for k in range(SKETCH)))
+    apart = sum((F.bit_count(F.col(f"s{k}_a").bitwiseXOR(F.col(f"s{k}_b"))) for k in range(SKETCH)), F.lit(0))
+    most = F.lit((1 - similarity) / (1 + similarity)) * (F.col("n_a") + F.col("n_b")) + 1e-6
+    return scratch.save(pairs.join(of("a"), "a").join(of("b"), "b").filter(apart <= most).select("a", "b"), "left-out")
+
+
 def near_copies(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
     """One row of each component of near copies, that with the smallest id, with all its columns of any name and type.
 
     Texts are linked if their sets of five-word shingles (A-Z lower-cased, fewer
-    words are one shingle) have a Jaccard similarity of ``similarity`` or more; of
-    pairs of just that similarity the stated share is found, of closer ones nearly
-    all. Texts without words are alike. A null id comes last; of rows that share the
+    words are one shingle) have a Jaccard similarity of ``similarity`` or more. The
+    stated share of pairs of just that similarity, and nearly all closer ones, are
+    found by their fingerprints; an exact pass finds the rest. Texts without words are alike. A null id comes last; of rows that share the
     smallest id one stays; a null text is an empty one; rows that repeat are one
     node. An empty table gives no rows. Rows are stored once as structs with a
     number, by which those that go are joined out.
     """
     whole = F.struct(*(F.col(quoted(c)) for c in docs.columns)).alias("row")
     signed = wide_fingerprints(F.coalesce(F.col(quoted(text)).cast("string"), F.lit(""))).alias("fp")
-    rows = scratch.save(docs.select(whole, F.monotonically_increasing_id().alias("row_no"), signed), "rows")
+    rows = scratch.save(docs.select(whole, F.monotonically_increasing_id().alias("row_no"), signed).select("row", "row_no", "fp.*"), "rows")
     identity = F.col("row").getField(doc_id)
     place = F.struct(identity.isNull().alias("last"), identity.alias("id"), F.col("row_no"))
-    nodes = scratch.save(rows.groupBy("fp").agg(F.min(place).alias("least"), F.min("row_no").alias("node")), "nodes")
+    nodes = scratch.save(rows.groupBy("same").agg(F.min(place).alias("least"), F.min("row_no").alias("node"), F.first("fp").alias("fp")), "nodes")
     edges = scratch.save(close_pairs(nodes.select("node", "fp"), scratch, similarity, recall), "edges")
     texts = rows.select(F.col("row_no").alias("node"), F.coalesce(F.col("row").getField(text).cast("string"), F.lit("")).alias("text"))
-    linked = connected_components(confirmed(edges, texts, scratch, similarity), scratch)
-    rooted = nodes.join(linked, "node", "left").select("fp", "least", F.coalesce("component", "node").alias("root"))
+    sure = scratch.save(confirmed(edges, texts, scratch, similarity), "sure")
+    linked = connected_components(sure, scratch)
+    placed = scratch.save(nodes.select("node").join(linked, "node", "left").select("node", F.coalesce("component", "node").alias("component")), "placed")
+    rest = Scratch(docs.sparkSession, "near-rest")
+    more = confirmed(left_out(texts, placed, scratch, similarity), texts, rest, similarity)
+    linked = connected_components(scratch.save(sure.unionByName(more), "links"), rest)
+    rooted = nodes.join(linked, "node", "left").select("same", "least", F.coalesce("component", "node").alias("root"))
     rooted = scratch.save(rooted, "rooted")
     first = rooted.groupBy("root").agg(F.min("least").alias("first"))
-    stay = scratch.save(rooted.join(first, "root").select("fp", F.col("first.row_no").alias("stay")), "stay")
-    gone = scratch.save(rows.select("fp", "row_no").join(stay, "fp").filter("row_no <> stay").select("row_no"), "gone")
+    stay = scratch.save(rooted.join(first, "root").select("same", F.col("first.row_no").alias("stay")), "stay")
+    gone = scratch.save(rows.select("same", "row_no").join(stay, "same").filter("row_no <> stay").select("row_no"), "gone")
     return rows.join(gone, "row_no", "left_anti").select("row.*")

@@ -104,3 +104,15 @@ def test_recall_against_all_pairs_of_the_given_documents(spark):
     # Of a pair at most one stays.
     found = sum(not (a in kept and b in kept) for a, b in true)
     assert found >= 0.95 * len(true), (found, len(true))
+
+
+def test_no_link_is_left_out_whatever_the_fingerprints_miss(spark, monkeypatch):
+    monkeypatch.setattr(near_copies, "SAMPLED", 1)
+    rows = corpus()
+    rng = random.Random(8)
+    # Texts that share most of their words, many of them at the border of the similarity.
+    base = rng.choices([f"v{k}" for k in range(400)], k=120)
+    rows += [(20_000 + k, " ".join(base[:cut] + [f"u{k}_{j}" for j in range(120 - cut)])) for k, cut in enumerate([120, 110, 109, 108, 107, 106, 105, 100, 60])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = near_copies.near_copies(docs, Scratch(spark, "test-whole"), recall=0.01)
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in got.collect()) == kept_by_brute_force(rows)
