@@ -132,10 +132,9 @@ def _(spark, d):
     edges = r.agg(*(F.percentile_approx(F.unix_date("race_date"), k / FILES).alias(f"e{k}") for k in range(1, FILES))).head()
     step = sum((F.when(F.unix_date("race_date") > e, 1).otherwise(0) for e in edges), F.lit(0))
     stream = _in_steps(spark, r, F.when(F.dayofmonth("race_date") == 13, FILES - 1).otherwise(step), f"{at}/in")
-    running = stateful.stream_career(stateful.career_events(stream, KINDS, "race_date", "finish", "earnings"))
-    with _own_state(spark):
-        S.stream_upsert(running, f"{at}/table", ["stat_type", "entity", "as_of_date"], [], f"{at}/check").awaitTermination()
-    out = S.current_version(spark, f"{at}/table")
+    events = stateful.career_events(stream, KINDS, "race_date", "finish", "earnings")
+    stateful.keep_career(events, f"{at}/table", f"{at}/check").awaitTermination()
+    out = stateful.career_columns(S.current_version(spark, f"{at}/table"))
     return rounded(rounded(out, "earnings", "earnings_1", "earnings_2", "earnings_3", "earnings_4", digits=4), "win_pct", "itm_pct")
 
 

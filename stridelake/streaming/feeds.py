@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -43,13 +43,18 @@ def stream_upsert(stream: DataFrame, target: str, keys: Sequence[str], order: Se
     is an error and not an empty table. Versions before the last two are deleted.
     ``current_version`` reads the table.
     """
+    return stream_merge(stream, target, lambda before, batch: upsert(batch.limit(0) if before is None else before, batch, keys, order), checkpoint, name)
+
+
+def stream_merge(stream: DataFrame, target: str, merge: Callable[[DataFrame | None, DataFrame], DataFrame], checkpoint: str, name: str = "table") -> StreamingQuery:
+    """Versions of a table as in ``stream_upsert``, where ``merge`` gives the next of the one before, None at first, and a micro-batch."""
     spark = stream.sparkSession
 
     def put(batch: DataFrame, epoch: int) -> None:
         if epoch and not _there(spark, f"{target}/{name}-v{epoch - 1}/_SUCCESS"):
             raise ValueError(f"version {epoch - 1} of {target} is not there")
-        first = batch.sparkSession.read.schema(batch.schema).parquet(f"{target}/{name}-v{epoch - 1}") if epoch else batch.limit(0)
-        upsert(first, batch, keys, order).write.mode("overwrite").parquet(f"{target}/{name}-v{epoch}")
+        before = batch.sparkSession.read.parquet(f"{target}/{name}-v{epoch - 1}") if epoch else None
+        merge(before, batch).write.mode("overwrite").parquet(f"{target}/{name}-v{epoch}")
         old = spark._jvm.org.apache.hadoop.fs.Path(f"{target}/{name}-v{epoch - 2}")
         old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
 
