@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from stridelake.functions.geometry import METRES_PER_DEGREE, segment_distance
 from stridelake.sources.shared import folder, stored
 
+#: Legs that a point meets in its cell on average, and cells of a leg on average, at most; beyond the first, the first level's cells are
+#: made finer as long as the second holds.
+CELL_LEGS, LEG_CELLS = 64, 256
 #: Each level's cells are so many times as wide as those of the level before; the last one's cover the globe.
 STEP = 4
 
@@ -41,6 +44,19 @@ def _cells(g: float) -> Column:
     return F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(0), pieces - 1), around)))
 
 
+def _first_width(legs: DataFrame, keys: Sequence[str], g: float) -> float:
+    """The width of the first grid's cells: finer where a cell has too many legs on average, all cells taken together."""
+    while True:
+        held = legs.select(*(f"__{k}" for k in keys), F.explode(_cells(g)).alias("c")).groupBy(*(f"__{k}" for k in keys), "c.x", "c.y").agg(F.count(F.lit(1)).alias("n"))
+        got = held.agg(F.sum("n").alias("all"), F.count(F.lit(1)).alias("cells")).head()
+        if not got["cells"] or got["all"] <= CELL_LEGS * got["cells"]:
+            return g
+        n = legs.count()
+        if got["all"] * STEP > LEG_CELLS * n:
+            return g
+        g /= STEP
+
+
 def nearest_segment(points: DataFrame, lines: DataFrame, keys: Sequence[str], line_id: str, lon: str = "lon", lat: str = "lat", line: str = "line", cell_m: float = 200.0) -> DataFrame:
     """Points with the nearest leg of all lines of their keys: ``line_id``, ``segment`` and ``distance_m``; exact.
 
@@ -48,7 +64,9 @@ def nearest_segment(points: DataFrame, lines: DataFrame, keys: Sequence[str], li
     a point looks into its own cell alone. What it finds there is the nearest if it
     is no farther than a cell is wide; the other points go on to a grid of wider
     cells, and the last grid has the globe in one cell. So a point meets the legs
-    around it, not all of its course; without keys it looks among all lines.
+    around it, not all of its course; without keys it looks among all lines. Where
+    legs are dense the first grid is finer than ``cell_m``. Legs of one place count
+    once, by the first of them, and so do points of one place.
 
     Distances are those of ``line_distance``. Ties go to the smaller line_id, then
     to the first leg. Points without a place, or whose keys have no line, get nulls.
@@ -56,11 +74,17 @@ def nearest_segment(points: DataFrame, lines: DataFrame, keys: Sequence[str], li
     """
     spark = points.sparkSession
     at = folder(spark, "nearest")
-    legs = stored(segments(lines, keys, line_id, line).select(*(F.col(k).alias(f"__{k}") for k in keys), "line_id", "segment", "lon1", "lat1", "lon2", "lat2"), f"{at}/legs")
+    legs = segments(lines, keys, line_id, line).select(*(F.col(k).alias(f"__{k}") for k in keys), "line_id", "segment", "lon1", "lat1", "lon2", "lat2")
+    place = [*(f"__{k}" for k in keys), "lon1", "lat1", "lon2", "lat2"]
+    least = legs.groupBy(*place).agg(F.min(F.struct("line_id", "segment")).alias("l"))
+    legs = stored(least.select(*place, "l.line_id", "l.segment"), f"{at}/legs")
     rows = points.select(F.struct(*points.columns).alias("__row"), *(F.col(k).alias(f"__k_{k}") for k in keys), F.col(lon).cast("double").alias("__lon"), F.col(lat).cast("double").alias("__lat"))
-    rows = stored(rows.withColumn("__no", F.monotonically_increasing_id()), f"{at}/points")
-    left = rows.filter("__lon is not null and __lat is not null").drop("__row")
-    found, level, g = None, 0, cell_m / METRES_PER_DEGREE
+    rows = stored(rows, f"{at}/points")
+    spots = [*(f"__k_{k}" for k in keys), "__lon", "__lat"]
+    left = rows.filter("__lon is not null and __lat is not null").select(*spots).distinct()
+    left = stored(left.withColumn("__no", F.monotonically_increasing_id()), f"{at}/spots")
+    numbered = left
+    found, level, g = None, 0, _first_width(legs, keys, cell_m / METRES_PER_DEGREE)
     while True:
         whole = g > 360
         here = left.withColumns({"x": F.floor(F.col("__lon") / g).cast("long"), "y": F.floor(F.col("__lat") / g).cast("long")})
@@ -79,4 +103,6 @@ def nearest_segment(points: DataFrame, lines: DataFrame, keys: Sequence[str], li
         if left.isEmpty():
             break
         g, level = g * STEP, level + 1
-    return rows.join(found, "__no", "left").select("__row.*", "line_id", "segment", "distance_m")
+    of_spots = numbered.join(found, "__no").select(*(F.col(c).alias(f"{c}_") for c in spots), "line_id", "segment", "distance_m")
+    on = [F.col(c) == F.col(f"{c}_") for c in spots]
+    return rows.join(of_spots, on, "left").select("__row.*", "line_id", "segment", "distance_m")

@@ -81,3 +81,15 @@ def test_progress_does_not_run_back(spark):
     assert along[3] is None and along[2] < along[1] and progress == [along[0], along[1], along[1], along[1], along[4]]
     assert got["h", 0]["ground_loss_m"] == 0 and got["h", 2]["ground_loss_m"] == pytest.approx(0.01 * METRES, rel=1e-6)
     assert got["h2", 0]["along_m"] is None and got["h3", 0]["progress_m"] is None
+
+
+def test_dense_legs_get_a_finer_grid_and_repeats_count_once(spark):
+    from stridelake.operators import nearest
+
+    shape = [((i % 20) * 1e-4, (i // 20) * 1e-4) for i in range(400)]
+    lines = spark.createDataFrame([(k, [(x, y), (x + 1e-5, y + 1e-5)]) for k, (x, y) in enumerate(shape * 2)], "k int, line array<struct<lon:double,lat:double>>")
+    legs = nearest.segments(lines, [], "k").drop("k")
+    assert nearest._first_width(legs, [], 0.01) < 0.01
+    points = spark.createDataFrame([(i, 5e-4, 5e-4) for i in range(9)] + [(9, 1e-4, 0.0), (10, None, 0.0)], "id int, lon double, lat double")
+    got = {r["id"]: (r["line_id"], r["segment"]) for r in nearest_segment(points, lines, [], "k", cell_m=1000.0).collect()}
+    assert got == {**{i: (105, 0) for i in range(9)}, 9: (1, 0), 10: (None, None)}
