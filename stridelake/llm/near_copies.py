@@ -252,7 +252,10 @@ def close_pairs(nodes: DataFrame, scratch: Scratch, similarity: float = SIMILARI
         edges = own if edges is None else edges.unionByName(own)
         large = linked.filter("over")
         if large.isEmpty():
-            return edges.distinct()
+            edges = scratch.save(edges.distinct(), "edges")
+            for k in range(level + 1):
+                scratch.drop(f"close-{k}")
+            return edges
         rows = large.select(F.col("a").alias("node"), "fp", "mask")
         masks, fan = longer(masks, similarity, recall)
         level += 1
@@ -273,7 +276,9 @@ def confirmed(edges: DataFrame, texts: DataFrame, scratch: Scratch, similarity:
     sets = scratch.save(texts.join(ends, "node", "left_semi").mapInArrow(_shingle, "node long, shingles array<long>"), "shingles")
     both = edges.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
     shared = F.size(F.array_intersect("x", "y"))
-    return both.filter(shared >= F.lit(similarity) * (F.size("x") + F.size("y") - shared) - 1e-9).select("a", "b")
+    found = scratch.save(both.filter(shared >= F.lit(similarity) * (F.size("x") + F.size("y") - shared) - 1e-9).select("a", "b"), "confirmed")
+    scratch.drop("shingles")
+    return found
 
 
 def frequent_shingles(texts: DataFrame) -> np.ndarray:
@@ -331,21 +336,25 @@ def left_out(texts: DataFrame, placed: DataFrame, scratch: Scratch, similarity:
     Texts of a frequent shingle meet in a join that Spark may split and spill, pair after pair, so no task holds them.
     """
     signs = ", ".join(f"s{k} long" for k in range(SKETCH))
-    signed = scratch.save(texts.mapInArrow(_signed(frequent_shingles(texts), similarity), f"node long, n int, first array<long>, {signs}"), "signed")
-    held = signed.join(placed, "node").select("node", "component", "n", F.posexplode("first").alias("at", "h"))
-    held = scratch.save(held.repartition("h"), "first")
-    other = held.select(*(F.col(c).alias(f"{c}_") for c in held.columns))
+    signed = texts.mapInArrow(_signed(frequent_shingles(texts), similarity), f"node long, n int, first array<long>, {signs}").join(placed, "node")
+    signed = scratch.save(signed, "signed")
+    held = signed.select("node", "component", "n", F.posexplode("first").alias("at", "h"))
+    # Aliases of one frame, so that Spark sees both sides as one and shuffles it once.
+    x, y = held.alias("x"), held.alias("y")
     # Behind the place where they meet, sets can share no more than what is left of the shorter.
-    need = F.lit(similarity / (1 + similarity)) * (F.col("n") + F.col("n_")) - 1e-6
-    reach = F.least(F.col("n") - F.col("at"), F.col("n_") - F.col("at_"))
-    pairs = held.join(other, (F.col("h") == F.col("h_")) & (F.col("node") < F.col("node_")) & (F.col("component") != F.col("component_"))).filter(
-        (F.least("n", "n_") >= F.lit(similarity) * F.greatest("n", "n_") - 1e-6) & (reach >= need)
+    need = F.lit(similarity / (1 + similarity)) * (F.col("x.n") + F.col("y.n")) - 1e-6
+    reach = F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at"))
+    pairs = x.join(y, (F.col("x.h") == F.col("y.h")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.component") != F.col("y.component"))).filter(
+        (F.least("x.n", "y.n") >= F.lit(similarity) * F.greatest("x.n", "y.n") - 1e-6) & (reach >= need)
     )
-    pairs = scratch.save(pairs.select(F.col("node").alias("a"), F.col("node_").alias("b")).distinct(), "met")
+    pairs = scratch.save(pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), "met")
     of = lambda end: signed.select(F.col("node").alias(end), F.col("n").alias(f"n_{end}"), *(F.col(f"s{k}").alias(f"s{k}_{end}") for k in range(SKETCH)))
     apart = sum((F.bit_count(F.col(f"s{k}_a").bitwiseXOR(F.col(f"s{k}_b"))) for k in range(SKETCH)), F.lit(0))
     most = F.lit((1 - similarity) / (1 + similarity)) * (F.col("n_a") + F.col("n_b")) + 1e-6
-    return scratch.save(pairs.join(of("a"), "a").join(of("b"), "b").filter(apart <= most).select("a", "b"), "left-out")
+    left = scratch.save(pairs.join(of("a"), "a").join(of("b"), "b").filter(apart <= most).select("a", "b"), "left-out")
+    for name in ("signed", "met"):
+        scratch.drop(name)
+    return left
 
 
 def near_copies(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
@@ -365,9 +374,9 @@ def near_copies(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text:
     identity = F.col("row").getField(doc_id)
     place = F.struct(identity.isNull().alias("last"), identity.alias("id"), F.col("row_no"))
     nodes = scratch.save(rows.groupBy("same").agg(F.min(place).alias("least"), F.min("row_no").alias("node"), F.first("fp").alias("fp")), "nodes")
-    edges = scratch.save(close_pairs(nodes.select("node", "fp"), scratch, similarity, recall), "edges")
+    edges = close_pairs(nodes.select("node", "fp"), scratch, similarity, recall)
     texts = rows.select(F.col("row_no").alias("node"), F.coalesce(F.col("row").getField(text).cast("string"), F.lit("")).alias("text"))
-    sure = scratch.save(confirmed(edges, texts, scratch, similarity), "sure")
+    sure = confirmed(edges, texts, scratch, similarity)
     linked = connected_components(sure, scratch)
     placed = scratch.save(nodes.select("node").join(linked, "node", "left").select("node", F.coalesce("component", "node").alias("component")), "placed")
     rest = Scratch(docs.sparkSession, "near-rest")
