@@ -161,8 +161,8 @@ def _(spark, d):
     rows = table(spark, d, "events").select(F.col("user_id").alias("runner"), F.col("event_id").alias("id"), F.col("ts").cast("timestamp").alias("ts"), F.col("value").alias("speed"))
     steps = 5
     stream = _in_steps(spark, rows, _shuffled("ts", "id", _edges(rows, "ts", steps)), f"{at}/in", steps, _closing(spark, rows.schema, ts=CLOSING, id=-1))
-    with _own_state(spark):
-        out = _collected(spark, stateful.ordered_kinematics(stream.withWatermark("ts", f"{LATE_H} hours")), at)
+    stateful.keep_kinematics(stream, f"{at}/table", f"{at}/check", LATE_H * 3600).awaitTermination()
+    out = stateful.kept_kinematics(spark, f"{at}/table")
     out = rounded(out.filter("id >= 0"), "dt", "acceleration", "jerk")
     return out.withColumns({c: F.col(c) + 0.0 for c in ("acceleration", "jerk")})  # no negative zeros
 
