@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from contextlib import contextmanager
-
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -76,22 +74,8 @@ def _(spark, d):
   k1 AS (SELECT *, (value - pv) / nullif(dt, 0) AS a FROM k0) SELECT id, round(dt, 6) AS dt, round(a, 6) AS acceleration FROM k1""")
 def _(spark, d):
     stream, at = _feed(spark, d)
-    rows = stream.select("runner", "id", micros("ts").alias("ts_us"), "speed")
-    with _own_state(spark):
-        out = _collected(spark, S.stream_kinematics(rows).select("id", "dt", "acceleration"), at)
-    return rounded(out, "dt", "acceleration")
-
-
-@contextmanager
-def _own_state(spark):
-    """The state of user-defined operators lives in RocksDB; the session keeps its own setting."""
-    setting = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(setting, None)
-    spark.conf.set(setting, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    try:
-        yield
-    finally:
-        spark.conf.set(setting, before) if before else spark.conf.unset(setting)
+    stateful.keep_kinematics(stream, f"{at}/table", f"{at}/check").awaitTermination()
+    return rounded(stateful.kept_kinematics(spark, f"{at}/table").select("id", "dt", "acceleration"), "dt", "acceleration")
 
 
 def _in_steps(spark, rows, step, at: str, steps: int = FILES, closing=None):
