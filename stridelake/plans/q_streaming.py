@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from stridelake.functions.clock import micros
 from stridelake.plans.roles import POINTS, RUNNERS, Group, points, rounded, runners, table
 from stridelake.sources.shared import folder
 from stridelake.streaming import feeds as S
