@@ -15,8 +15,9 @@ pairs; shorter distances first, so that pairs surely alike hold a group together
 An exact pass then finds the links that sampling or the forests left out. Alike sets
 share one of their first fifth of shingles in any order that is the same for all; here
 frequent ones come last. So texts of different components meet by those; sizes, places
-and a sketch of parities, which differs in no more bits than the sets in shingles,
-prune them without loss before the exact check.
+and a sketch of parities, which grows with the set and differs in no more bits than the
+sets in shingles, prune them without loss before the exact check, so that long texts of
+one common passage do not send their sets.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,7 +49,7 @@ SLICE_ROWS = 500
 #: One in so many texts is counted to tell frequent shingles, from so many holders there on, and the most that are told.
 #: These only set the order of shingles, so they do not change which links are found.
 SAMPLED, FREQUENT, MOST_FREQUENT = 16, 4, 65_536
-#: Words of a sketch of parities.
+#: Words of a sketch of parities at least; it has a bit for each shingle of a larger set.
 SKETCH = 8
 
 _BITS_OF = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
@@ -309,14 +310,21 @@ def first_shingles(own: np.ndarray, frequent: np.ndarray, similarity: float) ->
 
 
 def parities(own: np.ndarray) -> np.ndarray:
-    """How often each bit is hit by the shingles of a set, even or odd, as words."""
-    odd = np.bincount((own >> np.uint64(17)).astype(np.int64) % (64 * SKETCH), minlength=64 * SKETCH) & 1
+    """How often each bit is hit by the shingles of a set, even or odd, as words, whose number is a power of two."""
+    bits = 64 * max(SKETCH, 1 << max(0, math.ceil(len(own) / 64) - 1).bit_length())
+    odd = np.bincount(((own >> np.uint64(17)) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
 
+def apart_at_least(a: str, b: str) -> Column:
+    """The bits in which two sketches differ, the longer one folded to the other's length, which is its half or the same."""
+    words = F.least(F.size(a), F.size(b))
+    fold = lambda x: F.when(F.size(x) > words, F.zip_with(F.slice(x, 1, words), F.slice(x, words + 1, words), lambda p, q: p.bitwiseXOR(q))).otherwise(F.col(x))
+    return F.aggregate(F.zip_with(fold(a), fold(b), lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda n, bits: n + bits)
+
+
 def _signed(frequent: np.ndarray, similarity: float):
     """A task: texts to the number of their shingles, the first of them, and their sketch."""
-    names = ["node", "n", "first", *(f"s{k}" for k in range(SKETCH))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -324,8 +332,8 @@ def _signed(frequent: np.ndarray, similarity: float):
                 batch = whole.slice(low, SLICE_ROWS)
                 sets = [shingle_set(t.as_py()) for t in batch.column("text")]
                 first = pa.array([first_shingles(s, frequent, similarity).view(np.int64) for s in sets], pa.list_(pa.int64()))
-                sketch = np.stack([parities(s) for s in sets], axis=1)
-                yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array([len(s) for s in sets], pa.int32()), first, *(pa.array(s) for s in sketch)], names=names)
+                sketch = pa.array([parities(s) for s in sets], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array([len(s) for s in sets], pa.int32()), first, sketch], names=["node", "n", "first", "sketch"])
 
     return run
 
@@ -335,8 +343,7 @@ def left_out(texts: DataFrame, placed: DataFrame, scratch: Scratch, similarity:
 
     Texts of a frequent shingle meet in a join that Spark may split and spill, pair after pair, so no task holds them.
     """
-    signs = ", ".join(f"s{k} long" for k in range(SKETCH))
-    signed = texts.mapInArrow(_signed(frequent_shingles(texts), similarity), f"node long, n int, first array<long>, {signs}").join(placed, "node")
+    signed = texts.mapInArrow(_signed(frequent_shingles(texts), similarity), "node long, n int, first array<long>, sketch array<long>").join(placed, "node")
     signed = scratch.save(signed, "signed")
     held = signed.select("node", "component", "n", F.posexplode("first").alias("at", "h"))
     # Aliases of one frame, so that Spark sees both sides as one and shuffles it once.
@@ -348,10 +355,9 @@ def left_out(texts: DataFrame, placed: DataFrame, scratch: Scratch, similarity:
         (F.least("x.n", "y.n") >= F.lit(similarity) * F.greatest("x.n", "y.n") - 1e-6) & (reach >= need)
     )
     pairs = scratch.save(pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), "met")
-    of = lambda end: signed.select(F.col("node").alias(end), F.col("n").alias(f"n_{end}"), *(F.col(f"s{k}").alias(f"s{k}_{end}") for k in range(SKETCH)))
-    apart = sum((F.bit_count(F.col(f"s{k}_a").bitwiseXOR(F.col(f"s{k}_b"))) for k in range(SKETCH)), F.lit(0))
+    of = lambda end: signed.select(F.col("node").alias(end), F.col("n").alias(f"n_{end}"), F.col("sketch").alias(f"sketch_{end}"))
     most = F.lit((1 - similarity) / (1 + similarity)) * (F.col("n_a") + F.col("n_b")) + 1e-6
-    left = scratch.save(pairs.join(of("a"), "a").join(of("b"), "b").filter(apart <= most).select("a", "b"), "left-out")
+    left = scratch.save(pairs.join(of("a"), "a").join(of("b"), "b").filter(apart_at_least("sketch_a", "sketch_b") <= most).select("a", "b"), "left-out")
     for name in ("signed", "met"):
         scratch.drop(name)
     return left

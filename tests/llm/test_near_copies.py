@@ -116,3 +116,28 @@ def test_no_link_is_left_out_whatever_the_fingerprints_miss(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     got = near_copies.near_copies(docs, Scratch(spark, "test-whole"), recall=0.01)
     assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in got.collect()) == kept_by_brute_force(rows)
+
+
+def test_long_texts_of_one_common_passage_do_not_reach_the_exact_check(spark):
+    rng = random.Random(9)
+    long = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    passage, own = long(300), long(4200)
+    # The last two are alike, on both sides of a power of two, so one sketch is folded.
+    words = [*(passage + long(2700) for _ in range(4)), own, own[:4000]]
+    texts = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(words)], "node long, text string")
+    placed = texts.select("node", F.col("node").alias("component"))
+    got = near_copies.left_out(texts, placed, Scratch(spark, "test-long"))
+    assert [tuple(r) for r in got.collect()] == [(4, 5)]
+
+
+def test_sketches_differ_in_no_more_bits_than_their_sets(spark):
+    rng = np.random.default_rng(5)
+    rows = []
+    for n in (1, 60, 511, 513, 1024, 1025, 3000):
+        own = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+        for other in (own, own[: max(1, n * 4 // 5)], rng.integers(0, 1 << 63, n, dtype=np.uint64)):
+            rows.append((near_copies.parities(own).tolist(), near_copies.parities(other).tolist(), len(np.setxor1d(own, other))))
+    frame = spark.createDataFrame(rows, "a array<long>, b array<long>, differ int")
+    got = frame.select("differ", near_copies.apart_at_least("a", "b").alias("bits")).collect()
+    assert len(got) == 21 and all(r["bits"] <= r["differ"] for r in got)
+    assert all(r["bits"] == 0 for r in got if not r["differ"])
