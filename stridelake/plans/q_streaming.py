@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from stridelake.plans.roles import POINTS, RUNNERS, Group, points, rounded, runners, table
-from stridelake.sources.shared import folder
+from stridelake.sources.shared import folder, stored
 from stridelake.streaming import feeds as S
 from stridelake.streaming import stateful
 
@@ -160,10 +160,10 @@ def _two_feeds(spark, d, how: str):
     steps = 4
     edges = _edges(p, "ts", steps)
     left = _in_steps(spark, others, _shuffled("ts", "id", edges), f"{at}/points", steps, _closing(spark, others.schema, runner=-1, ts=CLOSING))
+    spans = stored(spans, f"{at}/all-spans")
     right = _in_steps(spark, spans, _shuffled("a", "gate", edges), f"{at}/spans", steps, _closing(spark, spans.schema, runner=-1, a=CLOSING, b="2100-01-02"))
-    delay = f"{LATE_H} hours"
-    joined = stateful.stream_interval_join(left.withWatermark("ts", delay), right, ["runner"], "ts", "a", "b", delay, 86400, how)
-    return _collected(spark, joined.select("runner", "id", "gate"), at).filter("runner >= 0").select("id", "gate")
+    stateful.keep_interval_join(left, right, ["runner"], "ts", "a", "b", f"{at}/table", f"{at}/check", LATE_H * 3600, 86400, how).awaitTermination()
+    return stateful.kept_joins(spark, f"{at}/table").filter("runner >= 0").select("id", "gate")
 
 
 _GATES = "g AS (SELECT runner, id AS gate, ts AS a, coalesce(lead(ts) OVER (PARTITION BY runner ORDER BY ts, id), ts) AS b FROM points WHERE kind IN ('click', 'view'))"
