@@ -22,8 +22,14 @@ MAGIC = b"SLP1"
 _HEAD = 6
 
 
+#: Bits of each value below 2**16, which most vocabularies stay under.
+_SHORT_BITS = np.frexp(np.arange(1 << 16, dtype=np.float64))[1].astype(np.uint8)
+
+
 def _bit_lengths(values: np.ndarray) -> np.ndarray:
     """Bits that each value below 2**32 needs."""
+    if values.size and values.max() < len(_SHORT_BITS):
+        return _SHORT_BITS[values]
     return np.frexp(values.astype(np.float64))[1].astype(np.uint8)
 
 
@@ -91,7 +97,10 @@ def decode_blocks(payload: np.ndarray, starts: np.ndarray, n: int, block: int =
         take = block * int(width) // 8
         index = np.minimum(at[which][:, None] + _HEAD + np.arange(take), len(payload) - 1)
         bits = np.unpackbits(payload[index], axis=1, bitorder="little").reshape(len(which), block, int(width))
-        rest[which] = bits.astype(np.uint32) @ (np.uint32(1) << np.arange(int(width), dtype=np.uint32))
+        octets = 1 if width <= 8 else 2 if width <= 16 else 4
+        wide = np.zeros((len(which), block, 8 * octets), np.uint8)
+        wide[:, :, :width] = bits
+        rest[which] = np.packbits(wide.reshape(-1), bitorder="little").view(f"<u{octets}").reshape(len(which), block)
     if n_over.any():
         b = np.repeat(np.arange(n_blocks), n_over)
         rank = np.arange(len(b)) - np.repeat(np.cumsum(n_over) - n_over, n_over)

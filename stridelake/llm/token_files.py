@@ -30,6 +30,7 @@ SLICE_BYTES = 16 << 20
 _ARROW_ODD = "^ | (?:[^!-~À-ɏ]|$)"
 _ODD_SPACE = re.compile("^[ ]| (?![!-~À-ɏ])")
 _CUT = re.compile(" (?=[!-~À-ɏ])")
+_MARKS = frozenset(".,;:!?%#$&*")
 # A word with punctuation, and more of them after single line breaks.
 _PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ɏ]+)([.,;:!?%#$&*]*)((?:\n[A-Za-zÀ-ÖØ-öø-ɏ]+[.,;:!?%#$&*]*)*)")
 
@@ -71,6 +72,9 @@ class Pieces:
         """Ids of a piece after a space, or of a text's first one."""
         if piece.isascii() and piece.isalpha():
             return self._of_pretoken(piece) if first else self._of_word(piece)
+        word, mark = piece[:-1], piece[-1:]
+        if not first and mark in _MARKS and word.isascii() and word.isalpha():  # most of the others
+            return (self.pieces.get(word) or self._of_word(word)) + self.marks[mark]
         plain = _PLAIN.fullmatch(piece)
         if not plain:
             return self.whole(piece if first else f" {piece}")

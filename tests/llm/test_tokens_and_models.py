@@ -345,3 +345,25 @@ def test_a_tie_goes_to_the_language_first_by_name_and_rare_languages_are_learnt(
     many = frame.unionByName(spark.range(2000, 4000).select(F.col("id").alias("doc_id"), F.lit("other text").alias("text"), F.lit("a").alias("lang")))
     sample = language.fit_sample(many, Scratch(spark, "sample"), fit_rows=40).collect()
     assert len(sample) <= 40 and {r["lang"] for r in sample} == {"a", "b", "rare"}
+
+
+def test_blocks_of_every_width_are_read_back():
+    from stridelake.llm import pfor
+
+    rng = np.random.default_rng(3)
+    for width in range(33):
+        for n in (1, 127, 128, 300):
+            ids = rng.integers(0, 1 << width, n, dtype=np.uint64).astype(np.uint32)
+            ids[-1] = (1 << width) - 1
+            payload, starts = pfor.encode_blocks(ids)
+            got = pfor.decode_blocks(np.frombuffer(payload, np.uint8), starts, n)
+            assert got.tolist() == ids.tolist(), (width, n)
+
+
+def test_words_with_a_mark_are_encoded_as_the_library_does():
+    from stridelake.llm import token_files
+
+    pieces = token_files.pieces_of("byte_bpe_50k.json")
+    for text in ("a cat. sat, on; it: so! why? 5% a# b$ c& d* e- f' g. h.. .i .", "cat. cat. Äpfel, é. x1. ab, \n c, d.", ", a", "word."):
+        want = pieces.tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(pieces.encode(text), "<u4").tolist() == want, text
