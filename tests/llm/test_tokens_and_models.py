@@ -348,8 +348,6 @@ def test_a_tie_goes_to_the_language_first_by_name_and_rare_languages_are_learnt(
 
 
 def test_blocks_of_every_width_are_read_back():
-    from stridelake.llm import pfor
-
     rng = np.random.default_rng(3)
     for width in range(33):
         for n in (1, 127, 128, 300):
@@ -361,8 +359,6 @@ def test_blocks_of_every_width_are_read_back():
 
 
 def test_words_with_a_mark_are_encoded_as_the_library_does():
-    from stridelake.llm import token_files
-
     pieces = token_files.pieces_of("byte_bpe_50k.json")
     for text in ("a cat. sat, on; it: so! why? 5% a# b$ c& d* e- f' g. h.. .i .", "cat. cat. Äpfel, é. x1. ab, \n c, d.", ", a", "word."):
         want = pieces.tokenizer.encode(text, add_special_tokens=False).ids
