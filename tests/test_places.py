@@ -93,3 +93,17 @@ def test_dense_legs_get_a_finer_grid_and_repeats_count_once(spark):
     points = spark.createDataFrame([(i, 5e-4, 5e-4) for i in range(9)] + [(9, 1e-4, 0.0), (10, None, 0.0)], "id int, lon double, lat double")
     got = {r["id"]: (r["line_id"], r["segment"]) for r in nearest_segment(points, lines, [], "k", cell_m=1000.0).collect()}
     assert got == {**{i: (105, 0) for i in range(9)}, 9: (1, 0), 10: (None, None)}
+
+
+def test_legs_of_many_cells_are_shuffled_and_not_broadcast(spark):
+    from stridelake.operators import nearest
+
+    lines = spark.createDataFrame([(k, [(0.0, k * 1e-3), (1.0, k * 1e-3)]) for k in range(40)], "k int, line array<struct<lon:double,lat:double>>")
+    legs = nearest.segments(lines, [], "k")
+    points = spark.createDataFrame([(i, 0.0, i * 1e-3) for i in range(30)], "x long, lon double, lat double")
+    for g, form in ((0.001, "SortMergeJoin"), (10.0, "BroadcastHashJoin")):
+        plan = points.join(nearest._joinable(legs, g), F.col("x") == F.col("__cell"))._jdf.queryExecution().executedPlan().toString()
+        assert form in plan and ("SortMergeJoin" in plan) == (form == "SortMergeJoin")
+    far = points.withColumns({"x": F.lit("x"), "lat": F.col("lat") + 0.0004})
+    got = nearest.nearest_segment(far, lines, [], "k", cell_m=100.0).collect()
+    assert len(got) == 30 and all(r["line_id"] == round(r["lat"] * 1e3 - 0.4) and r["distance_m"] == pytest.approx(0.0004 * METRES) for r in got)
