@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+import re
+from collections.abc import Iterator, Mapping, Sequence
 from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -201,7 +203,8 @@ def read_xml_cards(spark: SparkSession, path: str, schema: str = CARD_SCHEMA, ro
 
     With ``strict`` a card that cannot be read, or has a field that cannot, is in
     none of them but in ``rejects`` (file_name, reason, record), with files that
-    hold no card.
+    hold no card. Each file is then read as one text and cut into its cards, as
+    Spark's reader of XML gives the whole file for the record of each such card.
 
     Tags are read in lower case. A child without its key is left out; of a child
     that is named several times one row stays, that with the greatest fields. In
@@ -213,10 +216,10 @@ def read_xml_cards(spark: SparkSession, path: str, schema: str = CARD_SCHEMA, ro
     """
     reader = spark.read.format("xml").option("rowTag", row_tag)
     if strict:
-        whole = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BAD).schema(f"{schema}, {BAD} string").load(path)
-        marked = whole.select(F.col("_metadata.file_name").alias("__file"), *whole.columns)
-        # Spark parses only the fields that a query asks for, and marks what it fails to parse; the stored rows have all.
-        marked = stored(marked, folder(spark, "cards"))
+        whole = spark.read.text(path, wholetext=True)
+        each = whole.select(F.col("_metadata.file_name").alias("__file"), F.col("value").cast("binary").alias("value")).mapInArrow(_cut(row_tag), "__file string, record string")
+        parsed = F.from_xml("record", f"{schema}, {BAD} string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD})
+        marked = stored(each.select("__file", parsed.alias("r")).select("__file", "r.*"), folder(spark, "cards"))
         cards = marked.filter(F.col(BAD).isNull()).drop(BAD, "__file")
     else:
         cards = stored(reader.schema(schema).load(path), folder(spark, "cards"))
@@ -250,6 +253,45 @@ def read_xml_cards(spark: SparkSession, path: str, schema: str = CARD_SCHEMA, ro
 BAD, RECORD_CHARS = "__bad", 2000
 
 
+def cut_records(text: bytes, row_tag: str) -> Iterator[bytes]:
+    """The elements of a tag in a text, outermost ones, in their order; tags in comments and CDATA are none.
+
+    One without its end reaches to the end of the text, and so does a comment
+    without one outside of them, so that a parser finds what is wrong with it. An
+    end without its beginning is passed over.
+    """
+    tag = re.escape(row_tag.encode())
+    token = rb"<!--.*?(-->|\Z)|<!\[CDATA\[.*?(\]\]>|\Z)|<(/?)" + tag + rb"(?=[\s/>])(?:(?:[^<>'\"]|'[^'<]*'|\"[^\"<]*\")*>|[^>]*>?)"
+    begin, depth = 0, 0
+    for m in re.finditer(token, text, re.S):
+        if m[3] is None:
+            if not depth and not (m[1] or m[2]):
+                yield m[0]
+        elif m[3]:
+            if depth == 1:
+                yield text[begin : m.end()]
+            depth = max(depth - 1, 0)
+        elif not m[0].endswith(b"/>"):
+            begin = begin if depth else m.start()
+            depth += 1
+        elif not depth:
+            yield m[0]
+    if depth:
+        yield text[begin:]
+
+
+def _cut(row_tag: str):
+    """A task: files as one text each, to their records."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, text in zip(batch.column("__file").to_pylist(), batch.column("value"), strict=True):
+                records = [r.decode("utf-8", "replace") for r in cut_records(text.as_py() or b"", row_tag)]
+                yield pa.RecordBatch.from_arrays([pa.array([name] * len(records), pa.string()), pa.array(records, pa.string())], names=["__file", "record"])
+
+    return task
+
+
 def _without_rows(spark: SparkSession, read: DataFrame, seen: DataFrame) -> DataFrame:
     """Rejects for the files of a reader that gave no row, empty ones among them."""
     names = [(unquote(f.rsplit("/", 1)[-1]),) for f in read.inputFiles()]  # the listing that Spark's driver holds anyway

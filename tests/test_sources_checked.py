@@ -69,3 +69,36 @@ def test_a_split_read_loses_no_row_of_null_or_busy_values(spark, column):
         # The busy value has a range of its own; the rest is dealt out.
         assert max(sizes) <= 190 * 0.6 and len([n for n in sizes if n]) >= 4
     assert tables.split_read(spark, "SELECT * FROM T WHERE K < 0", url, column, 4).count() == 0
+
+
+def test_a_reject_shows_its_record_and_stores_no_more(spark, tmp_path):
+    cards = "".join(f"<racedata><race>{k}</race><track>t{k}</track></racedata>" for k in range(200))
+    bad = ["<racedata><race>no</race></racedata>", "<racedata><race>7</race><track>t</race></track></racedata>"]
+    at = put(tmp_path, long_xml=f"<cards>{cards}{bad[0]}{cards}{bad[1]}</cards>")
+    got = tables.read_xml_cards(spark, at, strict=True)
+    assert got["races"].count() == 400
+    assert sorted(r["record"] for r in got["rejects"].collect()) == sorted(bad)
+
+
+def test_odd_cards_are_read_or_rejected_as_the_reader_does(spark, tmp_path):
+    one = "<racedata><race>1</race><track>t</track></racedata>"
+    texts = {
+        "spaces": f"<cards><racedata\nid='a>b' ><race>2</race></racedata\n>{one}</cards>", "empty": f"<cards><racedata/>{one}<racedata /></cards>",
+        "cdata": f"<cards>{one}<racedata><race>2</race><track><![CDATA[a <b> </racedata> c]]></track></racedata>{one}</cards>",
+        "comments": f"<cards><!-- {one} --><racedata><!-- </racedata> --><race>2</race></racedata>{one}</cards>", "names": f"<cards><racedatax>9</racedatax>{one}<RACEDATA/></cards>",
+        "nested": f"<cards><racedata><race>2</race><x>{one}</x></racedata>{one}</cards>", "open": f"<cards>{one}<racedata><race>2</race>{one}{one}</cards>",
+        "cut": f"<?xml version='1.0'?><cards>{one}<racedata><race>2</race><track>\u00e9</track>", "entity": f"<cards><racedata><race>1</race><track>a &amp; &#233;\u00e9</track></racedata>{one}</cards>", "quote": f"<cards>{one}<racedata id='1><race>2</race></racedata></cards>",
+    }
+    for name, text in texts.items():
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "a.xml").write_text(text)
+        at = f"file://{tmp_path}/{name}"
+        got = tables.read_xml_cards(spark, at, strict=True)
+        kept = spark.read.format("xml").option("rowTag", "racedata").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", tables.BAD).schema(f"race int, track string, {tables.BAD} string").load(at).collect()
+        rows = lambda found: sorted([(r["race"], r["track"]) for r in found], key=str)
+        assert rows(got["races"].collect()) == rows([r for r in kept if r[tables.BAD] is None]), name
+        assert got["rejects"].count() == len([r for r in kept if r[tables.BAD] is not None]), name
+    # A tag that is not closed at the end of a text, a comment without its end, an end too many, and bytes that are no UTF-8.
+    assert [*tables.cut_records(b"<c><r", "r")] == [] and [*tables.cut_records(b"<c><r/><r", "r")] == [b"<r/>"]
+    assert [*tables.cut_records(b"<c><r>1</r><!-- <r>2</r></c>", "r")] == [b"<r>1</r>", b"<!-- <r>2</r></c>"]
+    assert [*tables.cut_records(b"<c></r><r>\xff</r></r><r>2</r></c>", "r")] == [b"<r>\xff</r>", b"<r>2</r>"]
