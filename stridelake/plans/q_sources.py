@@ -24,8 +24,11 @@ def write_files(rows, at: str, key, value, begin: str, between: str, end: str) -
     files.repartition("f").write.partitionBy("f").text(at)
 
 
-def write_lines(rows, at: str, begin: str, value, end: str) -> None:
-    """Text files of a line for each row, between two lines of their own; as large as Spark deals rows out, so that their number grows with bytes and not with keys."""
+def write_lines(rows, at: str, begin: str, value, end: str, packed: bool = False) -> None:
+    """Text files of a line for each row, between two lines of their own; as large as Spark deals rows out, so that their number grows with bytes and not with keys.
+
+    ``packed`` files are gzipped, and each task writes the rows that it has, so lines are never shuffled.
+    """
 
     def framed(batches):
         kind = None
@@ -37,7 +40,9 @@ def write_lines(rows, at: str, begin: str, value, end: str) -> None:
         if kind is not None:
             yield pa.RecordBatch.from_arrays([pa.array([end])], schema=kind)
 
-    rows.select(value.alias("value")).hint("rebalance").mapInArrow(framed, "value string").write.mode("append").text(at)
+    lines = rows.select(value.alias("value"))
+    lines = lines if packed else lines.hint("rebalance")
+    lines.mapInArrow(framed, "value string").write.mode("append").option("compression", "gzip" if packed else "none").text(at)
 
 
 @add("k2_load_tables", "SELECT 'nation' AS name, count(*) AS n FROM nation UNION ALL SELECT 'supplier', count(*) FROM supplier")
@@ -112,16 +117,21 @@ def _(spark, d):
   UNION ALL SELECT 'trainer', CAST(trainer AS VARCHAR), 'YEAR', max(num)::DOUBLE, 'T' || trainer FROM runners GROUP BY trainer
   UNION ALL SELECT 'sire', 'S' || (horse % 50), 'LIFE', 0.0, 'KY' FROM runners GROUP BY horse % 50""")
 def _(spark, d):
-    text = lambda tag, v: F.concat(F.lit(f"<{tag}>"), F.col(v).cast("string") if isinstance(v, str) else v, F.lit(f"</{tag}>"))
+    text = lambda tag, v: F.concat(F.lit(f"<{tag}>"), F.col(v).cast("string") if isinstance(v, str) else v.cast("string"), F.lit(f"</{tag}>"))
     stat = lambda kind, inner: F.concat(F.lit(f'<STATS_DATA><STAT type="{kind}">'), inner, F.lit("</STAT></STATS_DATA>"))
-    jockey = text("JOCKEY", F.concat(text("JOCK_KEY", "jockey"), text("JOCK_DISP", F.concat(F.lit("J"), F.col("jockey").cast("string"))), stat("LIFE", text("STARTS", "num"))))
-    trainer = text("TRAINER", F.concat(text("TRAIN_KEY", "trainer"), text("TRAN_DISP", F.concat(F.lit("T"), F.col("trainer").cast("string"))), stat("YEAR", text("STARTS", "num"))))
-    sire = text("SIRE", F.concat(text("SIRENAME", F.concat(F.lit("S"), (F.col("horse") % 50).cast("string"))), text("STAT_BREED", F.lit("KY")), stat("LIFE", F.lit(""))))
-    horse = text("HORSEDATA", F.concat(text("PROGRAM", "num"), jockey, trainer, sire))
-    races = runners(spark, d).groupBy("race", "track", "race_date").agg(F.array_join(F.array_sort(F.collect_list(horse)), "").alias("h"))
+
+    def horse(r):
+        jockey = text("JOCKEY", F.concat(text("JOCK_KEY", r["jockey"]), text("JOCK_DISP", F.concat(F.lit("J"), r["jockey"].cast("string"))), stat("LIFE", text("STARTS", r["num"]))))
+        trainer = text("TRAINER", F.concat(text("TRAIN_KEY", r["trainer"]), text("TRAN_DISP", F.concat(F.lit("T"), r["trainer"].cast("string"))), stat("YEAR", text("STARTS", r["num"]))))
+        sire = text("SIRE", F.concat(text("SIRENAME", F.concat(F.lit("S"), (r["horse"] % 50).cast("string"))), text("STAT_BREED", F.lit("KY")), stat("LIFE", F.lit(""))))
+        return text("HORSEDATA", F.concat(text("PROGRAM", r["num"]), jockey, trainer, sire))
+
+    # Numbers are gathered and not their tags, which are many times as long.
+    races = runners(spark, d).groupBy("race", "track", "race_date").agg(F.collect_list(F.struct("num", "jockey", "trainer", "horse")).alias("r"))
+    races = races.withColumn("h", F.array_join(F.array_sort(F.transform("r", horse)), ""))
     card = text("RACEDATA", F.concat(text("TRACK", "track"), text("RACE", "race"), F.col("h")))
     at = folder(spark, "k6c")
-    write_lines(races, at, "<cards>", F.lower(card), "</cards>")
+    write_lines(races, at, "<cards>", F.lower(card), "</cards>", packed=True)
     got = K.read_xml_cards(spark, at)
     names = got["jockeys"].select(F.lit("jockey").alias("owner"), F.col("jock_key").alias("owner_key"), F.upper("jock_disp").alias("shown"))
     names = names.unionByName(got["trainers"].select(F.lit("trainer").alias("owner"), F.col("train_key").alias("owner_key"), F.upper("tran_disp").alias("shown")))

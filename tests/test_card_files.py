@@ -27,3 +27,21 @@ def test_tables_of_cards_read_stored_rows(spark, tmp_path):
         for name, frame in tables.read_xml_cards(spark, f"file://{tmp_path}", strict=strict).items():
             plan = frame._jdf.queryExecution().executedPlan().toString()
             assert "Format: XML" not in plan and "FileScan xml" not in plan, name
+
+
+def test_packed_lines_are_gzipped_where_they_are_and_read_back(spark):
+    at = folder(spark, "packed")
+    card = F.concat(F.lit("<racedata><race>"), F.col("id").cast("string"), F.lit("</race></racedata>"))
+    q_sources.write_lines(spark.range(0, 30_000, 1, 3), at, "<cards>", card, "</cards>", packed=True)
+    files = glob.glob(at.removeprefix("file://") + "/part-*")
+    assert len(files) == 3 and all(f.endswith(".gz") for f in files)
+    got = tables.read_xml_cards(spark, at)["races"]
+    assert got.agg(F.count("race"), F.sum("race")).head() == (30_000, sum(range(30_000)))
+
+
+def test_cards_of_children_are_packed(spark, monkeypatch):
+    kept = []
+    monkeypatch.setattr(q_sources, "folder", lambda s, name: kept.append(folder(s, name)) or kept[-1])
+    next(f for f in q_sources.QUERIES["k6_card_children"] if callable(f))(spark, "/root/testdata/sf0.001")
+    files = glob.glob(kept[0].removeprefix("file://") + "/part-*")
+    assert files and all(f.endswith(".gz") for f in files)
